@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ("versions", "expressions")
+SECTIONS = ("versions", "expressions", "joins", "aggregates")
 
 
 def load():
