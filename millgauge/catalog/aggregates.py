@@ -236,11 +236,11 @@ def newest_row(x: Context):
     return newest_per(rows, ["machine_id"], ["event_time", "reading_id"])
 
 
-@query("wn8", """SELECT machine_id, max(start_time) AS start_time FROM downtime_events WHERE end_time IS NULL GROUP BY ALL""")
+@query("wn8", """SELECT machine_id, max(started_at) AS started_at FROM stops WHERE ended_at IS NULL GROUP BY ALL""")
 def newest_open(x: Context):
     from ..operators.downtime import newest_open as newest
 
-    return newest(x.star.downtime_events).select("machine_id", "start_time")
+    return newest(x.star.downtime, start="started_at", end="ended_at").select("machine_id", "started_at")
 
 
 @query("wn6_state", """SELECT machine_id, started_at, ended_at FROM stops""")

@@ -175,6 +175,17 @@ WHERE down""",
 SELECT CAST(unnest(generate_series((SELECT min(CAST(event_time AS DATE)) FROM readings),
   (SELECT max(CAST(event_time AS DATE)) FROM readings), INTERVAL 1 DAY)) AS DATE) AS full_date""",
     "planned": "SELECT machine_id, full_date AS production_date, 480 AS planned_minutes FROM master, days",
+    "line_output": """
+SELECT l_suppkey AS machine_key, CAST(l_shipdate AS DATE) AS full_date, CAST(l_quantity AS INTEGER) AS units,
+  CAST(l_quantity AS INTEGER) - CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS good,
+  600 + 40 * CAST(l_quantity AS INTEGER) AS run, 60 * l_linenumber AS pstop, 10 + l_suppkey % 30 AS ideal
+FROM lineitem""",
+    "line_days": """
+SELECT full_date, CAST(sum(units) AS BIGINT) AS u, CAST(sum(good) AS BIGINT) AS g, CAST(sum(run) AS BIGINT) AS r, CAST(sum(pstop) AS BIGINT) AS s,
+  60 * count(*) AS p, CAST(sum(units * ideal) AS BIGINT) AS i FROM line_output GROUP BY ALL""",
+    "line_axis": """
+SELECT CAST(unnest(generate_series((SELECT min(full_date) FROM line_days), (SELECT max(full_date) FROM line_days), INTERVAL 1 DAY)) AS DATE) AS full_date""",
+    "line_all_days": "SELECT full_date, u, g, r, s, p, i FROM line_axis LEFT JOIN line_days USING (full_date)",
     # ---- components of the measures, per machine-hour joined to its machine ----
     "cells": """
 SELECT h.*, m.ideal_cycle_time_sec, m.machine_id, m.machine_name, m.machine_type, m.production_line, m.plant_code,
@@ -204,6 +215,13 @@ Q = "(CAST(c_good AS DOUBLE) / nullif(CAST(c_units AS DOUBLE), 0))"
 OEE = f"({A} * {P} * {Q})"
 
 
+def line_oee(over: str = "") -> str:
+    """OEE from the summed day columns, optionally windowed sums."""
+    t = lambda c: f"CAST(sum({c}) {over} AS DOUBLE)" if over else f"CAST({c} AS DOUBLE)"
+    return (f"least(({t('r')} / 60) / nullif({t('p')} - {t('s')} / 60, 0), 1.0) * "
+            f"least({t('i')} / nullif({t('r')}, 0), 1.0) * ({t('g')} / nullif({t('u')}, 0))")
+
+
 def stop_parts(group: str, source: str = "stops") -> str:
     g = f"{group}, " if group else ""
     by = f"GROUP BY {group}" if group else ""

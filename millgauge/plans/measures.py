@@ -51,6 +51,12 @@ WINDOW_PARTS = (
 )
 
 
+def window_components(fact: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Only the parts that time windows need; ``fact`` carries its ideal cycle time."""
+    known = production_sums()
+    return fact.groupBy(*group).agg(*[known[p].alias(p) for p in WINDOW_PARTS])
+
+
 def production_components(hourly: DataFrame, machines: DataFrame, group: Sequence[str]) -> DataFrame:
     """Sums of the hourly fact at the requested grain; the machine dimension is joined
     once for group columns and ideal cycle time."""

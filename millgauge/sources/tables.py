@@ -47,6 +47,26 @@ def telemetry(events: DataFrame) -> DataFrame:
     return events.select(*[c.alias(n) for n, c in telemetry_columns().items()])
 
 
+def line_output(lineitem: DataFrame) -> DataFrame:
+    """Order lines read as production records of a supplier: years of dates for the
+    time calculations that a month of events cannot show."""
+    units = F.col("l_quantity").cast("int")
+    run = (units * 40 + 600).cast("bigint")
+    return lineitem.select(
+        F.col("l_suppkey").alias("machine_key"),
+        F.to_date("l_shipdate").alias("full_date"),
+        units.alias("units_produced"),
+        (units - F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("good_units"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("scrap_units"),
+        run.alias("runtime_seconds"),
+        F.lit(0).cast("bigint").alias("idle_seconds"),
+        (3600 - run).alias("downtime_seconds"),
+        (F.col("l_linenumber") * 60).cast("bigint").alias("planned_stop_seconds"),
+        F.lit(60.0).alias("planned_minutes"),
+        (F.col("l_suppkey") % 30 + 10).cast("decimal(10,2)").alias("ideal_cycle_time_sec"),
+    )
+
+
 def read_months(
     spark: SparkSession, path: str, start: dt.datetime, end: dt.datetime, ts: str = "event_ts"
 ) -> DataFrame:
