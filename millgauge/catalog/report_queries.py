@@ -136,10 +136,10 @@ def tooltip(x: Context):
 
 
 @query("rpt17", f"""SELECT o.*, utilization_pct, total_kwh, total_downtime_minutes FROM
-(SELECT machine_id, round(avg(availability_pct), 6) AS availability_pct, round(avg(performance_pct), 6) AS performance_pct, round(avg(quality_pct), 6) AS quality_pct,
-  round(avg(oee_pct), 6) AS oee_pct FROM ({OEE_VIEW_SQL}) GROUP BY ALL) o
-JOIN (SELECT machine_id, round(avg(utilization_pct), 6) AS utilization_pct FROM ({UTIL_SQL}) GROUP BY ALL) u USING (machine_id)
-JOIN (SELECT machine_id, round(sum(total_kwh), 6) AS total_kwh FROM ({POWER_SQL}) GROUP BY ALL) p USING (machine_id)
+(SELECT machine_id, round(avg(availability_pct), 9) AS availability_pct, round(avg(performance_pct), 9) AS performance_pct, round(avg(quality_pct), 9) AS quality_pct,
+  round(avg(oee_pct), 9) AS oee_pct FROM ({OEE_VIEW_SQL}) GROUP BY ALL) o
+JOIN (SELECT machine_id, round(avg(utilization_pct), 9) AS utilization_pct FROM ({UTIL_SQL}) GROUP BY ALL) u USING (machine_id)
+JOIN (SELECT machine_id, round(sum(total_kwh), 9) AS total_kwh FROM ({POWER_SQL}) GROUP BY ALL) p USING (machine_id)
 LEFT JOIN (SELECT machine_id, round(sum(total_downtime_minutes), 2) AS total_downtime_minutes FROM ({DOWN_SQL}) GROUP BY ALL) d USING (machine_id)""")
 def first_pages(x: Context):
     return reports.first_generation_page(x.star)

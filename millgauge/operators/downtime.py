@@ -56,35 +56,31 @@ def batch_changes(conformed: DataFrame, open_episodes: DataFrame) -> tuple[DataF
 
     ``open_episodes`` has machine_id and open_started_at, one row per machine.
     """
-    seed = open_episodes.select(F.col("machine_id").alias("_mid"), "open_started_at")
-    marked = conformed.withColumn("_down", is_down()).join(
-        small(seed), F.col("machine_id") == F.col("_mid"), "left"
-    ).drop("_mid")
-    seen = ordered_columns(
-        marked, ["machine_id"], "event_time", ["reading_id"], lag={"_prev": F.col("_down")}
-    ).withColumn("_before", F.coalesce("_prev", F.col("open_started_at").isNotNull()))
-    changes = seen.where(F.col("_down") != F.col("_before"))
-    paired = ordered_columns(
-        changes, ["machine_id"], "event_time", ["reading_id"],
-        lag={"_start": F.when(F.col("_down"), F.col("event_time"))},
-    )
-    opened = paired.where("_down").select(
+    seed = open_episodes.select("machine_id", "open_started_at")
+    down = conformed.withColumn("_down", is_down())
+    # Runs of this batch; one that continues an open stop is not a new stop.
+    runs = ordered_columns(
+        down, ["machine_id"], "event_time", ["reading_id"],
+        lag={"_prev": F.col("_down")},
+        following={"ended_at": F.when(~F.col("_down"), F.col("event_time"))},
+    ).where(F.col("_down") & ~F.coalesce("_prev", F.lit(False)))
+    runs = runs.join(small(seed), "machine_id", "left")
+    starts = runs.where(F.col("_prev").isNotNull() | F.col("open_started_at").isNull())
+    opened = starts.select(
         "machine_id", "date_key", "time_key", "machine_key", "status_key", "shift_key",
         F.col("event_time").alias("started_at"),
         F.coalesce("is_planned_downtime", F.lit(False)).alias("is_planned"),
         F.upper("status").alias("reason_code"),
     )
-    closed = (
-        paired.where("NOT _down")
-        .select(
-            "machine_id",
-            F.coalesce("_start", "open_started_at").alias("started_at"),
-            F.col("event_time").alias("ended_at"),
-        )
-        .groupBy("machine_id", "started_at")
-        .agg(F.min("ended_at").alias("ended_at"))
+    ended = starts.where("ended_at IS NOT NULL").select(
+        "machine_id", F.col("event_time").alias("started_at"), "ended_at"
+    )
+    # A stop open from before ends with the first up row of its machine.
+    first_up = down.where(~F.col("_down")).groupBy("machine_id").agg(F.min("event_time").alias("ended_at"))
+    carried = seed.join(first_up, "machine_id").select(
+        "machine_id", F.col("open_started_at").alias("started_at"), "ended_at"
     )
-    return opened, closed
+    return opened, ended.unionByName(carried)
 
 
 def close_episodes(fact: DataFrame, closed: DataFrame) -> DataFrame:

@@ -30,15 +30,17 @@ def ordered_columns(
     lead: dict[str, Column] | None = None,
     last: dict[str, Column] | None = None,
     total: dict[str, Column] | None = None,
+    following: dict[str, Column] | None = None,
     chunk_seconds: int = HOUR,
 ) -> DataFrame:
-    """Add previous (`lag`), next (`lead`), running last non-null (`last`) and
-    running sum (`total`) columns in (ts, ties) order within ``keys``."""
-    lag, lead, last, total = lag or {}, lead or {}, last or {}, total or {}
+    """Add columns in (ts, ties) order within ``keys``: value of the row before (`lag`)
+    or after (`lead`), last non-null so far (`last`), running sum (`total`), and next
+    non-null from here on (`following`). All share one shuffle of the rows."""
+    lag, lead, last, total, following = lag or {}, lead or {}, last or {}, total or {}, following or {}
     keys = list(keys)
     order = F.struct(ts, *ties) if ties else F.struct(ts)
     src = df.withColumn("_chunk", _chunk(ts, chunk_seconds))
-    for group, exprs in (("g", lag), ("d", lead), ("l", last), ("t", total)):
+    for group, exprs in (("g", lag), ("d", lead), ("l", last), ("t", total), ("f", following)):
         for name, expr in exprs.items():
             src = src.withColumn(f"_{group}_{name}", expr)
 
@@ -54,11 +56,16 @@ def ordered_columns(
         )
     for n in total:
         summary.append(F.sum(f"_t_{n}").alias(f"_sum_{n}"))
+    for n in following:
+        summary.append(
+            F.min_by(F.col(f"_f_{n}"), F.when(F.col(f"_f_{n}").isNotNull(), order)).alias(f"_first_{n}")
+        )
     chunks = src.groupBy(*keys, "_chunk").agg(*summary)
 
     # Chain the summaries.
     chain = Window.partitionBy(*keys).orderBy("_chunk")
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.col(k) for k in keys] + [F.col("_chunk")]
     if lag:
         carried.append(F.lag("_tail").over(chain).alias("_tail_c"))
@@ -68,6 +75,8 @@ def ordered_columns(
         carried.append(F.last(f"_last_{n}", ignorenulls=True).over(before).alias(f"_last_c_{n}"))
     for n in total:
         carried.append(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_sum_c_{n}"))
+    for n in following:
+        carried.append(F.last(f"_first_{n}", ignorenulls=True).over(after).alias(f"_first_c_{n}"))
     carry = chunks.select(*carried)
 
     # Windows inside one chunk, then the carried values at its edges.
@@ -82,6 +91,12 @@ def ordered_columns(
         local.append(F.last(f"_l_{n}", ignorenulls=True).over(upto).alias(f"_run_{n}"))
     for n in total:
         local.append(F.sum(f"_t_{n}").over(upto).alias(f"_acc_{n}"))
+    if following:
+        # Backwards order: a growing frame costs one step per row, a shrinking one does not.
+        back = Window.partitionBy(*keys, "_chunk").orderBy(F.desc(ts), *[F.desc(c) for c in ties])
+        back = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        for n in following:
+            local.append(F.last(f"_f_{n}", ignorenulls=True).over(back).alias(f"_fol_{n}"))
     joined = src.select(*local).join(carry, [*keys, "_chunk"], "left")
 
     out = [F.col(c) for c in df.columns]
@@ -89,6 +104,7 @@ def ordered_columns(
     out += [F.coalesce("_next", "_head_c")[n].alias(n) for n in lead]
     out += [F.coalesce(f"_run_{n}", f"_last_c_{n}").alias(n) for n in last]
     out += [(F.coalesce(F.col(f"_acc_{n}"), F.lit(0)) + F.col(f"_sum_c_{n}")).alias(n) for n in total]
+    out += [F.coalesce(f"_fol_{n}", f"_first_c_{n}").alias(n) for n in following]
     return joined.select(*out)
 
 
@@ -123,13 +139,18 @@ def gap_starts(
 def episodes(
     df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str], active: Column, **kw
 ) -> DataFrame:
-    """State islands: one row per run of ``active`` rows, with ``ended_at`` of the
-    first inactive row after it (null while the run is open).
+    """State islands: one row per run of ``active`` rows, its first, with ``ended_at``
+    of the first inactive row after it (null while the run is open).
 
-    Only the change rows go on to the second pass, so it is small next to the first.
+    An active row's end is the next inactive time, whatever lies between, so one
+    pass finds starts and ends together.
     """
     flagged = df.withColumn("_on", F.coalesce(active, F.lit(False)))
-    seen = ordered_columns(flagged, keys, ts, ties, lag={"_was_on": F.col("_on")}, **kw)
-    changes = seen.where(F.col("_on") != F.coalesce("_was_on", F.lit(False)))
-    paired = ordered_columns(changes, keys, ts, ties, lead={"ended_at": F.col(ts)}, **kw)
-    return paired.where("_on").drop("_on", "_was_on")
+    seen = ordered_columns(
+        flagged, keys, ts, ties,
+        lag={"_was_on": F.col("_on")},
+        following={"ended_at": F.when(~F.col("_on"), F.col(ts))},
+        **kw,
+    )
+    starts = F.col("_on") & ~F.coalesce("_was_on", F.lit(False))
+    return seen.where(starts).drop("_on", "_was_on")

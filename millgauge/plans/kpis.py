@@ -83,7 +83,7 @@ def power_consumption(minutes: DataFrame) -> DataFrame:
         .groupBy("machine_id", "production_date")
         .agg(
             (num(F.sum("power_sum")) / 60).alias("total_kwh"),
-            F.round(F.avg("avg_power_kw"), 6).alias("avg_kw"),
+            F.round(F.avg("avg_power_kw"), 9).alias("avg_kw"),
         )
     )
 

@@ -153,7 +153,7 @@ def catalogue() -> dict[str, Column]:
         "total_planned_min": num("c_planned_min"),
         "avg_temperature_c": ratio("c_temp_sum", "c_reading_count"),
         "max_temperature_c": num("c_max_temp"),
-        "avg_vibration_mm_s": F.round("c_avg_vibration", 6),
+        "avg_vibration_mm_s": F.round("c_avg_vibration", 9),
         "availability": availability(),
         "availability_all_stops": availability_all_stops(),
         "performance": performance(),
@@ -200,8 +200,9 @@ _NEEDS_MEMBERS = {"oee_gap_units", "quality_loss_min", "energy_intensity_vs_rate
 
 
 def _with_group(fact: DataFrame, machines: DataFrame, group: Sequence[str]) -> DataFrame:
-    missing = [g for g in group if g in MACHINE_ATTRIBUTES and g not in fact.columns]
-    return lookup(fact, machines.select("machine_key", *missing), "machine_key") if missing else fact
+    """Machine attributes always come from the dimension, so every fact groups alike."""
+    wanted = [g for g in group if g in MACHINE_ATTRIBUTES and g != "machine_key"]
+    return lookup(fact.drop(*wanted), machines.select("machine_key", *wanted), "machine_key") if wanted else fact
 
 
 def _meet(left: DataFrame, right: DataFrame, group: Sequence[str]) -> DataFrame:

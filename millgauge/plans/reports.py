@@ -175,13 +175,13 @@ def machine_tooltip(star) -> DataFrame:
 def first_generation_page(star) -> DataFrame:
     """Per machine: mean OEE parts, mean utilisation, summed energy and stops of the views."""
     views = kpis.oee(star.minute_kpis, star.master, star.planned_time)
-    mean = lambda col: F.round(F.avg(col), 6).alias(col)
+    mean = lambda col: F.round(F.avg(col), 9).alias(col)
     parts = views.groupBy("machine_id").agg(
         *[mean(x) for x in ("availability_pct", "performance_pct", "quality_pct", "oee_pct")]
     )
     use = kpis.utilization(star.minute_kpis).groupBy("machine_id").agg(mean("utilization_pct"))
     power = kpis.power_consumption(star.minute_kpis).groupBy("machine_id").agg(
-        F.round(F.sum("total_kwh"), 6).alias("total_kwh")
+        F.round(F.sum("total_kwh"), 9).alias("total_kwh")
     )
     stops = kpis.downtime(star.downtime_events).groupBy("machine_id").agg(
         F.round(F.sum("total_downtime_minutes"), 2).alias("total_downtime_minutes")

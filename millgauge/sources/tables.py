@@ -14,6 +14,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The same table as a stream of files; works for a single file and for a folder of parts."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    one_file = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isFile()
+    if one_file:
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return reader.parquet(path)
+
+
 def telemetry_columns() -> dict:
     """How one row of ``events`` stands in for one sensor reading."""
     value = F.col("value").cast("decimal(10,2)")
