@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ("versions", "expressions", "joins", "aggregates", "indicators", "report_queries", "dimensions_queries", "model_queries")
+SECTIONS = ("versions", "expressions", "joins", "aggregates", "indicators", "report_queries", "dimensions_queries", "model_queries",
+            "stream_queries")
 
 
 def load():
