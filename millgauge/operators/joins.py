@@ -50,13 +50,17 @@ def version_windows(versions: DataFrame, key: str) -> DataFrame:
     )
 
 
-def as_of_version(facts: DataFrame, versions: DataFrame, key: str, ts: str) -> DataFrame:
+def as_of_version(
+    facts: DataFrame, versions: DataFrame, key: str, ts: str, reach_back: bool = True
+) -> DataFrame:
     """Attach the version valid at ``ts``: equality on the key, range as residual.
 
-    Rows older than the first version take the first one. ``versions`` must not
-    share other column names with ``facts``.
+    Rows older than the first version take the first one; ``reach_back=False`` saves
+    that step for dimensions whose first versions start before all facts. ``versions``
+    must not share other column names with ``facts``.
     """
-    dim = version_windows(versions, key).withColumnRenamed(key, "_vkey")
+    dim = version_windows(versions, key) if reach_back else versions.withColumn("_from", F.col("valid_from"))
+    dim = dim.withColumnRenamed(key, "_vkey")
     hit = (
         (F.col(key) == F.col("_vkey"))
         & (F.col(ts) >= F.col("_from"))

@@ -23,7 +23,8 @@ def conform(
     """Attach every conformed key; an unresolved lookup becomes -1, never null.
 
     ``version`` picks the machine row valid at event time (``as_of``) or the
-    current one (``current``).
+    current one (``current``). Loaded machines start at a fixed early date, so
+    every reading falls into some version.
     """
     ts = F.col("event_time")
     out = readings.withColumns(
@@ -38,7 +39,7 @@ def conform(
     wanted = ["machine_id", "machine_key", "ideal_cycle_time_sec", "valid_from", "valid_to", "is_current"]
     dim = machines.select(*wanted)
     if version == "as_of":
-        out = as_of_version(out, dim, "machine_id", "event_time")
+        out = as_of_version(out, dim, "machine_id", "event_time", reach_back=False)
     else:
         out = lookup(out, dim.where("is_current"), "machine_id")
     out = out.drop("valid_from", "valid_to", "is_current")
@@ -64,28 +65,28 @@ def sensor_fact(conformed: DataFrame, reading_seconds: float = READING_SECONDS)
     )
 
 
-def _count_if(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
+def _count_if(cond: str) -> str:
+    return f"count(if({cond}, 1, NULL))"
 
 
 # Additive parts of the hourly fact: name → aggregate over readings. All are sums,
 # counts or maxima, so partial results combine and merge in any order.
-def hourly_parts(reading_seconds: int = READING_SECONDS) -> dict[str, Column]:
-    seconds = lambda cond: _count_if(cond) * reading_seconds
+def hourly_parts(reading_seconds: int = READING_SECONDS) -> dict[str, str]:
+    seconds = lambda cond: f"{_count_if(cond)} * {int(reading_seconds)}"
     return {
-        "reading_count": F.count("*"),
-        "units_produced": F.sum(null_as_zero("units_produced")).cast("bigint"),
-        "good_units": F.sum(null_as_zero("good_units")).cast("bigint"),
-        "runtime_seconds": seconds(F.col("is_productive")),
-        "idle_seconds": seconds(F.upper("status") == "IDLE"),
-        "downtime_seconds": seconds(F.col("is_downtime")),
-        "planned_stop_seconds": seconds(F.col("is_planned_downtime")),
-        "kw_seconds": F.sum(F.col("power_kw") * reading_seconds),
-        "temp_sum": F.sum("temperature_c"),
-        "max_temperature_c": F.max("temperature_c"),
-        "vibration_sum": F.sum("vibration_mm_s"),
-        "vibration_count": F.count("vibration_mm_s"),
-        "max_vibration_mm_s": F.max("vibration_mm_s"),
+        "reading_count": "count(*)",
+        "units_produced": "cast(sum(coalesce(units_produced, 0)) AS bigint)",
+        "good_units": "cast(sum(coalesce(good_units, 0)) AS bigint)",
+        "runtime_seconds": seconds("is_productive"),
+        "idle_seconds": seconds("upper(status) = 'IDLE'"),
+        "downtime_seconds": seconds("is_downtime"),
+        "planned_stop_seconds": seconds("is_planned_downtime"),
+        "kw_seconds": f"sum(power_kw * {int(reading_seconds)})",
+        "temp_sum": "sum(temperature_c)",
+        "max_temperature_c": "max(temperature_c)",
+        "vibration_sum": "sum(vibration_mm_s)",
+        "vibration_count": "count(vibration_mm_s)",
+        "max_vibration_mm_s": "max(vibration_mm_s)",
     }
 
 
@@ -102,7 +103,7 @@ def hourly_components(conformed: DataFrame, reading_seconds: int = READING_SECON
     return (
         conformed.withColumn("window_start", F.date_trunc("hour", "event_time"))
         .groupBy(*GRAIN)
-        .agg(*[c.alias(n) for n, c in hourly_parts(reading_seconds).items()])
+        .agg(*[F.expr(text).alias(n) for n, text in hourly_parts(reading_seconds).items()])
     )
 
 
@@ -149,35 +150,33 @@ def slice_average_energy() -> Column:
     return ratio(F.sum("power_kw"), F.count("power_kw"))
 
 
-def minute_aggregates() -> dict[str, Column]:
-    """Aggregates of the one-minute indicators; batch and stream share them."""
-    is_ = lambda *codes: F.col("status").isin(*codes)
-    return {
-        "reading_count": F.count("*"),
-        "temp_sum": F.sum("temperature_c"),
-        "avg_temperature_c": ratio(F.sum("temperature_c"), F.count("temperature_c")),
-        "max_temperature_c": F.max("temperature_c"),
-        "avg_power_kw": ratio(F.sum("power_kw"), F.count("power_kw")),
-        "total_power_kwh": num(F.sum("power_kw")) / 60,
-        "running_seconds": _count_if(is_("RUNNING")),
-        "idle_seconds": _count_if(is_("IDLE")),
-        "down_seconds": _count_if(is_("DOWN", "FAULT")),
-        "units_produced": F.sum("units_produced").cast("bigint"),
-        "good_units": F.sum("good_units").cast("bigint"),
-        "power_sum": F.sum("power_kw"),
-    }
+# Aggregates of the one-minute indicators; batch and stream share them.
+MINUTE_AGGREGATES = {
+    "reading_count": "count(*)",
+    "temp_sum": "sum(temperature_c)",
+    "avg_temperature_c": "cast(sum(temperature_c) AS double) / nullif(count(temperature_c), 0)",
+    "max_temperature_c": "max(temperature_c)",
+    "avg_power_kw": "cast(sum(power_kw) AS double) / nullif(count(power_kw), 0)",
+    "total_power_kwh": "cast(sum(power_kw) AS double) / 60",
+    "running_seconds": _count_if("status = 'RUNNING'"),
+    "idle_seconds": _count_if("status = 'IDLE'"),
+    "down_seconds": _count_if("status IN ('DOWN', 'FAULT')"),
+    "units_produced": "cast(sum(units_produced) AS bigint)",
+    "good_units": "cast(sum(good_units) AS bigint)",
+    "power_sum": "sum(power_kw)",
+}
 
 
 def minute_kpis(readings: DataFrame) -> DataFrame:
     """One row per machine and minute. Works on a batch or a watermarked stream."""
     return (
         readings.groupBy("machine_id", F.window("event_time", "1 minute").alias("w"))
-        .agg(*[c.alias(n) for n, c in minute_aggregates().items()])
+        .agg(*[F.expr(text).alias(n) for n, text in MINUTE_AGGREGATES.items()])
         .select(
             "machine_id",
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
-            *minute_aggregates(),
+            *MINUTE_AGGREGATES,
         )
     )
 

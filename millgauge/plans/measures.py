@@ -8,7 +8,7 @@ the small results meet in a full outer join on the group columns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,26 +22,29 @@ TARIFF = 0.14
 MACHINE_ATTRIBUTES = ("machine_key", "machine_id", "machine_name", "machine_type", "production_line", "plant_code")
 
 # ---- components -------------------------------------------------------------
+PRODUCTION_SUMS = {
+    "c_readings": "count(*)",
+    "c_units": "cast(sum(units_produced) AS bigint)",
+    "c_good": "cast(sum(good_units) AS bigint)",
+    "c_scrap": "cast(sum(scrap_units) AS bigint)",
+    "c_runtime_s": "sum(runtime_seconds)",
+    "c_idle_s": "sum(idle_seconds)",
+    "c_downtime_s": "sum(downtime_seconds)",
+    "c_planned_stop_s": "sum(planned_stop_seconds)",
+    "c_planned_min": "sum(planned_minutes)",
+    "c_kw_seconds": "sum(kw_seconds)",
+    "c_temp_sum": "sum(temp_sum)",
+    "c_reading_count": "sum(reading_count)",
+    "c_ideal_seconds": "sum(units_produced * ideal_cycle_time_sec)",
+    "c_max_temp": "max(max_temperature_c)",
+    "c_avg_vibration": "avg(avg_vibration_mm_s)",
+    "c_last_end": "max(window_end)",
+    "c_machines": "count(DISTINCT machine_key)",
+}
+
+
 def production_sums() -> dict[str, Column]:
-    return {
-        "c_readings": F.count("*"),
-        "c_units": F.sum("units_produced").cast("bigint"),
-        "c_good": F.sum("good_units").cast("bigint"),
-        "c_scrap": F.sum("scrap_units").cast("bigint"),
-        "c_runtime_s": F.sum("runtime_seconds"),
-        "c_idle_s": F.sum("idle_seconds"),
-        "c_downtime_s": F.sum("downtime_seconds"),
-        "c_planned_stop_s": F.sum("planned_stop_seconds"),
-        "c_planned_min": F.sum("planned_minutes"),
-        "c_kw_seconds": F.sum("kw_seconds"),
-        "c_temp_sum": F.sum("temp_sum"),
-        "c_reading_count": F.sum("reading_count"),
-        "c_ideal_seconds": F.sum(F.col("units_produced") * F.col("ideal_cycle_time_sec")),
-        "c_max_temp": F.max("max_temperature_c"),
-        "c_avg_vibration": F.avg("avg_vibration_mm_s"),
-        "c_last_end": F.max("window_end"),
-        "c_machines": F.count_distinct("machine_key"),
-    }
+    return {name: F.expr(text) for name, text in PRODUCTION_SUMS.items()}
 
 
 # Parts that add up over disjoint groups, so windows over dates may sum them.
@@ -140,55 +143,55 @@ def mttr_hours() -> Column:
     return ratio("c_stop_minutes", "c_stops") / 60
 
 
-def catalogue() -> dict[str, Column]:
-    """Every measure by name."""
+def catalogue() -> dict[str, Callable[[], Column]]:
+    """Every measure by name; an expression is built only when it is asked for."""
     return {
-        "total_readings": F.col("c_readings"),
-        "total_units": F.col("c_units"),
-        "total_good_units": F.col("c_good"),
-        "total_scrap_units": F.col("c_scrap"),
-        "total_runtime_min": num("c_runtime_s") / 60,
-        "total_idle_min": num("c_idle_s") / 60,
-        "total_downtime_min": num("c_downtime_s") / 60,
-        "total_planned_min": num("c_planned_min"),
-        "avg_temperature_c": ratio("c_temp_sum", "c_reading_count"),
-        "max_temperature_c": num("c_max_temp"),
-        "avg_vibration_mm_s": F.round("c_avg_vibration", 9),
-        "availability": availability(),
-        "availability_all_stops": availability_all_stops(),
-        "performance": performance(),
-        "quality": quality(),
-        "oee": oee(),
-        "oee_target": F.lit(OEE_TARGET),
-        "oee_vs_target": oee() - OEE_TARGET,
-        "oee_gap_units": ratio("c_runtime_s", "c_mean_ideal") - num("c_units"),
-        "availability_loss_min": num("c_planned_min") - num("c_planned_stop_s") / 60 - num("c_runtime_s") / 60,
-        "performance_loss_min": num("c_runtime_s") / 60 * (1 - performance()),
-        "quality_loss_min": num("c_scrap") * F.col("c_mean_ideal") / 60,
-        "scrap_rate": ratio("c_scrap", "c_units"),
-        "first_pass_yield": quality(),
-        "defects_per_million": ratio("c_scrap", "c_units") * 1000000,
-        "downtime_events": F.coalesce("c_stops", F.lit(0)),
-        "mtbf_hours": mtbf_hours(),
-        "mttr_hours": mttr_hours(),
-        "technical_availability": ratio(mtbf_hours(), mtbf_hours() + mttr_hours()),
-        "open_downtime_events": F.coalesce("c_open_stops", F.lit(0)),
-        "unplanned_downtime_min": F.col("c_unplanned_minutes"),
-        "total_alerts": F.col("c_alerts"),
-        "active_alerts": F.col("c_active_alerts"),
-        "critical_alerts": F.col("c_critical_alerts"),
-        "mtta_min": ratio("c_ack_minutes", "c_acked"),
-        "sla_compliance": ratio("c_in_sla", "c_acknowledged"),
-        "alerts_per_1k_units": ratio("c_alerts", "c_units") * 1000,
-        "total_energy_kwh": energy_kwh(),
-        "energy_per_unit_kwh": ratio(energy_kwh(), "c_units"),
-        "energy_cost": energy_kwh() * TARIFF,
-        "energy_intensity_vs_rated": ratio(
+        "total_readings": lambda: F.col("c_readings"),
+        "total_units": lambda: F.col("c_units"),
+        "total_good_units": lambda: F.col("c_good"),
+        "total_scrap_units": lambda: F.col("c_scrap"),
+        "total_runtime_min": lambda: num("c_runtime_s") / 60,
+        "total_idle_min": lambda: num("c_idle_s") / 60,
+        "total_downtime_min": lambda: num("c_downtime_s") / 60,
+        "total_planned_min": lambda: num("c_planned_min"),
+        "avg_temperature_c": lambda: ratio("c_temp_sum", "c_reading_count"),
+        "max_temperature_c": lambda: num("c_max_temp"),
+        "avg_vibration_mm_s": lambda: F.round("c_avg_vibration", 9),
+        "availability": availability,
+        "availability_all_stops": availability_all_stops,
+        "performance": performance,
+        "quality": quality,
+        "oee": oee,
+        "oee_target": lambda: F.lit(OEE_TARGET),
+        "oee_vs_target": lambda: oee() - OEE_TARGET,
+        "oee_gap_units": lambda: ratio("c_runtime_s", "c_mean_ideal") - num("c_units"),
+        "availability_loss_min": lambda: num("c_planned_min") - num("c_planned_stop_s") / 60 - num("c_runtime_s") / 60,
+        "performance_loss_min": lambda: num("c_runtime_s") / 60 * (1 - performance()),
+        "quality_loss_min": lambda: num("c_scrap") * F.col("c_mean_ideal") / 60,
+        "scrap_rate": lambda: ratio("c_scrap", "c_units"),
+        "first_pass_yield": quality,
+        "defects_per_million": lambda: ratio("c_scrap", "c_units") * 1000000,
+        "downtime_events": lambda: F.coalesce("c_stops", F.lit(0)),
+        "mtbf_hours": mtbf_hours,
+        "mttr_hours": mttr_hours,
+        "technical_availability": lambda: ratio(mtbf_hours(), mtbf_hours() + mttr_hours()),
+        "open_downtime_events": lambda: F.coalesce("c_open_stops", F.lit(0)),
+        "unplanned_downtime_min": lambda: F.col("c_unplanned_minutes"),
+        "total_alerts": lambda: F.col("c_alerts"),
+        "active_alerts": lambda: F.col("c_active_alerts"),
+        "critical_alerts": lambda: F.col("c_critical_alerts"),
+        "mtta_min": lambda: ratio("c_ack_minutes", "c_acked"),
+        "sla_compliance": lambda: ratio("c_in_sla", "c_acknowledged"),
+        "alerts_per_1k_units": lambda: ratio("c_alerts", "c_units") * 1000,
+        "total_energy_kwh": energy_kwh,
+        "energy_per_unit_kwh": lambda: ratio(energy_kwh(), "c_units"),
+        "energy_cost": lambda: energy_kwh() * TARIFF,
+        "energy_intensity_vs_rated": lambda: ratio(
             F.try_divide(energy_kwh() * 60, num("c_runtime_s") / 60), "c_mean_rated_kw"
         ),
-        "oee_status_colour": oee_colour(oee()),
-        "selected_machines": F.col("c_machines"),
-        "last_refresh": F.col("c_last_end"),
+        "oee_status_colour": lambda: oee_colour(oee()),
+        "selected_machines": lambda: F.col("c_machines"),
+        "last_refresh": lambda: F.col("c_last_end"),
     }
 
 
@@ -241,7 +244,7 @@ def measures(star, names: Sequence[str], group: Sequence[str] = (), facts: dict
         attrs = [g for g in group if g in MACHINE_ATTRIBUTES]
         parts = lookup(parts, members, attrs) if attrs else parts.crossJoin(members)
     known = catalogue()
-    return parts.select(*group, *[known[n].alias(n) for n in names])
+    return parts.select(*group, *[known[n]().alias(n) for n in names])
 
 
 def theoretical_minutes_per_machine(hourly: DataFrame, machines: DataFrame, group: Sequence[str]) -> DataFrame:

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Recording the caller of every column expression costs more than planning it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

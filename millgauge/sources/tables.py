@@ -7,8 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import GAUGE
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -27,37 +25,25 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger:
     return reader.parquet(path)
 
 
-def telemetry_columns() -> dict:
-    """How one row of ``events`` stands in for one sensor reading."""
-    value = F.col("value").cast("decimal(10,2)")
-    made = F.col("event_type").isin("click", "view", "purchase")
-    units = F.when(made, (F.col("user_id") % 3 + 1).cast("int")).otherwise(0)
-    spoiled = F.when(made & (F.col("event_id") % 33 == 0), 1).otherwise(0)
-    status = (
-        F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 2 == 0, "FAULT").otherwise("DOWN"))
-        .when(F.col("event_type") == "signup", "IDLE")
-        .when(F.col("event_type") == "view", "running")
-        .when(F.col("event_type") == "click", "RUNNING")
-        .when(F.col("event_id") % 50 == 0, "TELEPORTING")
-        .otherwise("RUNNING")
-    )
-    return {
-        "reading_id": F.col("event_id"),
-        "machine_id": F.concat(F.lit("M-"), (F.col("user_id") % 6 + 101).cast("string")),
-        "event_time": F.col("ts").cast("timestamp"),
-        "temperature_c": (value * F.lit(0.5).cast("decimal(2,1)") + 30).cast(GAUGE),
-        "power_kw": (value * F.lit(0.1).cast("decimal(2,1)")).cast(GAUGE),
-        "vibration_mm_s": (
-            (F.col("event_id") % 80).cast("decimal(10,0)") * F.lit(0.1).cast("decimal(2,1)")
-        ).cast(GAUGE),
-        "status": status,
-        "units_produced": units.cast("int"),
-        "good_units": (units - spoiled).cast("int"),
-    }
+# How one row of ``events`` stands in for one sensor reading.
+TELEMETRY = {
+    "reading_id": "event_id",
+    "machine_id": "concat('M-', cast(user_id % 6 + 101 AS string))",
+    "event_time": "cast(ts AS timestamp)",
+    "temperature_c": "cast(cast(value AS decimal(10,2)) * cast(0.5 AS decimal(2,1)) + 30 AS decimal(10,3))",
+    "power_kw": "cast(cast(value AS decimal(10,2)) * cast(0.1 AS decimal(2,1)) AS decimal(10,3))",
+    "vibration_mm_s": "cast(cast(event_id % 80 AS decimal(10,0)) * cast(0.1 AS decimal(2,1)) AS decimal(10,3))",
+    "status": """CASE WHEN event_type = 'error' THEN if(event_id % 2 = 0, 'FAULT', 'DOWN')
+        WHEN event_type = 'signup' THEN 'IDLE' WHEN event_type = 'view' THEN 'running'
+        WHEN event_type = 'purchase' AND event_id % 50 = 0 THEN 'TELEPORTING' ELSE 'RUNNING' END""",
+    "units_produced": "cast(if(event_type IN ('click', 'view', 'purchase'), user_id % 3 + 1, 0) AS int)",
+    "good_units": """cast(if(event_type IN ('click', 'view', 'purchase'),
+        user_id % 3 + 1 - if(event_id % 33 = 0, 1, 0), 0) AS int)""",
+}
 
 
 def telemetry(events: DataFrame) -> DataFrame:
-    return events.select(*[c.alias(n) for n, c in telemetry_columns().items()])
+    return events.selectExpr(*[f"{text} AS {name}" for name, text in TELEMETRY.items()])
 
 
 def line_output(lineitem: DataFrame) -> DataFrame:
