@@ -144,6 +144,11 @@ def state_machine(x: Context):
     return x.star.downtime_events
 
 
+@query("st17_stream", "SELECT event_id, machine_id, start_time AS started_at, end_time AS ended_at, duration_minutes, reason_code FROM downtime_events")
+def state_machine_stream(x: Context):
+    return first_run(x).stops(x.spark).select("event_id", "machine_id", "started_at", "ended_at", "duration_minutes", "reason_code")
+
+
 @query("st18", """SELECT 'readings' AS sink, count(*) AS rows FROM readings UNION ALL SELECT 'minutes', count(*) FROM minutes UNION ALL SELECT 'alerts', count(*) FROM failure_alerts""")
 def several_queries(x: Context):
     job = first_run(x)

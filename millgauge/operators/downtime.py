@@ -51,36 +51,71 @@ def status_episodes(readings: DataFrame) -> DataFrame:
     )
 
 
-def batch_changes(conformed: DataFrame, open_episodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(opened, closed) of one micro-batch, seeded with the stops still open before it.
+def split_runs(rows: DataFrame, down: Column, open_episodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(starts, ends) of one micro-batch, seeded with the stops still open before it.
 
-    ``open_episodes`` has machine_id and open_started_at, one row per machine.
+    ``open_episodes`` has machine_id and open_started_at, one row per machine. Starts
+    keep all columns of their first row; ends are machine_id, started_at, ended_at.
     """
     seed = open_episodes.select("machine_id", "open_started_at")
-    down = conformed.withColumn("_down", is_down())
+    marked = rows.withColumn("_down", down)
     # Runs of this batch; one that continues an open stop is not a new stop.
     runs = ordered_columns(
-        down, ["machine_id"], "event_time", ["reading_id"],
+        marked, ["machine_id"], "event_time", ["reading_id"],
         lag={"_prev": F.col("_down")},
         following={"ended_at": F.when(~F.col("_down"), F.col("event_time"))},
     ).where(F.col("_down") & ~F.coalesce("_prev", F.lit(False)))
     runs = runs.join(small(seed), "machine_id", "left")
     starts = runs.where(F.col("_prev").isNotNull() | F.col("open_started_at").isNull())
+    ended = starts.where("ended_at IS NOT NULL").select(
+        "machine_id", F.col("event_time").alias("started_at"), "ended_at"
+    )
+    # A stop open from before ends with the first up row of its machine.
+    first_up = marked.where(~F.col("_down")).groupBy("machine_id").agg(F.min("event_time").alias("ended_at"))
+    carried = seed.join(first_up, "machine_id").select(
+        "machine_id", F.col("open_started_at").alias("started_at"), "ended_at"
+    )
+    return starts, ended.unionByName(carried)
+
+
+def batch_changes(conformed: DataFrame, open_episodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(opened, closed) stops of one micro-batch in fact shape."""
+    starts, ends = split_runs(conformed, is_down(), open_episodes)
     opened = starts.select(
         "machine_id", "date_key", "time_key", "machine_key", "status_key", "shift_key",
         F.col("event_time").alias("started_at"),
         F.coalesce("is_planned_downtime", F.lit(False)).alias("is_planned"),
         F.upper("status").alias("reason_code"),
     )
-    ended = starts.where("ended_at IS NOT NULL").select(
-        "machine_id", F.col("event_time").alias("started_at"), "ended_at"
+    return opened, ends
+
+
+def status_changes(readings: DataFrame, open_episodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(opened, closed) by exact DOWN or FAULT status: the earlier state machine."""
+    starts, ends = split_runs(readings, is_down(STOP_STATUSES), open_episodes)
+    opened = starts.select(
+        F.col("reading_id").alias("event_id"), "machine_id",
+        F.col("event_time").alias("started_at"), F.col("status").alias("reason_code"),
     )
-    # A stop open from before ends with the first up row of its machine.
-    first_up = down.where(~F.col("_down")).groupBy("machine_id").agg(F.min("event_time").alias("ended_at"))
-    carried = seed.join(first_up, "machine_id").select(
-        "machine_id", F.col("open_started_at").alias("started_at"), "ended_at"
+    return opened, ends
+
+
+def still_open(before: DataFrame, opened: DataFrame, closed: DataFrame) -> DataFrame:
+    """Open stops after a batch: those before and the new ones, less the closed."""
+    keys = ["machine_id", "open_started_at"]
+    started = lambda df: df.select("machine_id", F.col("started_at").alias("open_started_at"))
+    return before.select(*keys).unionByName(started(opened)).join(started(closed), keys, "left_anti")
+
+
+def as_open(opened: DataFrame) -> DataFrame:
+    """Start rows with empty end columns, ready to be closed."""
+    return opened.withColumns(
+        {
+            "ended_at": F.lit(None).cast("timestamp"),
+            "duration_minutes": F.lit(None).cast("double"),
+            "is_open": F.lit(True),
+        }
     )
-    return opened, ended.unionByName(carried)
 
 
 def close_episodes(fact: DataFrame, closed: DataFrame) -> DataFrame:

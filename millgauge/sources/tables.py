@@ -69,9 +69,10 @@ def line_output(lineitem: DataFrame) -> DataFrame:
 def read_months(
     spark: SparkSession, path: str, start: dt.datetime, end: dt.datetime, ts: str = "event_ts"
 ) -> DataFrame:
-    """Fact rows in ``[start, end)``; the month bounds reach the partition filter."""
+    """Fact rows in ``[start, end)`` UTC; the month bounds reach the partition filter."""
+    instant = lambda t: F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
     return spark.read.parquet(path).where(
         F.col("event_month").between(start.strftime("%Y%m"), end.strftime("%Y%m"))
-        & (F.col(ts) >= F.lit(start))
-        & (F.col(ts) < F.lit(end))
+        & (F.col(ts) >= instant(start))
+        & (F.col(ts) < instant(end))
     )

@@ -15,6 +15,23 @@ from ..operators.sequence import ordered_columns
 from ..sources import messages, sinks
 from . import state
 
+# Declared schemas of the written tables: a table without rows has no file to infer from.
+DEAD_LETTERS = (
+    "source_batch string, kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp, "
+    "raw_payload string, failure_reason string, quarantined_at timestamp, replayed_at timestamp"
+)
+ALERTS = (
+    "reading_id bigint, date_key int, time_key smallint, machine_key bigint, alert_type_key smallint, "
+    "shift_key smallint, raised_at timestamp, alert_count int, trigger_value double, threshold_value double, "
+    "message string"
+)
+STOPS_OPENED = (
+    "machine_id string, date_key int, time_key smallint, machine_key bigint, status_key smallint, "
+    "shift_key smallint, started_at timestamp, is_planned boolean, reason_code string"
+)
+STATUS_STOPS_OPENED = "event_id bigint, machine_id string, started_at timestamp, reason_code string"
+STOPS_CLOSED = "machine_id string, started_at timestamp, ended_at timestamp"
+
 WATERMARK = "10 minutes"
 FIRST_GENERATION_WATERMARK = "2 minutes"
 STAR_TRIGGER = "30 seconds"
@@ -33,6 +50,21 @@ def without_repeats(readings: DataFrame, delay: str = WATERMARK, keys=("machine_
     return readings.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def save_stops(path, opened: DataFrame, closed: DataFrame, before: DataFrame, batch_id: int) -> None:
+    """Stop changes of one batch and the open stops it leaves behind."""
+    sinks.write_batch(opened, path("stops_opened"), batch_id)
+    sinks.write_batch(closed, path("stops_closed"), batch_id)
+    state.save_state(downtime.still_open(before, opened, closed), path("open_stops"), batch_id)
+
+
+def read_stops(path, spark, opened: str) -> DataFrame:
+    """Stops as one row per episode, closed where an end has arrived."""
+    fact = downtime.as_open(state.read_or_empty(spark, path("stops_opened"), opened))
+    closed = state.read_or_empty(spark, path("stops_closed"), STOPS_CLOSED)
+    ends = closed.groupBy("machine_id", "started_at").agg(F.min("ended_at").alias("ended_at"))
+    return downtime.close_episodes(fact, ends)
+
+
 @dataclass
 class StarJob:
     """Where the stream writes and what it looks up."""
@@ -104,18 +136,9 @@ class StarJob:
         state.save_state(after, self.path("last_seen"), batch_id)
 
     def _downtime(self, conformed: DataFrame, batch_id: int) -> None:
-        spark = conformed.sparkSession
-        before = state.state_before(spark, self.path("open_stops"), state.OPEN_STOPS, batch_id)
+        before = state.state_before(conformed.sparkSession, self.path("open_stops"), state.OPEN_STOPS, batch_id)
         opened, closed = downtime.batch_changes(conformed, before)
-        sinks.write_batch(opened, self.path("stops_opened"), batch_id)
-        sinks.write_batch(closed, self.path("stops_closed"), batch_id)
-        still = before.unionByName(
-            opened.select("machine_id", F.col("started_at").alias("open_started_at"))
-        ).join(
-            closed.select("machine_id", F.col("started_at").alias("open_started_at")),
-            ["machine_id", "open_started_at"], "left_anti",
-        )
-        state.save_state(still.select("machine_id", "open_started_at"), self.path("open_stops"), batch_id)
+        save_stops(self.path, opened, closed, before, batch_id)
 
     # ---- tables as readers see them ----
     def sensor(self, spark) -> DataFrame:
@@ -126,25 +149,20 @@ class StarJob:
         return production.finish_hourly(production.merge_components(parts))
 
     def alert_fact(self, spark) -> DataFrame:
-        return spark.read.parquet(self.path("alerts")).drop("batch_id")
+        return state.read_or_empty(spark, self.path("alerts"), ALERTS)
 
     def downtime_fact(self, spark) -> DataFrame:
-        opened = spark.read.parquet(self.path("stops_opened")).drop("batch_id")
-        fact = opened.withColumns(
-            {
-                "ended_at": F.lit(None).cast("timestamp"),
-                "duration_minutes": F.lit(None).cast("double"),
-                "is_open": F.lit(True),
-            }
-        )
-        closed = state.read_or_empty(
-            spark, self.path("stops_closed"), fact.select("machine_id", "started_at", "ended_at").schema
-        )
-        return downtime.close_episodes(fact, closed.groupBy("machine_id", "started_at").agg(
-            F.min("ended_at").alias("ended_at")))
+        return read_stops(self.path, spark, STOPS_OPENED)
 
     def dead_letters(self, spark) -> DataFrame:
-        return spark.read.parquet(self.path("dead_letters")).drop("batch_id")
+        return state.read_or_empty(spark, self.path("dead_letters"), DEAD_LETTERS)
+
+    def cache_dimensions(self) -> None:
+        """Load the dimensions once for all batches; they are small and change rarely."""
+        for name in ("machines", "statuses", "alert_types"):
+            cached = getattr(self, name).cache()
+            cached.count()
+            setattr(self, name, cached)
 
     def start(self, raw: DataFrame, once: bool = False) -> StreamingQuery:
         """Start on broker-shaped rows. ``once`` works off what is there and stops."""
@@ -160,7 +178,7 @@ class StarJob:
 
 @dataclass
 class FirstGenerationJob:
-    """Raw readings, one-minute indicators, and exclusive alerts as three queries."""
+    """Raw readings, one-minute indicators, and alerts with stops as three queries."""
 
     base: str
 
@@ -191,9 +209,25 @@ class FirstGenerationJob:
         return self._start(kpis, "minutes", "update", write, once)
 
     def start_alerts(self, readings: DataFrame, once: bool = False) -> StreamingQuery:
-        write = lambda df, i: sinks.write_batch(alerts.exclusive_alerts(df), self.path("alerts"), i)
+        """Exclusive alerts and stops; the previous status lives in a state table, not in the driver."""
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                sinks.write_batch(alerts.exclusive_alerts(batch), self.path("alerts"), batch_id)
+                before = state.state_before(
+                    batch.sparkSession, self.path("open_stops"), state.OPEN_STOPS, batch_id
+                )
+                opened, closed = downtime.status_changes(batch, before)
+                save_stops(self.path, opened, closed, before, batch_id)
+            finally:
+                batch.unpersist()
+
         return self._start(readings, "alerts", "append", write, once)
 
+    def stops(self, spark) -> DataFrame:
+        return read_stops(self.path, spark, STATUS_STOPS_OPENED)
+
     def minutes(self, spark) -> DataFrame:
         return sinks.latest(spark.read.parquet(self.path("minutes")), ["machine_id", "window_start"])
 

@@ -26,7 +26,7 @@ LAST_SEEN = T.StructType(
 )
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Table at ``path``, or no rows before its first write."""
     try:
         return spark.read.schema(schema).parquet(path)

@@ -75,11 +75,15 @@ def compare(spark, con, queries, oracles, name, folder):
 
 
 def main(argv):
+    from pyspark.sql import SparkSession
+
     from millgauge.session import build_session
     import __spark_entry__ as entry
 
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    plain = os.environ.get("PLAIN_SESSION")  # a session with none of our settings
+    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate() if plain else
+             build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"}))
     con = duck(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()
     names = [n for n in queries if not argv or any(n == a or n.startswith(a.rstrip("*")) and a.endswith("*") for a in argv)]
