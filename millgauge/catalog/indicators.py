@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bands import trend
+from ..functions.numeric import steady_mean, steady_sum
 from ..plans import kpis, reports, timeintel
 from ..plans.measures import WINDOW_PARTS, alerts_last_day, measures, oee, window_components
 from ..sources import tables
 from .registry import Context, query
-from .sql import A, OEE, P, Q, alert_parts, line_oee, parts, stop_parts
+from .sql import A, OEE, P, Q, alert_parts, line_oee, mean, parts, stop_parts, total
 
 # ---- views ------------------------------------------------------------------
 LIVE_SQL = """SELECT m.machine_id, machine_name, machine_type, location, status, event_time AS last_event_time,
@@ -59,7 +60,7 @@ def utilization(x):
 
 query("kpi4", UTIL_SQL)(utilization)
 
-POWER_SQL = """SELECT machine_id, CAST(window_start AS DATE) AS production_date, CAST(sum(power_sum) AS DOUBLE) / 60 AS total_kwh, round(avg(avg_power_kw), 9) AS avg_kw FROM minutes GROUP BY ALL"""
+POWER_SQL = f"""SELECT machine_id, CAST(window_start AS DATE) AS production_date, CAST(sum(power_sum) AS DOUBLE) / 60 AS total_kwh, {mean('avg_power_kw')} AS avg_kw FROM minutes GROUP BY ALL"""
 
 
 def power(x):
@@ -131,7 +132,7 @@ BY_MACHINE: dict[str, tuple[dict[str, str], str]] = {
                "total_downtime_min": "CAST(c_down AS DOUBLE) / 60", "total_planned_min": "c_planned"}, _BY_MACHINE),
     "m9": ({"avg_temperature_c": "c_temp / c_n"}, _BY_MACHINE),
     "m10": ({"max_temperature_c": "c_max"}, _BY_MACHINE),
-    "m11": ({"avg_vibration_mm_s": "round(c_vib, 9)"}, _BY_MACHINE),
+    "m11": ({"avg_vibration_mm_s": "c_vib"}, _BY_MACHINE),
     "m12": ({"availability": A, "availability_all_stops":
              "(CAST(c_run AS DOUBLE) / 60) / nullif(c_planned - CAST(c_down AS DOUBLE) / 60, 0)"}, _BY_MACHINE),
     "m13": ({"performance": P}, _BY_MACHINE),
@@ -291,10 +292,10 @@ def legacy_status(x: Context):
                        F.try_divide(F.count_if(F.col("connectivity") == "ONLINE"), F.count("*")).alias("online"))
 
 
-@query("m59_m61", f"""SELECT round(avg(avg_temp_last_1h), 9) AS avg_1h, round(avg(avg_temp_last_24h), 9) AS avg_24h, max(max_temp_last_24h) AS max_24h FROM ({TEMP_SQL})""")
+@query("m59_m61", f"""SELECT {mean('avg_temp_last_1h')} AS avg_1h, {mean('avg_temp_last_24h')} AS avg_24h, max(max_temp_last_24h) AS max_24h FROM ({TEMP_SQL})""")
 def legacy_temperature(x: Context):
-    return temperature(x).agg(F.round(F.avg("avg_temp_last_1h"), 9).alias("avg_1h"),
-                              F.round(F.avg("avg_temp_last_24h"), 9).alias("avg_24h"), F.max("max_temp_last_24h").alias("max_24h"))
+    return temperature(x).agg(steady_mean("avg_temp_last_1h").alias("avg_1h"),
+                              steady_mean("avg_temp_last_24h").alias("avg_24h"), F.max("max_temp_last_24h").alias("max_24h"))
 
 
 @query("m62_m63", f"""SELECT count(*) FILTER (WHERE NOT acknowledged) AS active, count(*) FILTER (WHERE severity = 'CRITICAL') AS critical FROM ({ALERT_SQL})""")
@@ -303,16 +304,16 @@ def legacy_alerts(x: Context):
                              F.count_if(F.col("severity") == "CRITICAL").alias("critical"))
 
 
-@query("m64_m67", f"""SELECT (SELECT round(avg(utilization_pct), 9) FROM ({UTIL_SQL})) AS utilization_pct, (SELECT round(sum(total_kwh), 9) FROM ({POWER_SQL})) AS total_kwh,
-  (SELECT round(sum(total_downtime_minutes), 2) FROM ({DOWN_SQL})) AS downtime_min, (SELECT CAST(sum(downtime_events) AS BIGINT) FROM ({DOWN_SQL})) AS downtime_events""")
+@query("m64_m67", f"""SELECT (SELECT {mean('utilization_pct', 2)} FROM ({UTIL_SQL})) AS utilization_pct, (SELECT {total('total_kwh')} FROM ({POWER_SQL})) AS total_kwh,
+  (SELECT {total('total_downtime_minutes', 2)} FROM ({DOWN_SQL})) AS downtime_min, (SELECT CAST(sum(downtime_events) AS BIGINT) FROM ({DOWN_SQL})) AS downtime_events""")
 def legacy_totals(x: Context):
-    return (utilization(x).agg(F.round(F.avg("utilization_pct"), 9).alias("utilization_pct"))
-            .crossJoin(power(x).agg(F.round(F.sum("total_kwh"), 9).alias("total_kwh")))
-            .crossJoin(downtime(x).agg(F.round(F.sum("total_downtime_minutes"), 2).alias("downtime_min"),
+    return (utilization(x).agg(steady_mean("utilization_pct", 2).alias("utilization_pct"))
+            .crossJoin(power(x).agg(steady_sum("total_kwh").alias("total_kwh")))
+            .crossJoin(downtime(x).agg(steady_sum("total_downtime_minutes", 2).alias("downtime_min"),
                                        F.sum("downtime_events").alias("downtime_events"))))
 
 
-@query("m68_m71", "SELECT " + ", ".join(f"round(avg({c}_pct) / 100, 9) AS {c}" for c in ("availability", "performance", "quality", "oee")) + f" FROM ({OEE_VIEW_SQL})")
+@query("m68_m71", "SELECT " + ", ".join(f"{mean(c + '_pct', 2)} / 100 AS {c}" for c in ("availability", "performance", "quality", "oee")) + f" FROM ({OEE_VIEW_SQL})")
 def legacy_oee(x: Context):
-    return oee_view(x).agg(*[F.round(F.avg(f"{c}_pct") / 100, 9).alias(c)
+    return oee_view(x).agg(*[(steady_mean(f"{c}_pct", 2) / 100).alias(c)
                              for c in ("availability", "performance", "quality", "oee")])

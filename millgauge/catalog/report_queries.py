@@ -6,7 +6,7 @@ from ..plans import reports
 from ..sources import seeds
 from .indicators import DOWN_SQL, MTBF, MTTR, OEE_VIEW_SQL, POWER_SQL, UTIL_SQL
 from .registry import Context, query
-from .sql import A, OEE, P, Q, alert_parts, parts, stop_parts
+from .sql import A, OEE, P, Q, alert_parts, mean, parts, stop_parts, total
 
 _ALERTS_BY_KEY = "(SELECT x.*, d.machine_id AS mid FROM alerts x JOIN dim_machine d ON d.machine_key = x.machine_key)"
 _BY_MID = alert_parts("mid", _ALERTS_BY_KEY)
@@ -136,10 +136,10 @@ def tooltip(x: Context):
 
 
 @query("rpt17", f"""SELECT o.*, utilization_pct, total_kwh, total_downtime_minutes FROM
-(SELECT machine_id, round(avg(availability_pct), 9) AS availability_pct, round(avg(performance_pct), 9) AS performance_pct, round(avg(quality_pct), 9) AS quality_pct,
-  round(avg(oee_pct), 9) AS oee_pct FROM ({OEE_VIEW_SQL}) GROUP BY ALL) o
-JOIN (SELECT machine_id, round(avg(utilization_pct), 9) AS utilization_pct FROM ({UTIL_SQL}) GROUP BY ALL) u USING (machine_id)
-JOIN (SELECT machine_id, round(sum(total_kwh), 9) AS total_kwh FROM ({POWER_SQL}) GROUP BY ALL) p USING (machine_id)
-LEFT JOIN (SELECT machine_id, round(sum(total_downtime_minutes), 2) AS total_downtime_minutes FROM ({DOWN_SQL}) GROUP BY ALL) d USING (machine_id)""")
+(SELECT machine_id, {mean('availability_pct', 2)} AS availability_pct, {mean('performance_pct', 2)} AS performance_pct, {mean('quality_pct', 2)} AS quality_pct,
+  {mean('oee_pct', 2)} AS oee_pct FROM ({OEE_VIEW_SQL}) GROUP BY ALL) o
+JOIN (SELECT machine_id, {mean('utilization_pct', 2)} AS utilization_pct FROM ({UTIL_SQL}) GROUP BY ALL) u USING (machine_id)
+JOIN (SELECT machine_id, {total('total_kwh')} AS total_kwh FROM ({POWER_SQL}) GROUP BY ALL) p USING (machine_id)
+LEFT JOIN (SELECT machine_id, {total('total_downtime_minutes', 2)} AS total_downtime_minutes FROM ({DOWN_SQL}) GROUP BY ALL) d USING (machine_id)""")
 def first_pages(x: Context):
     return reports.first_generation_page(x.star)

@@ -204,7 +204,7 @@ def parts(group: str, source: str = "cells", where: str = "") -> str:
   CAST(sum(downtime_seconds) AS BIGINT) AS c_down, CAST(sum(planned_stop_seconds) AS BIGINT) AS c_pstop,
   sum(planned_minutes) AS c_planned, CAST(sum(kw_seconds) AS DOUBLE) AS c_kws, CAST(sum(temp_sum) AS DOUBLE) AS c_temp,
   CAST(sum(reading_count) AS BIGINT) AS c_n, CAST(sum(units_produced * ideal_cycle_time_sec) AS DOUBLE) AS c_ideal,
-  CAST(max(max_temperature_c) AS DOUBLE) AS c_max, avg(avg_vibration_mm_s) AS c_vib, max(window_end) AS c_end,
+  CAST(max(max_temperature_c) AS DOUBLE) AS c_max, CAST(sum(CAST(avg_vibration_mm_s AS DECIMAL(20,9))) AS DOUBLE) / count(avg_vibration_mm_s) AS c_vib, max(window_end) AS c_end,
   count(DISTINCT machine_key) AS c_machines
 FROM {source} {where} {by}"""
 
@@ -215,6 +215,14 @@ Q = "(CAST(c_good AS DOUBLE) / nullif(CAST(c_units AS DOUBLE), 0))"
 OEE = f"({A} * {P} * {Q})"
 
 
+def total(c: str, digits: int = 9) -> str:
+    return f"CAST(sum(CAST({c} AS DECIMAL(20,{digits}))) AS DOUBLE)"
+
+
+def mean(c: str, digits: int = 9) -> str:
+    return f"{total(c, digits)} / CAST(count({c}) AS DOUBLE)"
+
+
 def line_oee(over: str = "") -> str:
     """OEE from the summed day columns, optionally windowed sums."""
     t = lambda c: f"CAST(sum({c}) {over} AS DOUBLE)" if over else f"CAST({c} AS DOUBLE)"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import band
-from ..functions.numeric import num, percent, ratio
+from ..functions.numeric import num, percent, ratio, steady_mean
 from ..operators.joins import lookup, with_as_of
 from ..operators.sequence import newest_per
 
@@ -83,7 +83,7 @@ def power_consumption(minutes: DataFrame) -> DataFrame:
         .groupBy("machine_id", "production_date")
         .agg(
             (num(F.sum("power_sum")) / 60).alias("total_kwh"),
-            F.round(F.avg("avg_power_kw"), 9).alias("avg_kw"),
+            steady_mean("avg_power_kw").alias("avg_kw"),
         )
     )
 

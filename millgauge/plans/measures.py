@@ -37,7 +37,7 @@ PRODUCTION_SUMS = {
     "c_reading_count": "sum(reading_count)",
     "c_ideal_seconds": "sum(units_produced * ideal_cycle_time_sec)",
     "c_max_temp": "max(max_temperature_c)",
-    "c_avg_vibration": "avg(avg_vibration_mm_s)",
+    "c_avg_vibration": "cast(sum(cast(avg_vibration_mm_s AS decimal(20,9))) AS double) / nullif(count(avg_vibration_mm_s), 0)",
     "c_last_end": "max(window_end)",
     "c_machines": "count(DISTINCT machine_key)",
 }
@@ -156,7 +156,7 @@ def catalogue() -> dict[str, Callable[[], Column]]:
         "total_planned_min": lambda: num("c_planned_min"),
         "avg_temperature_c": lambda: ratio("c_temp_sum", "c_reading_count"),
         "max_temperature_c": lambda: num("c_max_temp"),
-        "avg_vibration_mm_s": lambda: F.round("c_avg_vibration", 9),
+        "avg_vibration_mm_s": lambda: F.col("c_avg_vibration"),
         "availability": availability,
         "availability_all_stops": availability_all_stops,
         "performance": performance,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import num
+from ..functions.numeric import num, steady_mean, steady_sum
 from ..operators.joins import lookup
 from ..operators.sequence import newest_per
 from . import kpis, timeintel
@@ -175,16 +175,16 @@ def machine_tooltip(star) -> DataFrame:
 def first_generation_page(star) -> DataFrame:
     """Per machine: mean OEE parts, mean utilisation, summed energy and stops of the views."""
     views = kpis.oee(star.minute_kpis, star.master, star.planned_time)
-    mean = lambda col: F.round(F.avg(col), 9).alias(col)
+    mean = lambda col: steady_mean(col, 2).alias(col)
     parts = views.groupBy("machine_id").agg(
         *[mean(x) for x in ("availability_pct", "performance_pct", "quality_pct", "oee_pct")]
     )
     use = kpis.utilization(star.minute_kpis).groupBy("machine_id").agg(mean("utilization_pct"))
     power = kpis.power_consumption(star.minute_kpis).groupBy("machine_id").agg(
-        F.round(F.sum("total_kwh"), 9).alias("total_kwh")
+        steady_sum("total_kwh").alias("total_kwh")
     )
     stops = kpis.downtime(star.downtime_events).groupBy("machine_id").agg(
-        F.round(F.sum("total_downtime_minutes"), 2).alias("total_downtime_minutes")
+        steady_sum("total_downtime_minutes", 2).alias("total_downtime_minutes")
     )
     return parts.join(use, "machine_id").join(power, "machine_id").join(stops, "machine_id", "left")
 
