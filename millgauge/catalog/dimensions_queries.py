@@ -145,6 +145,18 @@ def accumulate(x: Context):
     return production.finish_hourly(production.merge_components(before, late)).select(*HOURLY_OUT)
 
 
+@query("mrg3_recompute", "SELECT machine_key, window_start, units_produced, good_units FROM hourly")
+def recompute_touched(x: Context):
+    """Replay-safe form: hours that a batch touches are computed again from the atomic
+    rows and replace what was there; doing it twice changes nothing."""
+    atomic = x.star.conformed.withColumn("window_start", F.date_trunc("hour", "event_time"))
+    batch = atomic.crossJoin(F.broadcast(x.newest())).where(
+        F.col("event_time") > F.col("as_of") - F.expr("INTERVAL 90 MINUTES"))
+    fresh = _unit_rows(production.hourly_fact(merge.touched_grain(atomic, batch, production.GRAIN).drop("window_start")))
+    once = merge.upsert(_unit_rows(stale_copy(x)), fresh, production.GRAIN)
+    return merge.upsert(once, fresh, production.GRAIN)
+
+
 @query("mrg4", """SELECT machine_id, started_at, ended_at, duration_minutes, is_open FROM stops""")
 def guarded_update(x: Context):
     """Every stop first as open, then closed by the ends; open ones stay open."""

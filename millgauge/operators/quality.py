@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
 from ..functions.text import row_json
 from .dimensions import date_span
 from .joins import hour_scaffold
+from .sequence import ordered_columns
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -72,14 +73,16 @@ def busy_minutes(alerts: DataFrame, ts: str, limit: int = 100) -> DataFrame:
 
 
 def failure_runs(log: DataFrame, length: int = 3) -> DataFrame:
-    """Batches that complete a run of ``length`` failures of one job.
+    """Batches at which the last ``length`` runs of their job have all failed.
 
-    The log has one row per batch, so the window covers a job's runs, not its data.
+    The run length is the failures so far less the failures up to the last success.
     """
-    w = Window.partitionBy("job_name").orderBy("started_at", "batch_id")
-    failed = (F.col("status") == "FAILED").cast("int")
-    run = F.sum(failed).over(w.rowsBetween(-(length - 1), 0))
-    return log.withColumn("_run", run).where(F.col("_run") == length).drop("_run")
+    by = (["job_name"], "started_at", ["batch_id"])
+    failed = F.col("status") == "FAILED"
+    counted = ordered_columns(log, *by, total={"_fails": failed.cast("bigint")}, chunk_seconds=86400)
+    based = ordered_columns(counted, *by, last={"_base": F.when(~failed, F.col("_fails"))}, chunk_seconds=86400)
+    run = F.col("_fails") - F.coalesce("_base", F.lit(0))
+    return based.where(failed & (run >= length)).select(*log.columns)
 
 
 def duplicate_readings(fact: DataFrame, keys: Sequence[str]) -> DataFrame:

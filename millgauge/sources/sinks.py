@@ -13,14 +13,19 @@ from ..schemas import BATCH_LOG
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
-    """Write one micro-batch under its own partition; writing it again replaces it."""
-    (
-        df.withColumn("batch_id", F.lit(int(batch_id)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", *partitions)
-        .parquet(path)
-    )
+    """Write one micro-batch into its own partition folder.
+
+    Writing it again replaces the folder, also when there is nothing left to write.
+    Readers of ``path`` see ``batch_id`` as a partition column.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.parquet(batch_path(path, batch_id))
+
+
+def batch_path(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={int(batch_id)}"
 
 
 def latest(versions: DataFrame, keys: Sequence[str], version: str = "batch_id") -> DataFrame:

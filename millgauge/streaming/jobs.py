@@ -99,7 +99,7 @@ class StarJob:
                 self._facts(conformed, batch_id)
             finally:
                 conformed.unpersist()
-            written = spark.read.parquet(self.path("sensor")).where(F.col("batch_id") == batch_id).count()
+            written = spark.read.parquet(sinks.batch_path(self.path("sensor"), batch_id)).count()
             sinks.log_batch(spark, self.path("batch_log"), "star_stream", str(batch_id), started, "SUCCESS", written)
         except Exception as exc:
             sinks.log_batch(spark, self.path("batch_log"), "star_stream", str(batch_id), started, "FAILED", error=str(exc))

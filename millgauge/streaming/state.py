@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.sinks import write_batch
+from ..sources.sinks import batch_path, write_batch
 
 OPEN_STOPS = T.StructType(
     [T.StructField("machine_id", T.StringType()), T.StructField("open_started_at", T.TimestampType())]
@@ -37,9 +36,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def state_before(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """State left by the batch before this one; batch ids are consecutive."""
-    keyed = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
-    return read_or_empty(spark, path, keyed).where(F.col("batch_id") == batch_id - 1).drop("batch_id")
+    """State left by the batch before this one; batch ids are consecutive.
+
+    The folder is read by name, so the cost does not grow with the number of batches.
+    """
+    return read_or_empty(spark, batch_path(path, batch_id - 1), schema)
 
 
 def save_state(state: DataFrame, path: str, batch_id: int) -> None:
