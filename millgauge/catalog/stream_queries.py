@@ -126,7 +126,7 @@ def alert_batch(x: Context):
 @query("st15_first", """SELECT machine_key, alert_type_key, min(event_time) AS raised_at FROM candidates c JOIN dim_alert_type a ON a.alert_code = c.alert_code
 GROUP BY ALL""")
 def first_per_batch(x: Context):
-    """Reference emission: one alert per machine and rule for the whole batch, none open before."""
+    """Micro-batch form: one alert per machine and rule for the whole batch, none open before."""
     nothing = x.star.alerts.where("FALSE")
     return alerts.emit_batch(x.star.conformed, x.star.alert_types, nothing).select("machine_key", "alert_type_key", "raised_at")
 
@@ -246,3 +246,68 @@ def job_lineage(x: Context):
 @query("snk8", """SELECT machine_id AS key, to_json({'machine_id': machine_id, 'status': status, 'units_produced': units_produced}) AS value FROM readings""")
 def keyed_sink(x: Context):
     return messages.keyed_messages(x.readings.select("machine_id", "status", "units_produced"), "machine_id")
+
+
+# ---- stream settings ------------------------------------------------------------
+def _append(x: Context, name: str, rows, runs: int = 1, once: bool = True):
+    """Append a stream to a table, ``runs`` times from the same checkpoint."""
+    def start():
+        path = x.path(name)
+        for _ in range(runs):
+            writer = (rows().writeStream.outputMode("append").format("parquet").option("path", path)
+                      .option("checkpointLocation", path + "_checkpoint"))
+            if once:
+                jobs.wait_for([writer.trigger(availableNow=True).start()])
+            else:
+                q = writer.trigger(processingTime=jobs.FIRST_GENERATION_TRIGGER).start()
+                try:
+                    q.processAllAvailable()
+                finally:
+                    q.stop()
+        return path
+
+    return x.spark.read.parquet(_once(x, name, start))
+
+
+_PER_MACHINE = "SELECT machine_id, count(*) AS readings FROM readings GROUP BY ALL"
+
+
+def _per_machine(df):
+    return df.groupBy("machine_id").agg(F.count("*").alias("readings"))
+
+
+@query("st6", _PER_MACHINE)
+def timed_trigger(x: Context):
+    return _per_machine(_append(x, "timed_trigger", lambda: reading_stream(x), once=False))
+
+
+@query("st7", _PER_MACHINE)
+def restarted(x: Context):
+    """A second start from the checkpoint finds nothing left to do."""
+    return _per_machine(_append(x, "restarted", lambda: reading_stream(x), runs=2))
+
+
+@query("st9", _PER_MACHINE)
+def rate_limited(x: Context):
+    limited = lambda: tables.telemetry(tables.table_stream(x.spark, x.folder, "events", files_per_trigger=1))
+    return _per_machine(_append(x, "rate_limited", limited))
+
+
+@query("st11", "SELECT 'malformed JSON' AS failure_reason, count(*) AS messages FROM readings")
+def nothing_valid(x: Context):
+    """A stream of broken messages only: all set aside, no facts, no failure."""
+    def start() -> jobs.StarJob:
+        job = jobs.StarJob(x.path("all_broken"), x.star.machines, x.star.statuses, x.star.alert_types, REARM_MINUTES)
+        broken = to_envelope(reading_stream(x), broken=False).withColumn("value", F.concat(F.lit("<"), F.col("value")))
+        jobs.wait_for([job.start(broken, once=True)])
+        return job
+
+    return _once(x, "all_broken", start).dead_letters(x.spark).groupBy("failure_reason").agg(F.count("*").alias("messages"))
+
+
+@query("src9", "SELECT machine_key, status_key, count(*) AS readings FROM conformed GROUP BY ALL")
+def cached_dimensions(x: Context):
+    job = jobs.StarJob(x.path("cached"), x.star.machines, x.star.statuses, x.star.alert_types)
+    job.cache_dimensions()
+    rows = production.conform(x.readings, job.machines, job.statuses)
+    return rows.groupBy("machine_key", "status_key").agg(F.count("*").alias("readings"))
