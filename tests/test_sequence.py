@@ -125,4 +125,5 @@ def test_batch_changes_follow_batch_form(spark, star):
         for r in closed.collect():
             got[(r.machine_id, r.started_at)] = r.ended_at
         state = spark.createDataFrame(after, "machine_id string, open_started_at timestamp")
+    rows.unpersist()
     assert {(m, s, e) for (m, s), e in got.items()} == whole
