@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import language, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,11 @@ def query(name: str, sql: str | None = None):
 @query("op8_simhash")
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", F.expr("coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1, false)"))
+    model = language.learn(docs.where("doc_id is not null and not held_out"))
+    found = language.identify(docs, model, extra=("held_out",))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "spans")
