@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, simhash
+from . import language, packing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.learn(docs.where("doc_id is not null and not held_out"))
     found = language.identify(docs, model, extra=("held_out",))
     return found.select("doc_id", "held_out", "lang_pred", "score", "spans")
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
