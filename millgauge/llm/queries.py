@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, simhash
+from . import language, packing, personal, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,9 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_packing")
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op5_personal")
+def op5_personal(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.extract(table(spark, folder, "documents"))
+    return found.select("doc_id", *[f"n_{k}" for k in personal.KINDS], "base_sha256", "spans")
