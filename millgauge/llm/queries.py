@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, personal, simhash
+from . import language, nearest, packing, personal, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,20 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_personal(spark: SparkSession, folder: str) -> DataFrame:
     found = personal.extract(table(spark, folder, "documents"))
     return found.select("doc_id", *[f"n_{k}" for k in personal.KINDS], "base_sha256", "spans")
+
+
+@query("op1_nearest", """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::BIGINT AS score
+    FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""")
+def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
