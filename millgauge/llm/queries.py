@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, nearest, packing, personal, simhash
+from . import language, nearest, packing, pages, personal, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """)
 def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_pages")
+def op3_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
