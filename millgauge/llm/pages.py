@@ -192,8 +192,12 @@ def _inherit(blocks: list[Block]) -> None:
 
 def blocks_of(html: str | None) -> list[Block]:
     """All blocks of a page in order, each with its text and label."""
+    html = html or ""
+    last = html.rfind("<!--")
+    if last >= 0 and html.find("-->", last) < 0:  # a comment without end hides the rest, as in browsers
+        html = html[:last]
     cutter = _Cutter()
-    cutter.feed(html or "")
+    cutter.feed(html)
     cutter.close()
     blocks = []
     for block in cutter.blocks:
