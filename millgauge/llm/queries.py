@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, nearest, packing, pages, personal, simhash
+from . import language, nearest, packing, pages, personal, repeats, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_pages")
 def op3_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract(table(spark, folder, "pages"))
+
+
+@query("op9_repeats")
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents"))
