@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, nearest, packing, pages, personal, repeats, simhash
+from . import language, nearest, packing, pages, personal, repeats, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,11 @@ def op3_pages(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_repeats")
 def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    remainder = F.expr("crc32(cast(cast(doc_id AS string) AS binary)) % 4")
+    docs = table(spark, folder, "documents").withColumn("held_out", F.coalesce(remainder == 2, F.lit(False)))
+    model = toxicity.learn(docs, table(spark, folder, "labels").where(remainder != 2))
+    return toxicity.score(docs, model, extra=("held_out",))
