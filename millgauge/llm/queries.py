@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, nearest, packing, pages, personal, repeats, simhash, toxicity
+from . import decontamination, language, nearest, packing, pages, personal, repeats, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", F.coalesce(remainder == 2, F.lit(False)))
     model = toxicity.learn(docs, table(spark, folder, "labels").where(remainder != 2))
     return toxicity.score(docs, model, extra=("held_out",))
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
