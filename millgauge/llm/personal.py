@@ -153,3 +153,24 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         both.alias("span_list"),
         "uid",
     )
+
+
+def mask(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with every span replaced by its kind in brackets; ``id_col`` must tell all rows apart.
+
+    Overlapping spans are replaced together, under the name of the one that starts first.
+    """
+    found = extract(docs, id_col, text_col).where(F.size("span_list") > 0).select(
+        F.col(id_col).alias("masked id"),
+        F.array_sort(F.transform("span_list", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("masked spans"))
+    text = F.col(f"`{text_col}`")
+
+    def step(state: Column, s: Column) -> Column:
+        kept = F.substring(text, state["pos"] + 1, s["start"] - state["pos"])
+        return F.when(s["start"] < state["pos"], F.struct(F.greatest(state["pos"], s["end"]).alias("pos"), state["out"].alias("out"))).otherwise(
+            F.struct(s["end"].alias("pos"), F.concat(state["out"], kept, F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out")))
+
+    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+    masked = F.aggregate("masked spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["pos"] + 1, F.length(text))))
+    joined = docs.join(found, F.col(f"`{id_col}`") == F.col("masked id"), "left")
+    return joined.withColumn(text_col, F.when(F.col("masked id").isNull(), text).otherwise(masked)).select(*[f"`{c}`" for c in docs.columns])
