@@ -6,11 +6,12 @@ document with a smaller id. Method:
 1. Every text yields anchors: of each window the five-word group with the least hash. Equal windows have
    equal anchors, so a window can only recur where its anchor does, and anchors are a fifth of the words.
 2. Texts with anchors that recur send excerpts, the words around such an anchor, to the shard of the
-   anchor. A shard confirms the windows that recur, compiles them (as word sequences) into an
-   automaton and streams its excerpts through it, which locates every occurrence. Shards work in batches of bounded size.
-3. Anchors with many excerpts are split over several tasks. Their windows are confirmed by an
-   aggregation first, which shrinks before its shuffle, and every split gets the confirmed ones.
-4. Windows found go back to their texts, which are cut there.
+   anchor. Equal excerpts of a task are sent once. A shard confirms the windows that recur, compiles them (as
+   word sequences) into an automaton and streams its excerpts through it, which locates every
+   occurrence and gives the smallest id of each. Shards work in batches of bounded size.
+3. The excerpts of an anchor that many texts hold are told apart by a second anchor, the group with the
+   largest hash of each window, which equal windows share as well.
+4. Every text learns from its excerpts which windows to cut, in a join that adaptive execution splits.
 
 Texts equal to the last character are one text with the smallest id of its rows; in later rows every window repeats.
 
@@ -35,7 +36,7 @@ from .common import written
 WINDOW = 13
 ANCHOR_WORDS = 5
 ANCHOR_BITS = 44
-SPLIT_ROWS = 1000  # excerpts of one anchor in a task
+HOT_TEXTS = 1000  # texts with an anchor from which on a second anchor tells its excerpts apart
 BATCH_ROWS = 10_000  # excerpts that one automaton is built from, but for the last anchor
 
 
@@ -47,10 +48,10 @@ def _group_hashes(words: list[bytes], width: int) -> np.ndarray:
     return np.array([digest(line[a:b]) for a, b in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())], dtype=np.uint64)
 
 
-def _anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per window: place and hash of its anchor."""
+def _anchors(words: list[bytes], window: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Per window: place and hash of its anchor, or of its second anchor."""
     groups = (_group_hashes(words, ANCHOR_WORDS) & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(groups, window - ANCHOR_WORDS + 1)
+    views = np.lib.stride_tricks.sliding_window_view(-groups if second else groups, window - ANCHOR_WORDS + 1)
     place = np.empty(len(views), dtype=np.int64)
     for at in range(0, len(views), 1 << 16):
         place[at : at + (1 << 16)] = views[at : at + (1 << 16)].argmin(axis=1) + np.arange(at, min(at + (1 << 16), len(views)))
@@ -82,24 +83,35 @@ def _survey(window: int):
 
 
 def _excerpts(window: int):
-    """(key, id, anchor, words) for the stretches of windows that share a recurring anchor, each once a text."""
+    """For the stretches of windows that share a recurring anchor: (id, excerpt) of each text, and the excerpts themselves."""
+    columns = ["id", "excerpt", "anchor", "words", "low", "high"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for key, number, text, wanted in zip(batch["key"], batch["id"], batch["text"], batch["anchors"]):
+            held, seen = set(), {}
+            for number, text, wanted, hot in zip(batch["id"], batch["text"], batch["anchors"], batch["hot"]):
                 words = _words(text)
+                if len(words) < window:
+                    continue
                 place, value = _anchors(words, window)
                 hit = np.isin(value, np.asarray(wanted, dtype=np.int64))
-                edge = np.flatnonzero(np.diff(np.where(hit, place, -1), prepend=-2))
-                seen = set()
-                for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(place)]):
+                many = np.isin(value, np.asarray(hot, dtype=np.int64))
+                turn = np.diff(np.where(hit, place, -1), prepend=-2) != 0
+                if many.any():
+                    other_place, other = _anchors(words, window, second=True)
+                    turn |= many & (np.diff(other_place, prepend=-2) != 0)
+                    value = np.where(many, value * np.int64(31) + other, value)
+                edge = np.flatnonzero(turn).tolist()
+                for a, b in zip(edge, [*edge[1:], len(place)]):
                     if hit[a]:
                         part = b" ".join(words[a : b - 1 + window])
-                        if part not in seen:
-                            seen.add(part)
-                            rows.append((key, number, int(value[a]), part))
-            yield pd.DataFrame(rows, columns=["key", "id", "anchor", "words"])
+                        name = xxhash.xxh3_64_intdigest(part) - (1 << 63)
+                        held.add((number, name))
+                        _, _, low, high = seen.get(name, (0, b"", number, number))
+                        seen[name] = (int(value[a]), part, min(low, number), max(high, number))
+            rows = [(number, name, None, None, None, None) for number, name in held]
+            rows += [(None, name, *found) for name, found in seen.items()]
+            yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns if c != "words"})
 
     return run
 
@@ -110,47 +122,32 @@ def _windows(part: bytes, window: int) -> Iterator[bytes]:
         yield b" ".join(words[k : k + window])
 
 
-def _explode_windows(window: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(anchor, number, w) for anchor, number, part in zip(batch["anchor"], batch["id"], batch["words"]) for w in _windows(part, window)]
-            yield pd.DataFrame(rows, columns=["anchor", "id", "words"])
-
-    return run
-
-
 def _locate(window: int):
-    """Rows sorted by anchor and split: patterns (no key) and excerpts. Gives (key, hashes of windows to remove)."""
+    """Excerpts sorted by anchor: (excerpt, removed, firsts), its recurring windows and the smallest id of each."""
 
     def found_in(rows: pd.DataFrame) -> pd.DataFrame:
         import ahocorasick
 
-        least: dict[bytes, int] = {}
-        most: dict[bytes, int] = {}
-        texts, patterns = [], {}
-        for key, number, part, hot in zip(rows["key"], rows["id"], rows["words"], rows["splits"]):
-            if key is None:
-                patterns[part] = number
-                continue
-            texts.append((key, number, part))
-            if hot == 1:
-                for w in _windows(part, window):
-                    least[w] = min(number, least.get(w, number))
-                    most[w] = max(number, most.get(w, number))
-        patterns.update((w, first) for w, first in least.items() if first < most[w])
-        if not patterns:
-            return pd.DataFrame({"key": [], "removed": []})
+        span: dict[bytes, tuple[int, int]] = {}
+        texts = {}
+        for name, part, low, high in zip(rows["excerpt"], rows["words"], rows["low"], rows["high"]):
+            texts[name] = part
+            for w in _windows(part, window):
+                first, last = span.get(w, (low, high))
+                span[w] = (min(first, low), max(last, high))
         code: dict[bytes, int] = {}
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for w, first in patterns.items():
-            automaton.add_word(tuple(code.setdefault(x, len(code) + 1) for x in w.split(b" ")), (first, w))
-        automaton.make_automaton()
-        out: dict[bytes, set[int]] = {}
-        for key, number, part in texts:
-            for _, (first, w) in automaton.iter(tuple(code.get(x, 0) for x in part.split(b" "))):
-                if first < number:
-                    out.setdefault(key, set()).add(xxhash.xxh3_64_intdigest(w))
-        return pd.DataFrame({"key": list(out), "removed": [np.array(sorted(v), dtype=np.uint64).view(np.int64) for v in out.values()]})
+        for w, (first, last) in span.items():
+            if first < last:
+                automaton.add_word(tuple(code.setdefault(x, len(code) + 1) for x in w.split(b" ")), (xxhash.xxh3_64_intdigest(w), first))
+        out = []
+        if len(automaton):
+            automaton.make_automaton()
+            for name, part in texts.items():
+                hits = {hit for _, hit in automaton.iter(tuple(code.get(x, 0) for x in part.split(b" ")))}
+                if hits:
+                    out.append((name, np.array([h for h, _ in hits], dtype=np.uint64).view(np.int64), [first for _, first in hits]))
+        return pd.DataFrame(out, columns=["excerpt", "removed", "firsts"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -163,7 +160,7 @@ def _locate(window: int):
             if count < BATCH_ROWS:
                 continue
             rows = pd.concat(held, ignore_index=True)
-            last = (rows["anchor"] == rows["anchor"].iloc[-1]) & (rows["split"] == rows["split"].iloc[-1])
+            last = rows["anchor"] == rows["anchor"].iloc[-1]
             if not last.all():
                 yield found_in(rows[~last])
             held, count = [rows[last]], int(last.sum())
@@ -177,15 +174,17 @@ def _cut(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for key, text, removed in zip(batch["key"], batch["text"], batch["removed"]):
+            for key, number, text, removed in zip(batch["key"], batch["id"], batch["text"], batch["removed"]):
                 words = _words(text)
+                if len(words) < window:
+                    continue
                 gone = np.isin(_group_hashes(words, window), np.asarray(removed, dtype=np.int64).view(np.uint64))
                 covered = np.zeros(len(words) + 1, dtype=np.int64)
                 at = np.flatnonzero(gone)
                 np.add.at(covered, at, 1)
                 np.add.at(covered, at + window, -1)
-                rows.append((key, *_kept(words, np.cumsum(covered)[:-1] > 0)))
-            yield pd.DataFrame(rows, columns=["key", "n_gone", "cut_sha256"])
+                rows.append((key, number, *_kept(words, np.cumsum(covered)[:-1] > 0)))
+            yield pd.DataFrame(rows, columns=["key", "id", "n_gone", "cut_sha256"])
 
     return run
 
@@ -197,31 +196,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     survey = written(rows.mapInPandas(_survey(window), "id bigint, key binary, n_words bigint, whole_sha256 string, anchors array<bigint>"), "survey")
     firsts = written(survey.groupBy("key").agg(F.min("id").alias("first")), "firsts")
 
-    anchors = survey.where("id is not null").select("key", F.explode("anchors").alias("anchor"))
+    anchors = survey.where("id is not null").select("id", F.explode("anchors").alias("anchor"))
     recurring = written(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "recurring-anchors")
-    wanted = anchors.join(recurring, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
-    wanted = written(wanted.join(firsts, "key").select(F.col("key").alias("wanted"), F.col("first"), "anchors"), "wanted")
-    texts = rows.join(wanted, (F.col("key") == F.col("wanted")) & (F.col("id") == F.col("first"))).select("key", "id", "text", "anchors")
-    excerpts = written(texts.mapInPandas(_excerpts(window), "key binary, id bigint, anchor bigint, words binary"), "excerpts")
-
-    sizes = excerpts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT_ROWS)
-    sizes = written(sizes.select("anchor", F.ceil(F.col("n") / SPLIT_ROWS).cast("int").alias("splits")), "hot-anchors")
-    dealt = excerpts.join(sizes, "anchor", "left").withColumn("splits", F.coalesce("splits", F.lit(1)))
-    dealt = dealt.withColumn("split", F.pmod(F.xxhash64("key"), F.col("splits")).cast("int"))
-    hot = (excerpts.join(sizes, "anchor", "left_semi").mapInPandas(_explode_windows(window), "anchor bigint, id bigint, words binary")
-           .groupBy("anchor", "words").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id < last"))
-    hot = hot.join(sizes, "anchor").withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-    columns = ("key", "id", "anchor", "words", "splits", "split")
-    both = dealt.select(*columns).union(hot.withColumn("key", F.lit(None).cast("binary")).select(*columns))
-    shards = both.repartition("anchor", "split").sortWithinPartitions("anchor", "split")
-    found = shards.mapInPandas(_locate(window), "key binary, removed array<bigint>")
-    removed = written(found.groupBy("key").agg(F.flatten(F.collect_list("removed")).alias("removed")), "removed-windows")
-
-    texts = rows.select(F.col("key").alias("text_key"), "id", "text")
-    changed = removed.join(firsts, "key")
-    cut = written(texts.join(changed, (F.col("text_key") == F.col("key")) & (F.col("id") == F.col("first")))
-                  .select("key", "text", "removed").mapInPandas(_cut(window), "key binary, n_gone bigint, cut_sha256 string"), "cut").dropDuplicates(["key"])
-    labels = firsts.join(cut, "key", "left").select(F.col("key").alias("label_key"), "first", "n_gone", "cut_sha256")
+    of_text = anchors.join(recurring, "anchor").groupBy("id").agg(
+        F.collect_set("anchor").alias("anchors"), F.collect_set(F.when(F.col("n") > HOT_TEXTS, F.col("anchor"))).alias("hot"))
+    wanted = written(of_text.join(firsts.select(F.col("first").alias("id")), "id", "left_semi"), "wanted")
+    texts = rows.join(wanted.withColumnRenamed("id", "wanted_id"), F.col("id") == F.col("wanted_id"))
+    found = written(texts.select("id", "text", "anchors", "hot").mapInPandas(
+        _excerpts(window), "id bigint, excerpt bigint, anchor bigint, words binary, low bigint, high bigint"), "excerpts")
+
+    shards = found.where("words is not null").select("anchor", "excerpt", "words", "low", "high").repartition("anchor").sortWithinPartitions("anchor")
+    located = shards.mapInPandas(_locate(window), "excerpt bigint, removed array<bigint>, firsts array<bigint>")
+    earlier = F.filter("removed", lambda _, i: F.get("firsts", i) < F.col("id"))
+    removed = (found.where("id is not null").select("id", "excerpt").join(located, "excerpt")
+               .select("id", earlier.alias("removed")).where(F.size("removed") > 0)
+               .groupBy(F.col("id").alias("cut_id")).agg(F.flatten(F.collect_list("removed")).alias("removed")))
+    cut = written(rows.join(removed, F.col("id") == F.col("cut_id")).select("key", "id", "text", "removed")
+                  .mapInPandas(_cut(window), "key binary, id bigint, n_gone bigint, cut_sha256 string"), "cut")
+    cut = cut.dropDuplicates(["key", "id"]).select(F.col("key").alias("cut_key"), F.col("id").alias("cut_id"), "n_gone", "cut_sha256")
+    labels = firsts.join(cut, (F.col("key") == F.col("cut_key")) & (F.col("first") == F.col("cut_id")), "left").select(
+        F.col("key").alias("label_key"), "first", "n_gone", "cut_sha256")
     later = (F.col("id") > F.col("first")) & (F.col("n_words") >= window)
     own = F.col("id").isNotNull() & F.col("n_gone").isNotNull()
     return survey.join(labels, F.col("key") == F.col("label_key"), "left").select(
