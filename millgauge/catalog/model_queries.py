@@ -316,12 +316,15 @@ def letters(x: Context):
 
 
 def batch_log(x: Context):
-    """One load per hour of readings; a fifth of them counts as failed."""
+    """One load per hour of readings; a fifth of them counts as failed. Every run has logged its
+    start, every third its end twice."""
     per = x.readings.groupBy(F.date_trunc("hour", "event_time").alias("started_at")).agg(
         F.count("*").alias("rows_written"), F.min("reading_id").alias("_k"))
-    return per.select(F.lit("star_stream").alias("job_name"), F.date_format("started_at", "yyyyMMddHH").alias("batch_id"), "started_at",
+    ends = per.select(F.lit("star_stream").alias("job_name"), F.date_format("started_at", "yyyyMMddHH").alias("batch_id"), "started_at",
                       (F.col("started_at") + F.expr("INTERVAL 30 SECONDS")).alias("completed_at"), "rows_written",
-                      F.when(F.col("_k") % 5 == 0, "FAILED").otherwise("SUCCESS").alias("status"))
+                      F.when(F.col("_k") % 5 == 0, "FAILED").otherwise("SUCCESS").alias("status"), "_k")
+    starts = ends.withColumns({"completed_at": F.lit(None).cast("timestamp"), "rows_written": F.lit(None).cast("bigint"), "status": F.lit("RUNNING")})
+    return starts.unionByName(ends).unionByName(ends.where("_k % 3 = 0")).drop("_k")
 
 
 _T = f"TIMESTAMP '{AS_OF_TEXT}'"
@@ -336,7 +339,7 @@ UNKNOWN_SQL = f"""SELECT rows_24h, unknown_machine, unknown_status, round(CAST(1
 FROM (SELECT count(*) AS rows_24h, count(*) FILTER (WHERE machine_key = -1) AS unknown_machine, count(*) FILTER (WHERE status_key = -1) AS unknown_status,
   count(*) FILTER (WHERE machine_key = -1 OR status_key = -1) AS a FROM sensor WHERE event_ts > {_T} - INTERVAL 24 HOUR)"""
 DLQ_SQL = f"""SELECT count(*) FILTER (WHERE quarantined_at > {_T} - INTERVAL 24 HOUR) AS quarantined_24h, count(*) FILTER (WHERE replayed_at IS NULL) AS awaiting_replay,
-  min(quarantined_at) FILTER (WHERE replayed_at IS NULL) AS oldest_unreplayed, (SELECT failure_reason FROM letters GROUP BY failure_reason ORDER BY count(*) DESC, failure_reason LIMIT 1) AS top_reason,
+  min(quarantined_at) FILTER (WHERE replayed_at IS NULL) AS oldest_unreplayed, (SELECT failure_reason FROM letters WHERE replayed_at IS NULL GROUP BY failure_reason ORDER BY count(*) DESC, failure_reason LIMIT 1) AS top_reason,
   CASE WHEN count(*) FILTER (WHERE quarantined_at > {_T} - INTERVAL 24 HOUR) = 0 AND count(*) FILTER (WHERE replayed_at IS NULL) = 0 THEN 'HEALTHY' ELSE 'INVESTIGATE' END AS status FROM letters"""
 STUCK_SQL = f"""SELECT d.machine_key, machine_name, started_at, CAST(floor((epoch_us({_T}) - epoch_us(started_at)) / 1e6) AS BIGINT) AS open_for_seconds, reason_code,
   CASE WHEN {_T} - started_at > INTERVAL 4 HOUR THEN 'STUCK' ELSE 'OPEN' END AS status FROM stops d JOIN dim_machine m ON m.machine_key = d.machine_key WHERE ended_at IS NULL"""

@@ -12,18 +12,19 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import num
 from ..operators import alerts, production
+from ..operators.sequence import first_per
 from ..sources import messages, sinks, tables
 from ..streaming import jobs
 from .aggregates import HOURLY_OUT, MINUTE_OUT, MINUTE_SQL
 from .envelope import ENVELOPE_SQL, to_envelope
 from .registry import REARM_MINUTES, Context, query
 
-_RUNS: dict[tuple[str, str, str], object] = {}
+_RUNS: dict[tuple, object] = {}
 
 
 def _once(x: Context, name: str, start):
-    """One run per session and folder; the queries below read its tables."""
-    at = (x.spark.sparkContext.applicationId, x.folder, name)
+    """One run per session, state of the input and name; the queries below read its tables."""
+    at = (x.spark.sparkContext.applicationId, *tables.file_states(x.spark, x.folder, "events"), name)
     if at not in _RUNS:
         _RUNS[at] = start()
     return _RUNS[at]
@@ -126,9 +127,9 @@ def alert_batch(x: Context):
 @query("st15_first", """SELECT machine_key, alert_type_key, min(event_time) AS raised_at FROM candidates c JOIN dim_alert_type a ON a.alert_code = c.alert_code
 GROUP BY ALL""")
 def first_per_batch(x: Context):
-    """Micro-batch form: one alert per machine and rule for the whole batch, none open before."""
-    nothing = x.star.alerts.where("FALSE")
-    return alerts.emit_batch(x.star.conformed, x.star.alert_types, nothing).select("machine_key", "alert_type_key", "raised_at")
+    """First alert of each machine and rule, as an aggregate over the candidates."""
+    first = first_per(alerts.candidates(x.star.conformed), ["machine_key", "alert_code"], ["event_time", "reading_id"])
+    return alerts.alert_fact(first, x.star.alert_types).select("machine_key", "alert_type_key", "raised_at")
 
 
 @query("st16", f"""WITH {_GOOD}, d AS (SELECT *, coalesce(is_downtime, FALSE) OR upper(status) IN ('DOWN', 'FAULT') AS down FROM good),

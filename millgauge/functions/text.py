@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PAYLOAD_LIMIT = 4000
-ERROR_LIMIT = 2000
-
 
 def clip(col: Column, limit: int) -> Column:
     return F.substring(col, 1, limit)

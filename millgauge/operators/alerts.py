@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import minutes_between
 from .joins import lookup
-from .sequence import first_per, gap_starts
+from .sequence import gap_starts
 
 TEMPERATURE_LIMIT_C = 85
 VIBRATION_LIMIT = 4.5
@@ -110,14 +110,18 @@ def emit_batch(
     rearm_minutes: float = REARM_MINUTES,
     **limits: float,
 ) -> DataFrame:
-    """Micro-batch form: first alert per machine and rule, unless one was raised
-    within the re-arm time before it. Event time decides, so catch-up behaves like live."""
-    first = first_per(candidates(conformed, **limits), ["machine_key", "alert_code"], ["event_time", "reading_id"])
-    new = alert_fact(first, alert_types)
-    raised = existing.select("machine_key", "alert_type_key", F.col("raised_at").alias("_raised"))
+    """Micro-batch form: the alerts of ``raise_alerts``, less those with an existing one
+    within the re-arm time before. Event time decides, so catch-up behaves like live.
+
+    The message names machine and rule; existing rows that have one are compared by it, which tells
+    unknown machines apart."""
+    new = raise_alerts(conformed, alert_types, rearm_minutes, **limits)
+    raised = existing.select("machine_key", "alert_type_key", F.col("raised_at").alias("_raised"),
+                             (F.col("message") if "message" in existing.columns else F.lit(None).cast("string")).alias("_message"))
     hit = (
         (new["machine_key"] == raised["machine_key"])
         & (new["alert_type_key"] == raised["alert_type_key"])
+        & (F.col("_message").isNull() | (F.col("_message") == F.col("message")))
         & (F.col("_raised") <= F.col("raised_at"))
         & (F.col("_raised") > F.col("raised_at") - F.expr(f"INTERVAL {int(rearm_minutes * 60)} SECONDS"))
     )

@@ -56,9 +56,12 @@ def split_runs(rows: DataFrame, down: Column, open_episodes: DataFrame) -> tuple
 
     ``open_episodes`` has machine_id and open_started_at, one row per machine. Starts
     keep all columns of their first row; ends are machine_id, started_at, ended_at.
+    A row not later than the start of its machine's open stop arrived late and changes nothing.
     """
     seed = open_episodes.select("machine_id", "open_started_at")
-    marked = rows.withColumn("_down", down)
+    marked = rows.withColumn("_down", down).join(
+        small(seed.withColumnRenamed("machine_id", "_of").withColumnRenamed("open_started_at", "_open")), F.col("machine_id") == F.col("_of"), "left")
+    marked = marked.where(F.col("_open").isNull() | (F.col("event_time") > F.col("_open"))).drop("_of", "_open")
     # Runs of this batch; one that continues an open stop is not a new stop.
     runs = ordered_columns(
         marked, ["machine_id"], "event_time", ["reading_id"],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
 from ..functions.text import row_json
+from ..sources.sinks import run_outcomes
 from .dimensions import date_span
 from .joins import hour_scaffold
 from .sequence import ordered_columns
@@ -73,12 +74,13 @@ def busy_minutes(alerts: DataFrame, ts: str, limit: int = 100) -> DataFrame:
 
 
 def failure_runs(log: DataFrame, length: int = 3) -> DataFrame:
-    """Batches at which the last ``length`` runs of their job have all failed.
+    """Batches at which the last ``length`` finished runs of their job have all failed.
 
     The run length is the failures so far less the failures up to the last success.
     """
     by = (["job_name"], "started_at", ["batch_id"])
     failed = F.col("status") == "FAILED"
+    log = run_outcomes(log).where("status <> 'RUNNING'").select(*log.columns)
     counted = ordered_columns(log, *by, total={"_fails": failed.cast("bigint")}, chunk_seconds=86400)
     based = ordered_columns(counted, *by, last={"_base": F.when(~failed, F.col("_fails"))}, chunk_seconds=86400)
     run = F.col("_fails") - F.coalesce("_base", F.lit(0))

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.numeric import differs
 from ..schemas import OPEN_END
 from .dimensions import version_key
+from .sequence import first_per
 
 TRACKED = ("machine_name", "machine_type", "production_line", "plant_code", "ideal_cycle_time_sec", "criticality")
 
 
 def row_hash(columns: Sequence[str] = TRACKED) -> Column:
-    """SHA-256 over the tracked attributes; nulls keep their place."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """SHA-256 over the tracked attributes as JSON, which keeps values and nulls apart."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
 
 
 def drift(dim: DataFrame, source: DataFrame, columns: Sequence[str] = ("machine_name", "machine_type")) -> DataFrame:
@@ -41,11 +41,14 @@ def drift(dim: DataFrame, source: DataFrame, columns: Sequence[str] = ("machine_
 def apply_versions(dim: DataFrame, incoming: DataFrame, effective: Column, columns: Sequence[str] = TRACKED) -> DataFrame:
     """Close the current version of changed members at ``effective`` and add the new one.
 
-    New members get a first version; unchanged members and history stay.
-    ``incoming`` has the dimension's columns.
+    New members get a first version; unchanged members and history stay, and so do members that
+    ``incoming`` lacks. ``incoming`` has the dimension's columns; of several rows of a member the one with the
+    smallest hash counts. A change dated before the current version is refused with an error.
     """
-    new = incoming.withColumn("_hash", row_hash(columns))
-    now = dim.where("is_current").select("machine_id", row_hash(columns).alias("_old"))
+    new = first_per(incoming.withColumn("_hash", row_hash(columns)), ["machine_id"], ["_hash"])
+    now = dim.where("is_current").select("machine_id", row_hash(columns).alias("_old"), F.col("valid_from").alias("_since"))
+    effective = F.when(effective < F.col("_since"), F.raise_error(F.concat(
+        F.lit("change dated before the current version of "), F.col("machine_id")))).otherwise(effective)
     compared = new.join(now, "machine_id", "left")
     changed = compared.where(F.col("_old").isNull() | (F.col("_old") != F.col("_hash")))
     versions = (
@@ -55,7 +58,7 @@ def apply_versions(dim: DataFrame, incoming: DataFrame, effective: Column, colum
         .withColumn("machine_key", version_key(F.col("machine_id"), F.col("valid_from")))
         .select(*dim.columns)
     )
-    closing = changed.where(F.col("_old").isNotNull()).select("machine_id", F.lit(True).alias("_close"))
+    closing = changed.where(F.col("_old").isNotNull()).select("machine_id", F.lit(True).alias("_close"), "_since")
     kept = dim.join(closing, "machine_id", "left")
     close = F.col("is_current") & F.coalesce("_close", F.lit(False))
     kept = (

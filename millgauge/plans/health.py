@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import band
 from ..functions.numeric import num, percent, seconds_between
 from ..operators.joins import lookup
+from ..sources.sinks import run_outcomes
 
 
 def _after(ts: str, as_of: Column, span: str) -> Column:
@@ -29,8 +30,9 @@ def freshness(sensor: DataFrame, as_of: Column, ts: str = "event_ts") -> DataFra
 
 
 def batch_health(log: DataFrame, as_of: Column) -> DataFrame:
+    """Finished runs of the last day; a run counts once however many rows it logged."""
     good, bad = F.col("status") == "SUCCESS", F.col("status") == "FAILED"
-    counted = log.where(_after("started_at", as_of, "24 HOURS")).agg(
+    counted = run_outcomes(log).where("status <> 'RUNNING'").where(_after("started_at", as_of, "24 HOURS")).agg(
         F.count("*").alias("batches_24h"),
         F.count_if(good).alias("succeeded"),
         F.count_if(bad).alias("failed"),
@@ -63,8 +65,8 @@ def unknown_key_rate(sensor: DataFrame, as_of: Column, ts: str = "event_ts") ->
 
 
 def top_reason(letters: DataFrame) -> DataFrame:
-    """Most frequent failure reason; the first in name order wins a tie."""
-    counts = letters.groupBy("failure_reason").agg(F.count("*").alias("_n"))
+    """Most frequent failure reason of what waits; the first in name order wins a tie."""
+    counts = letters.where("replayed_at IS NULL").groupBy("failure_reason").agg(F.count("*").alias("_n"))
     return counts.agg(F.min_by("failure_reason", F.struct(-F.col("_n"), F.col("failure_reason"))).alias("top_reason"))
 
 
@@ -161,6 +163,6 @@ def alert_volume(alerts: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
 
 
 def batch_outcomes(log: DataFrame, as_of: Column) -> DataFrame:
-    return log.where(_after("started_at", as_of, "24 HOURS")).groupBy("status").agg(
+    return run_outcomes(log).where(_after("started_at", as_of, "24 HOURS")).groupBy("status").agg(
         F.count("*").alias("batches"), F.max("completed_at").alias("last_completed")
     )

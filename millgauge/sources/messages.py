@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import PAYLOAD_LIMIT, clip
 from ..schemas import ENVELOPE, PAYLOAD
 
 # The default JSON format stops at milliseconds.
@@ -87,7 +86,7 @@ def dead_letters(invalid: DataFrame, batch_id: str | int, quarantined_at: Column
     return invalid.select(
         F.lit(str(batch_id)).alias("source_batch"),
         *ENVELOPE_COLUMNS.values(),
-        clip(F.col("raw_payload"), PAYLOAD_LIMIT).alias("raw_payload"),
+        "raw_payload",  # whole: the queue holds the only copy
         failure_reason().alias("failure_reason"),
         (F.current_timestamp() if quarantined_at is None else quarantined_at).alias("quarantined_at"),
         F.lit(None).cast("timestamp").alias("replayed_at"),

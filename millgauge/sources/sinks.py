@@ -8,7 +8,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import ERROR_LIMIT
 from ..schemas import BATCH_LOG
 
 
@@ -65,7 +64,7 @@ def log_batch(
     error: str | None = None,
 ) -> None:
     done = None if status == "RUNNING" else dt.datetime.now(dt.timezone.utc)
-    row = (job, batch_id, started, done, rows, status, error[:ERROR_LIMIT] if error else None)
+    row = (job, batch_id, started, done, rows, status, error or None)
     _log_row(spark, row).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -83,11 +82,11 @@ def run_logged(spark: SparkSession, path: str, job: str, run_id: str, work: Call
 
 
 def run_outcomes(log: DataFrame) -> DataFrame:
-    """One row per run: the last state it reached."""
+    """One row per run: the last state it reached. RUNNING and repeated rows of a run count once."""
     rank = F.when(F.col("status") == "RUNNING", 0).otherwise(1)
     return (
         log.groupBy("job_name", "batch_id")
-        .agg(F.max_by(F.struct("started_at", "completed_at", "rows_written", "status", "error_detail"),
+        .agg(F.max_by(F.struct(*[c for c in log.columns if c not in ("job_name", "batch_id")]),
                       F.struct(rank, F.col("completed_at"))).alias("r"))
         .select("job_name", "batch_id", "r.*")
     )

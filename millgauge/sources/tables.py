@@ -25,6 +25,15 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger:
     return reader.parquet(path)
 
 
+def file_states(spark: SparkSession, folder: str, name: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of change) of each file of a table, through the Hadoop file system."""
+    files = sorted(table(spark, folder, name).inputFiles())
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f) for f in files]
+    found = [p.getFileSystem(hadoop).getFileStatus(p) for p in paths]
+    return [(str(s.getPath()), s.getLen(), s.getModificationTime()) for s in found]
+
+
 # How one row of ``events`` stands in for one sensor reading.
 TELEMETRY = {
     "reading_id": "event_id",

@@ -36,6 +36,7 @@ WATERMARK = "10 minutes"
 FIRST_GENERATION_WATERMARK = "2 minutes"
 STAR_TRIGGER = "30 seconds"
 FIRST_GENERATION_TRIGGER = "10 seconds"
+WAIT_SECONDS = 1  # for one query before the next is looked at
 
 
 def timed(parsed: DataFrame, delay: str = WATERMARK) -> DataFrame:
@@ -127,7 +128,9 @@ class StarJob:
         seen = state.state_before(spark, self.path("last_seen"), state.LAST_SEEN, batch_id)
         cands = alerts.candidates(conformed)
         marked = ordered_columns(cands, keys, "event_time", ["reading_id"], lag={"_prev_ts": F.col("event_time")})
-        marked = marked.join(small(seen), keys, "left").withColumn("_prev_ts", F.coalesce("_prev_ts", "last_seen"))
+        # A row older than the state is judged within its batch: the state says nothing about the time before it.
+        before = F.when(F.col("last_seen") <= F.col("event_time"), F.col("last_seen"))
+        marked = marked.join(small(seen), keys, "left").withColumn("_prev_ts", F.coalesce("_prev_ts", before))
         quiet = F.unix_micros("event_time") - F.unix_micros("_prev_ts")
         kept = marked.where(F.col("_prev_ts").isNull() | (quiet > int(self.rearm_minutes * 60_000_000)))
         sinks.write_batch(alerts.alert_fact(kept.drop("_prev_ts", "last_seen"), self.alert_types), self.path("alerts"), batch_id)
@@ -241,8 +244,9 @@ class FirstGenerationJob:
 
 def wait_for(queries: list[StreamingQuery]) -> None:
     """Wait for all queries; a failure of any one surfaces here."""
-    for q in queries:
-        q.awaitTermination()
+    running = list(queries)
+    while running:
+        running = [q for q in running if not q.awaitTermination(WAIT_SECONDS)]  # raises what the query raised
 
 
 def replayable(letters: DataFrame, reason: str | None = None) -> DataFrame:

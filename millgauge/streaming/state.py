@@ -36,12 +36,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def state_before(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """State left by the batch before this one; batch ids are consecutive.
+    """State left by the batch before this one; batch ids are consecutive from 0.
 
-    The folder is read by name, so the cost does not grow with the number of batches.
+    The folder is read by name, so the cost does not grow with the number of batches. A missing folder
+    is an error for every batch but the first: going on without would forget open stops and raised alerts.
     """
-    return read_or_empty(spark, batch_path(path, batch_id - 1), schema)
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(batch_path(path, batch_id - 1))
 
 
 def save_state(state: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(state.coalesce(1), path, batch_id)  # one row per machine (and rule)
+    write_batch(state, path, batch_id)
