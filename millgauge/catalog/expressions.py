@@ -260,8 +260,8 @@ CALENDAR_SQL = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(isodo
   CAST(isoyear(d) AS VARCHAR) || '-W' || lpad(CAST(weekofyear(d) AS VARCHAR), 2, '0') AS iso_week,
   CAST(month(d) AS INTEGER) AS month_number, monthname(d) AS month_name, strftime(d, '%b %Y') AS month_year,
   CAST(quarter(d) AS INTEGER) AS quarter_number, 'Q' || CAST(quarter(d) AS VARCHAR) AS quarter_name, CAST(year(d) AS INTEGER) AS year_number,
-  CAST((month(d) + 8) % 12 + 1 AS INTEGER) AS fiscal_month, CAST(((month(d) + 8) % 12) // 3 + 1 AS INTEGER) AS fiscal_quarter,
-  CAST(CASE WHEN month(d) >= 4 THEN year(d) + 1 ELSE year(d) END AS INTEGER) AS fiscal_year,
+  CAST(month(d - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month, CAST(quarter(d - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_quarter,
+  CAST(year(d + INTERVAL 9 MONTH) AS INTEGER) AS fiscal_year,
   isodow(d) IN (6, 7) AS is_weekend, isodow(d) NOT IN (6, 7) AS is_working_day,
   CAST(date_trunc('month', d) AS DATE) AS month_start_date, last_day(d) AS month_end_date"""
 
@@ -273,24 +273,28 @@ def exp_calendar(x: Context):
 
 
 @query("exp25", """SELECT fiscal_year, fiscal_month, count(*) AS orders FROM (
-SELECT CAST(CASE WHEN month(o_orderdate) >= 4 THEN year(o_orderdate) + 1 ELSE year(o_orderdate) END AS INTEGER) AS fiscal_year,
-  CAST((month(o_orderdate) + 8) % 12 + 1 AS INTEGER) AS fiscal_month FROM orders) GROUP BY ALL""")
+SELECT CAST(year(o_orderdate + INTERVAL 9 MONTH) AS INTEGER) AS fiscal_year,
+  CAST(month(o_orderdate - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month FROM orders) GROUP BY ALL""")
 def exp_fiscal(x: Context):
     y, m = F.year("o_orderdate"), F.month("o_orderdate")
     return x.table("orders").groupBy(calendar.fiscal_year(y, m).alias("fiscal_year"),
                                      calendar.fiscal_month(m).alias("fiscal_month")).agg(F.count("*").alias("orders"))
 
 
-CLOCK_SQL = """CAST(m AS SMALLINT) AS time_key, lpad(CAST(m // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') || ':00' AS time_value,
-  CAST(m // 60 AS INTEGER) AS hour_24, CAST(CASE WHEN (m // 60) % 12 = 0 THEN 12 ELSE (m // 60) % 12 END AS INTEGER) AS hour_12,
-  CAST(m % 60 AS INTEGER) AS minute_of_hour, CASE WHEN m < 720 THEN 'AM' ELSE 'PM' END AS am_pm,
-  lpad(CAST(m // 60 AS VARCHAR), 2, '0') || ':00 - ' || lpad(CAST((m // 60 + 1) % 24 AS VARCHAR), 2, '0') || ':00' AS hour_bucket,
-  CAST(CASE WHEN m >= 360 AND m < 840 THEN 1 WHEN m >= 840 AND m < 1320 THEN 2 ELSE 3 END AS SMALLINT) AS shift_key,
-  CASE WHEN m // 60 BETWEEN 5 AND 11 THEN 'Morning' WHEN m // 60 BETWEEN 12 AND 16 THEN 'Afternoon'
-    WHEN m // 60 BETWEEN 17 AND 20 THEN 'Evening' ELSE 'Night' END AS day_part"""
+# First hour of each part of the day; the shifts come from their seed.
+DAY_PARTS = ((0, "Night"), (5, "Morning"), (12, "Afternoon"), (17, "Evening"), (21, "Night"))
+_PARTS = ", ".join(f"({hour}, '{name}')" for hour, name in DAY_PARTS)
 
+# ``t`` is any moment with the time of day in question.
+CLOCK_SQL = f"""CAST(date_diff('minute', date_trunc('day', t), t) AS SMALLINT) AS time_key, strftime(t, '%H:%M:00') AS time_value,
+  CAST(hour(t) AS INTEGER) AS hour_24, CAST(strftime(t, '%I') AS INTEGER) AS hour_12, CAST(minute(t) AS INTEGER) AS minute_of_hour,
+  strftime(t, '%p') AS am_pm, strftime(t, '%H:00 - ') || strftime(t + INTERVAL 1 HOUR, '%H:00') AS hour_bucket,
+  (SELECT arg_max(s.shift_key, begins) FROM (SELECT shift_key, CAST(start_time AS TIME) AS begins FROM dim_shift WHERE shift_key > 0
+    UNION ALL SELECT arg_max(shift_key, CAST(start_time AS TIME)), TIME '00:00:00' FROM dim_shift WHERE shift_key > 0) s WHERE begins <= CAST(t AS TIME)) AS shift_key,
+  (SELECT arg_max(part, since) FROM (VALUES {_PARTS}) d(since, part) WHERE since <= hour(t)) AS day_part"""
 
-@query("exp26", f"SELECT reading_id, {CLOCK_SQL} FROM (SELECT reading_id, hour(event_time) * 60 + minute(event_time) AS m FROM readings)")
+
+@query("exp26", f"SELECT reading_id, {CLOCK_SQL} FROM (SELECT reading_id, date_trunc('minute', event_time) AS t FROM readings)")
 def exp_clock(x: Context):
     m = keys.time_key(F.col("event_time")).cast("int")
     rows = x.readings.select("reading_id", m.alias("m"))

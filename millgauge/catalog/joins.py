@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import dimensions, production, quality
-from ..operators.joins import as_of_version, denormalise, lookup, wildcard_scope
+from ..operators.joins import as_of_version, denormalise, lookup, wildcard_members
 from ..operators.sequence import newest_per
 from ..plans import snowflake
 from ..sources import seeds
@@ -126,14 +126,8 @@ JOIN hourly h ON h.machine_key = m.machine_key GROUP BY ALL""")
 def wildcard_theta(x: Context):
     hours = x.star.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
     scopes = seeds.user_scopes(x.spark).where("is_active")
-    out = None
-    for who in (r[0] for r in seeds.SCOPES if r[4]):  # the fixed scope rows
-        mine = wildcard_scope(x.star.machines, scopes.where(F.col("user_principal_name") == who),
-                              ("plant_code", "production_line"))
-        part = mine.join(hours, "machine_key").select(
-            F.lit(who).alias("user_principal_name"), "machine_id", F.col("n").alias("hours"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    mine = wildcard_members(x.star.machines, scopes, ("plant_code", "production_line"), "user_principal_name", ("machine_key", "machine_id"))
+    return mine.join(hours, "machine_key").select("user_principal_name", "machine_id", F.col("n").alias("hours"))
 
 
 @query("jn14", """SELECT v.machine_id, v.machine_name AS current_name, m.machine_name AS source_name, count(r.reading_id) AS readings

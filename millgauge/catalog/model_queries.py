@@ -328,14 +328,28 @@ def batch_log(x: Context):
 
 
 _T = f"TIMESTAMP '{AS_OF_TEXT}'"
-FRESH_SQL = f"""SELECT latest_reading, CAST(round(lag) AS BIGINT) AS lag_seconds, CASE WHEN latest_reading IS NULL THEN 'NO DATA' WHEN lag < 120 THEN 'HEALTHY' WHEN lag < 600 THEN 'DEGRADED' ELSE 'STALLED' END AS status
+# The least measure of each label, and the label without a measure.
+LADDERS = {
+    "lag": (((-1e18, "HEALTHY"), (120, "DEGRADED"), (600, "STALLED")), "NO DATA"),
+    "success": (((-1e18, "UNHEALTHY"), (95, "DEGRADED"), (99, "HEALTHY")), "NO BATCHES"),
+    "unknown": (((-1e18, "HEALTHY"), (0.1, "INVESTIGATE")), "NO DATA"),
+}
+
+
+def _label(ladder: str, measure: str) -> str:
+    steps, missing = LADDERS[ladder]
+    rows = ", ".join(f"(CAST({since} AS DOUBLE), '{label}')" for since, label in steps)
+    return f"coalesce((SELECT arg_max(label, since) FROM (VALUES {rows}) ladder(since, label) WHERE since <= {measure}), '{missing}')"
+
+
+FRESH_SQL = f"""SELECT latest_reading, CAST(round(lag) AS BIGINT) AS lag_seconds, {_label("lag", "lag")} AS status
 FROM (SELECT max(event_ts) AS latest_reading, (epoch_us({_T}) - epoch_us(max(event_ts))) / 1e6 AS lag FROM sensor)"""
 BATCH_SQL = f"""SELECT batches_24h, succeeded, failed, round(CAST(100 * succeeded AS DOUBLE) / nullif(batches_24h, 0), 2) AS success_rate_pct, last_failure_at,
-  CASE WHEN batches_24h = 0 THEN 'NO BATCHES' WHEN 100.0 * succeeded / batches_24h >= 99 THEN 'HEALTHY' WHEN 100.0 * succeeded / batches_24h >= 95 THEN 'DEGRADED' ELSE 'UNHEALTHY' END AS status
+  {_label("success", "100.0 * succeeded / nullif(batches_24h, 0)")} AS status
 FROM (SELECT count(*) AS batches_24h, count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded, count(*) FILTER (WHERE status = 'FAILED') AS failed,
   max(completed_at) FILTER (WHERE status = 'FAILED') AS last_failure_at FROM batch_log WHERE started_at > {_T} - INTERVAL 24 HOUR)"""
 UNKNOWN_SQL = f"""SELECT rows_24h, unknown_machine, unknown_status, round(CAST(100 * a AS DOUBLE) / nullif(rows_24h, 0), 4) AS unknown_pct,
-  CASE WHEN rows_24h = 0 THEN 'NO DATA' WHEN 100.0 * a / rows_24h < 0.1 THEN 'HEALTHY' ELSE 'INVESTIGATE' END AS status
+  {_label("unknown", "100.0 * a / nullif(rows_24h, 0)")} AS status
 FROM (SELECT count(*) AS rows_24h, count(*) FILTER (WHERE machine_key = -1) AS unknown_machine, count(*) FILTER (WHERE status_key = -1) AS unknown_status,
   count(*) FILTER (WHERE machine_key = -1 OR status_key = -1) AS a FROM sensor WHERE event_ts > {_T} - INTERVAL 24 HOUR)"""
 DLQ_SQL = f"""SELECT count(*) FILTER (WHERE quarantined_at > {_T} - INTERVAL 24 HOUR) AS quarantined_24h, count(*) FILTER (WHERE replayed_at IS NULL) AS awaiting_replay,
@@ -394,10 +408,13 @@ UNION ALL SELECT 'null ids', count(*) FILTER (WHERE reading_id IS NULL) = 0 FROM
 @query("dq7_dq11", f"WITH {LOG_SQL}, {LETTERS_SQL} {_GATES_SQL}")
 def gate_results(x: Context):
     """Each gate decides on a one-row view; five rows come back."""
+    return _gates(x).select("gate", "passed")
+
+
+def _gates(x: Context):
     nulls = quality.null_counts(x.star.alerts, ["reading_id"])
-    results = [gates.fresh_enough(freshness(x)), gates.batches_succeed(batches(x)), gates.keys_known(unknown_rate(x)),
-               gates.letters_replayed(dead_letters(x)), gates.no_nulls(nulls)]
-    return seeds.values(x.spark, "gate string; passed boolean", [(r.name, r.passed) for r in results])
+    return gates.together([gates.fresh_enough_row(freshness(x)), gates.batches_succeed_row(batches(x)), gates.keys_known_row(unknown_rate(x)),
+                           gates.letters_replayed_row(dead_letters(x)), gates.no_nulls_row(nulls)])
 
 
 @query("dq12", f"""WITH {STALE_SQL} SELECT 'before' AS moment, (SELECT count(*) FROM hourly h JOIN stale s USING (machine_key, window_start) WHERE h.units_produced IS DISTINCT FROM s.units_produced) = 0 AS passed
@@ -405,22 +422,15 @@ UNION ALL SELECT 'after', TRUE""")
 def copy_gate(x: Context):
     star_h, old_h, star_a, old_a = copies(x)
     new_h = snowflake.refresh(old_h, star_h, HOURLY_KEYS)
-    before = gates.copy_in_sync(snowflake.staleness(star_h, old_h, star_a, old_a))
-    after = gates.copy_in_sync(snowflake.staleness(star_h, new_h, star_a, old_a))
-    return seeds.values(x.spark, "moment string; passed boolean", [("before", before.passed), ("after", after.passed)])
+    before = gates.copy_in_sync_row(snowflake.staleness(star_h, old_h, star_a, old_a))
+    after = gates.copy_in_sync_row(snowflake.staleness(star_h, new_h, star_a, old_a))
+    return before.select(F.lit("before").alias("moment"), "passed").union(after.select(F.lit("after"), "passed"))
 
 
 @query("dq13", f"WITH {LOG_SQL}, {LETTERS_SQL} SELECT CASE WHEN bool_and(passed) THEN 1 ELSE 0 END AS published, count(*) FILTER (WHERE NOT passed) AS breaches FROM ({_GATES_SQL})")
 def convergence(x: Context):
-    published = []
-    checks = [lambda: gates.fresh_enough(freshness(x)), lambda: gates.batches_succeed(batches(x)), lambda: gates.keys_known(unknown_rate(x)),
-              lambda: gates.letters_replayed(dead_letters(x)), lambda: gates.no_nulls(quality.null_counts(x.star.alerts, ["reading_id"]))]
-    breaches = 0
-    try:
-        gates.converge(checks, lambda: published.append(1))
-    except gates.GateFailed as exc:
-        breaches = str(exc).count(";") + 1
-    return seeds.values(x.spark, "published int; breaches bigint", [(len(published), breaches)])
+    """What a publisher would see: whether all gates passed, and how many did not."""
+    return _gates(x).agg(F.min(F.col("passed").cast("int")).alias("published"), F.count_if(~F.col("passed")).alias("breaches"))
 
 
 @query("dq14", f"""WITH {LOG_SQL}, {LETTERS_SQL} SELECT count(*) AS checks, count(*) FILTER (WHERE status NOT IN ('HEALTHY', 'OK', 'NO DATA')) AS unhealthy,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from ..operators.dimensions import LINES
 from ..sources import seeds
 
 
@@ -67,10 +68,9 @@ FROM events""",
     "user_scope": _seed(seeds.SCOPE_COLUMNS, seeds.SCOPES),
     "dim_machine": f"""
 SELECT {key("machine_id || '|1970-01-01 00:00:00'")} AS machine_key, machine_id, machine_name, machine_type, location,
-  CASE WHEN lower(location) LIKE '%line a%' OR lower(location) LIKE '%line-a%' THEN 'LINE-A'
-       WHEN lower(location) LIKE '%line b%' OR lower(location) LIKE '%line-b%' THEN 'LINE-B'
-       WHEN lower(location) LIKE '%line c%' OR lower(location) LIKE '%line-c%' THEN 'LINE-C'
-       WHEN TRY_CAST(right(machine_id, 1) AS INTEGER) <= 3 THEN 'LINE-A' ELSE 'LINE-B' END AS production_line,
+  coalesce((SELECT 'LINE-' || min(line) FROM (VALUES {", ".join(f"('{x}')" for x in LINES)}) l(line)
+      WHERE regexp_matches(location, 'line[ -]' || line, 'i')),
+    if(TRY_CAST(right(machine_id, 1) AS INTEGER) <= 3, 'LINE-A', 'LINE-B')) AS production_line,
   'PLANT-01' AS plant_code, installed_date, ideal_cycle_time_sec, manufacturer, rated_power_kw,
   CASE WHEN upper(machine_type) IN ('CNC', 'PRESS') THEN 'HIGH' ELSE 'MEDIUM' END AS criticality,
   coalesce(is_active, TRUE) AS is_active, FALSE AS is_inferred,

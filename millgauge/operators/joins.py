@@ -69,12 +69,22 @@ def as_of_version(
     return lookup(facts, dim, hit).drop("_vkey", "_from")
 
 
-def wildcard_scope(members: DataFrame, scopes: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Members matched by any scope row; a null scope cell matches every value."""
+def _wildcard(columns: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in columns:
         cond = cond & (F.col(f"s.{c}").isNull() | (F.col(f"s.{c}") == F.col(f"m.{c}")))
-    return members.alias("m").join(small(scopes).alias("s"), cond, "left_semi")
+    return cond
+
+
+def wildcard_scope(members: DataFrame, scopes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Members matched by any scope row; a null scope cell matches every value."""
+    return members.alias("m").join(small(scopes).alias("s"), _wildcard(columns), "left_semi")
+
+
+def wildcard_members(members: DataFrame, scopes: DataFrame, columns: Sequence[str], owner: str, keep: Sequence[str]) -> DataFrame:
+    """(owner, kept columns) of the members that each owner's scope rows match, in one join over all owners."""
+    met = members.alias("m").join(small(scopes).alias("s"), _wildcard(columns))
+    return met.select(F.col(f"s.{owner}"), *[F.col(f"m.{c}") for c in keep]).distinct()
 
 
 def hour_scaffold(spark_dates: DataFrame) -> DataFrame:

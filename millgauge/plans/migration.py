@@ -49,8 +49,8 @@ def backfill_alerts(
     kept = occurrences(alerts, ["machine_id", "alert_type"], "event_time", ["alert_id"], gap_minutes)
     rows = _keys(kept.drop("_prev_ts"), "event_time", machines, minutes_of_day)
     dim = alert_types.where("alert_type_key > 0").select("alert_type_key", F.col("alert_code").alias("alert_type"))
-    fallback = dim.where(F.col("alert_type") == DEFAULT_ALERT).select(F.col("alert_type_key").alias("_default"))
-    rows = lookup(rows, dim, "alert_type").crossJoin(F.broadcast(fallback))  # one row: codes are unique
+    fallback = dim.where(F.col("alert_type") == DEFAULT_ALERT).agg(F.min("alert_type_key").alias("_default"))
+    rows = lookup(rows, dim, "alert_type").crossJoin(F.broadcast(fallback))  # one row, whatever the table holds
     after = lambda minutes: F.when(
         F.col("acknowledged"), F.col("event_time") + F.expr(f"INTERVAL {minutes} MINUTES")
     )
