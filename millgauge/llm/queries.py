@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, nearest, packing, pages, personal, repeats, simhash, toxicity
-from .common import table
+from . import decontamination, fixity, language, nearest, packing, pages, personal, repeats, simhash, toxicity
+from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,24 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_decontamination")
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_WARC = """'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:record:' || coalesce(page_id::VARCHAR, '') || '>'
+  || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(body)::VARCHAR
+  || chr(13) || chr(10) || chr(13) || chr(10) || body || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+
+@query("op2_fixity", f"""
+WITH good AS (SELECT page_id, sha256({_WARC}) AS digest FROM (SELECT page_id, url, coalesce(html, '') AS body FROM pages)),
+damaged AS (SELECT page_id, sha256({_WARC}) AS digest FROM (SELECT page_id, url, '~' || substr(coalesce(html, ''), 2) AS body FROM pages WHERE page_id % 97 = 5))
+SELECT g.page_id, CASE WHEN g.page_id % 101 = 7 THEN 'missing' ELSE 'altered' END AS kind, g.digest AS expected_sha256,
+  CASE WHEN g.page_id % 101 <> 7 THEN d.digest END AS found_sha256
+FROM good g LEFT JOIN damaged d USING (page_id)
+WHERE g.page_id % 101 = 7 OR g.page_id % 97 = 5 AND g.digest <> d.digest
+""")
+def op2_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as archives, against a replica in which the first byte of some records changed and others are lost."""
+    good = written(fixity.archive(table(spark, folder, "pages")), "replica")
+    rotten = F.concat(F.lit("~"), F.substring(F.coalesce("body", F.lit("")), 2, 1 << 30))
+    replica = good.where("NOT coalesce(record_id % 101 = 7, false)").withColumn("body", F.when(F.col("record_id") % 97 == 5, rotten).otherwise(F.col("body")))
+    return fixity.audit(good, replica).select(F.col("record_id").alias("page_id"), "kind", "expected_sha256", "found_sha256")

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from docs_fixture import docs_of  # noqa: F401
 from millgauge.llm import language
 
 SYLLABLES = {"aa": ["tha", "ing", "er"], "bb": ["sch", "ung", "keit"], "cc": ["жа", "ко", "ли"]}

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from docs_fixture import docs_of  # noqa: F401
 from millgauge.llm import packing
 
 

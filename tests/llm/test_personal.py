@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from docs_fixture import docs_of  # noqa: F401
 from millgauge.llm import personal
 
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from docs_fixture import docs_of  # noqa: F401
 from millgauge.llm import repeats
 
 

@@ -2,6 +2,7 @@ import random
 
 import xxhash
 
+from docs_fixture import docs_of  # noqa: F401
 from millgauge.llm import simhash
 
 

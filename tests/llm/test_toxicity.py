@@ -1,5 +1,6 @@
 import random
 
+from docs_fixture import docs_of  # noqa: F401
 from millgauge.llm import toxicity
 
 
