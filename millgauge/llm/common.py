@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` as a Parquet table below ``spark.checkpoint.dir``: lineage ends here, executors may go."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -48,9 +48,12 @@ def _group_hashes(words: list[bytes], width: int) -> np.ndarray:
     return np.array([digest(line[a:b]) for a, b in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())], dtype=np.uint64)
 
 
-def _anchors(words: list[bytes], window: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def _groups(words: list[bytes]) -> np.ndarray:
+    return (_group_hashes(words, ANCHOR_WORDS) & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)
+
+
+def _anchors(groups: np.ndarray, window: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Per window: place and hash of its anchor, or of its second anchor."""
-    groups = (_group_hashes(words, ANCHOR_WORDS) & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)
     views = np.lib.stride_tricks.sliding_window_view(-groups if second else groups, window - ANCHOR_WORDS + 1)
     place = np.empty(len(views), dtype=np.int64)
     for at in range(0, len(views), 1 << 16):
@@ -73,7 +76,7 @@ def _survey(window: int):
             rows = []
             for key, text in zip(batch["key"], batch["text"]):
                 words = _words(text)
-                found = np.unique(_anchors(words, window)[1]) if len(words) >= window else np.empty(0, np.int64)
+                found = np.unique(_anchors(_groups(words), window)[1]) if len(words) >= window else np.empty(0, np.int64)
                 rows.append((key, len(words), hashlib.sha256(b" ".join(words)).hexdigest(), found))
             out = pd.DataFrame(rows, columns=["key", "n_words", "whole_sha256", "anchors"])
             out.insert(0, "id", batch["id"].to_numpy() if len(rows) else [])
@@ -88,17 +91,18 @@ def _excerpts(window: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            held, seen = set(), {}
+            seen: dict[int, tuple[int, bytes, set[int]]] = {}
             for number, text, wanted, hot in zip(batch["id"], batch["text"], batch["anchors"], batch["hot"]):
                 words = _words(text)
                 if len(words) < window:
                     continue
-                place, value = _anchors(words, window)
+                groups = _groups(words)
+                place, value = _anchors(groups, window)
                 hit = np.isin(value, np.asarray(wanted, dtype=np.int64))
                 many = np.isin(value, np.asarray(hot, dtype=np.int64))
                 turn = np.diff(np.where(hit, place, -1), prepend=-2) != 0
                 if many.any():
-                    other_place, other = _anchors(words, window, second=True)
+                    other_place, other = _anchors(groups, window, second=True)
                     turn |= many & (np.diff(other_place, prepend=-2) != 0)
                     value = np.where(many, value * np.int64(31) + other, value)
                 edge = np.flatnonzero(turn).tolist()
@@ -106,11 +110,15 @@ def _excerpts(window: int):
                     if hit[a]:
                         part = b" ".join(words[a : b - 1 + window])
                         name = xxhash.xxh3_64_intdigest(part) - (1 << 63)
-                        held.add((number, name))
-                        _, _, low, high = seen.get(name, (0, b"", number, number))
-                        seen[name] = (int(value[a]), part, min(low, number), max(high, number))
-            rows = [(number, name, None, None, None, None) for number, name in held]
-            rows += [(None, name, *found) for name, found in seen.items()]
+                        if name in seen:
+                            seen[name][2].add(number)
+                        else:
+                            seen[name] = (int(value[a]), part, {number})
+            rows = []
+            for name, (anchor, part, numbers) in seen.items():
+                low, high = min(numbers), max(numbers)
+                rows.append((low, name, anchor, part, low, high))
+                rows += [(number, name, None, None, None, None) for number in numbers if number != low]
             yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns if c != "words"})
 
     return run
@@ -128,6 +136,12 @@ def _locate(window: int):
     def found_in(rows: pd.DataFrame) -> pd.DataFrame:
         import ahocorasick
 
+        # An anchor of one text only has nothing to tell.
+        anchor = rows["anchor"].to_numpy()
+        first = np.flatnonzero(np.diff(anchor, prepend=~anchor[0]))
+        size = np.diff(np.append(first, len(anchor)))
+        several = np.minimum.reduceat(rows["low"].to_numpy(), first) < np.maximum.reduceat(rows["high"].to_numpy(), first)
+        rows = rows[np.repeat(several, size)]
         span: dict[bytes, tuple[int, int]] = {}
         texts = {}
         for name, part, low, high in zip(rows["excerpt"], rows["words"], rows["low"], rows["high"]):
@@ -203,12 +217,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = written(of_text.join(firsts.select(F.col("first").alias("id")), "id", "left_semi"), "wanted")
     texts = rows.join(wanted.withColumnRenamed("id", "wanted_id"), F.col("id") == F.col("wanted_id"))
     found = written(texts.select("id", "text", "anchors", "hot").mapInPandas(
-        _excerpts(window), "id bigint, excerpt bigint, anchor bigint, words binary, low bigint, high bigint"), "excerpts")
+        _excerpts(window), "id bigint, excerpt bigint, anchor bigint, words binary, low bigint, high bigint"), "excerpts", compression="zstd")
 
     shards = found.where("words is not null").select("anchor", "excerpt", "words", "low", "high").repartition("anchor").sortWithinPartitions("anchor")
     located = shards.mapInPandas(_locate(window), "excerpt bigint, removed array<bigint>, firsts array<bigint>")
     earlier = F.filter("removed", lambda _, i: F.get("firsts", i) < F.col("id"))
-    removed = (found.where("id is not null").select("id", "excerpt").join(located, "excerpt")
+    removed = (found.select("id", "excerpt").join(located, "excerpt")
                .select("id", earlier.alias("removed")).where(F.size("removed") > 0)
                .groupBy(F.col("id").alias("cut_id")).agg(F.flatten(F.collect_list("removed")).alias("removed")))
     cut = written(rows.join(removed, F.col("id") == F.col("cut_id")).select("key", "id", "text", "removed")
