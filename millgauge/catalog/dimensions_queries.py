@@ -274,7 +274,7 @@ def reconciliation(x: Context):
 
 @query("mig7", """SELECT machine_id, CAST(episode AS BIGINT) AS episode, min(start_time) AS started_at, max(coalesce(end_time, start_time)) AS ended_at, count(*) AS raw_events FROM (
 SELECT *, sum(CASE WHEN p IS NULL OR start_time - p > INTERVAL 300 SECOND THEN 1 ELSE 0 END) OVER (PARTITION BY machine_id ORDER BY start_time, event_id) AS episode
-FROM (SELECT *, lag(coalesce(end_time, start_time)) OVER (PARTITION BY machine_id ORDER BY start_time, event_id) AS p FROM downtime_events)) GROUP BY ALL""")
+FROM (SELECT *, max(coalesce(end_time, start_time)) OVER (PARTITION BY machine_id ORDER BY start_time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM downtime_events)) GROUP BY ALL""")
 def consolidate(x: Context):
     return migration.consolidate(x.star.downtime_events)
 

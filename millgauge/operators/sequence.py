@@ -31,16 +31,21 @@ def ordered_columns(
     last: dict[str, Column] | None = None,
     total: dict[str, Column] | None = None,
     following: dict[str, Column] | None = None,
+    highest: dict[str, Column] | None = None,
     chunk_seconds: int = HOUR,
 ) -> DataFrame:
     """Add columns in (ts, ties) order within ``keys``: value of the row before (`lag`)
-    or after (`lead`), last non-null so far (`last`), running sum (`total`), and next
-    non-null from here on (`following`). All share one shuffle of the rows."""
+    or after (`lead`), last non-null so far (`last`), running sum (`total`), next non-null
+    from here on (`following`), and largest value of all rows before (`highest`).
+
+    The input is read twice, for the summaries and for the rows, whatever is asked for in one call;
+    nested calls double that each time."""
     lag, lead, last, total, following = lag or {}, lead or {}, last or {}, total or {}, following or {}
+    highest = highest or {}
     keys = list(keys)
     order = F.struct(ts, *ties) if ties else F.struct(ts)
     src = df.withColumn("_chunk", _chunk(ts, chunk_seconds))
-    for group, exprs in (("g", lag), ("d", lead), ("l", last), ("t", total), ("f", following)):
+    for group, exprs in (("g", lag), ("d", lead), ("l", last), ("t", total), ("f", following), ("h", highest)):
         for name, expr in exprs.items():
             src = src.withColumn(f"_{group}_{name}", expr)
 
@@ -60,6 +65,8 @@ def ordered_columns(
         summary.append(
             F.min_by(F.col(f"_f_{n}"), F.when(F.col(f"_f_{n}").isNotNull(), order)).alias(f"_first_{n}")
         )
+    for n in highest:
+        summary.append(F.max(f"_h_{n}").alias(f"_max_{n}"))
     chunks = src.groupBy(*keys, "_chunk").agg(*summary)
 
     # Chain the summaries.
@@ -77,6 +84,8 @@ def ordered_columns(
         carried.append(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_sum_c_{n}"))
     for n in following:
         carried.append(F.last(f"_first_{n}", ignorenulls=True).over(after).alias(f"_first_c_{n}"))
+    for n in highest:
+        carried.append(F.max(f"_max_{n}").over(before).alias(f"_max_c_{n}"))
     carry = chunks.select(*carried)
 
     # Windows inside one chunk, then the carried values at its edges.
@@ -91,6 +100,8 @@ def ordered_columns(
         local.append(F.last(f"_l_{n}", ignorenulls=True).over(upto).alias(f"_run_{n}"))
     for n in total:
         local.append(F.sum(f"_t_{n}").over(upto).alias(f"_acc_{n}"))
+    for n in highest:
+        local.append(F.max(f"_h_{n}").over(inside.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_high_{n}"))
     if following:
         # Backwards order: a growing frame costs one step per row, a shrinking one does not.
         back = Window.partitionBy(*keys, "_chunk").orderBy(F.desc(ts), *[F.desc(c) for c in ties])
@@ -105,6 +116,7 @@ def ordered_columns(
     out += [F.coalesce(f"_run_{n}", f"_last_c_{n}").alias(n) for n in last]
     out += [(F.coalesce(F.col(f"_acc_{n}"), F.lit(0)) + F.col(f"_sum_c_{n}")).alias(n) for n in total]
     out += [F.coalesce(f"_fol_{n}", f"_first_c_{n}").alias(n) for n in following]
+    out += [F.greatest(f"_high_{n}", f"_max_c_{n}").alias(n) for n in highest]
     return joined.select(*out)
 
 

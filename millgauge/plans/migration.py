@@ -97,10 +97,10 @@ def backfill_hourly(minutes: DataFrame, machines: DataFrame, planned: DataFrame)
 
 def consolidate(events: DataFrame, gap_seconds: int = 300) -> DataFrame:
     """Raw stop rows into episodes: a row starts an episode unless it begins within
-    the gap after the row before it; the episode ends with its latest row."""
+    the gap after the latest end so far; the episode ends with that."""
     ts = F.unix_micros("start_time")
     end = F.coalesce("end_time", "start_time")
-    seen = ordered_columns(events, ["machine_id"], "start_time", ["event_id"], lag={"_prev_end": end})
+    seen = ordered_columns(events, ["machine_id"], "start_time", ["event_id"], highest={"_prev_end": end})
     fresh = F.col("_prev_end").isNull() | (ts - F.unix_micros("_prev_end") > gap_seconds * 1_000_000)
     marked = seen.withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
     numbered = ordered_columns(

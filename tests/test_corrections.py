@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from millgauge.operators import downtime, quality, scd2
-from millgauge.plans import health
+from millgauge.plans import health, migration
 from millgauge.session import scratch_path
 from millgauge.sources import messages, sinks
 from millgauge.streaming import jobs, state
@@ -110,3 +110,10 @@ def test_error_text_is_logged_whole(spark):
     path = scratch_path(spark, "log")
     sinks.log_batch(spark, path, "j", "1", at(1), "FAILED", error="e" * 5000)
     assert len(spark.read.parquet(path).first().error_detail) == 5000
+
+
+def test_long_stop_is_not_split_by_a_short_one_inside(spark):
+    rows = [(1, "M", at(1), at(5)), (2, "M", at(2), at(2, 5)), (3, "M", at(4), at(4, 30)), (4, "M", at(9), None)]
+    events = spark.createDataFrame(rows, "event_id bigint, machine_id string, start_time timestamp, end_time timestamp")
+    got = sorted((r.started_at, r.ended_at, r.raw_events) for r in migration.consolidate(events).collect())
+    assert got == [(at(1), at(5), 3), (at(9), at(9), 1)]
