@@ -35,7 +35,7 @@ RULES = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}  # no match without this character
-OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 TOKEN = r"(?:\G|(?<![A-Za-z0-9_@.%+-]))[A-Za-z_.%-]*+[0-9@+](?:[A-Za-z0-9_@.%+-]*[A-Za-z0-9_])?"
 TOKEN_CHARS = (5, 64)
 
