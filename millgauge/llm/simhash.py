@@ -30,20 +30,27 @@ SHINGLE_WORDS = 4
 SEED = 42
 
 
-def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
-    """Majority bits over the hashes of all word shingles of the whole text."""
+def shingle_hashes(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
+    """The hash of every word shingle of the whole text; a shorter text is one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z and ASCII white space are touched
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     width = min(width, len(words))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
+    return np.array(
         [digest(line[a:b], SEED) for a, b in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())],
         dtype="<u8",
     )
+
+
+def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
+    """Majority bits over the hashes of all word shingles of the whole text."""
+    hashes = shingle_hashes(text, width)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         block = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
