@@ -21,6 +21,25 @@ def test_rules_without_a_marked_article():
     assert pages.main_text(html) == " ".join(["A title", LONG.strip(), "Short line.", LONG.strip()])
 
 
+RUSSIAN = "Быстрая лиса перепрыгнула через ленивую собаку, потому что ей очень хотелось попасть домой до самого наступления темноты. " * 3
+CHINESE = "敏捷的棕色狐狸跳过了懒狗因为它想在天黑之前回到家里去看望它的朋友们并且告诉他们今天发生的事情" * 6
+
+
+@pytest.mark.parametrize("html, text", [
+    *[(f"<nav><a href=1>Home</a></nav><div><p>{t}</p></div><footer>f</footer>", t.strip()) for t in (RUSSIAN, CHINESE)],
+    (f"<div class='content no-sidebar'><p>{LONG}</div>", LONG.strip()),
+    (f"<article class='post category-legal'><p>{LONG}</article><div class=sidebar>{LONG}</div>", LONG.strip()),
+    (f"<article class='post comments-open'><p>{LONG}<div class='comments'>{LONG}</div></article>", LONG.strip()),
+    (f"<form id=aspnetForm><div class=menu>x</div><article><p>{LONG}</article></form>", LONG.strip()),
+    (f"<form><p>{LONG}<p>{LONG}</form>", " ".join([LONG.strip()] * 2)),
+    (f"<div><p>{LONG}<p>{LONG}</div><article>teaser</article>", " ".join([LONG.strip()] * 2 + ["teaser"])),
+    (f"<div><p>{LONG}</div><div class='comment-list'><p>{LONG}</div>", LONG.strip()),
+    (f"<article class=comment>{LONG}</article><div><p>{LONG}</div>", LONG.strip()),
+])
+def test_whole_articles_stay(html, text):
+    assert pages.main_text(html) == text
+
+
 def test_long_pages_take_linear_time():
     assert len(pages.main_text("<div><b>x " * 20_000)) > 0
 
