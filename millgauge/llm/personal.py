@@ -54,19 +54,17 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(found: str, between: str, holds, kind: Column | None = None) -> Column:
-    """Spans of matches from the matches and the texts between them; positions in code points."""
+def _spans(found: str, between: str, holds) -> Column:
+    """Spans of matches, with value and text before, from the matches and the texts between them; positions in code points."""
 
     def step(state: Column, i: Column) -> Column:
         value, start = F.get(found, i), state["pos"] + F.length(F.get(between, i))
         end = start + F.length(value)
-        fields = [start.alias("start"), end.alias("end")]
-        if kind is None:
-            fields += [F.lower(value).alias("value"), F.right(F.get(between, i), F.lit(CONTEXT_CHARS + 8)).alias("before")]
+        fields = [start.alias("start"), end.alias("end"), F.lower(value).alias("value"),
+                  F.right(F.get(between, i), F.lit(CONTEXT_CHARS + 8)).alias("before")]
         return F.struct(end.alias("pos"), F.when(holds(value), F.array_append(state["out"], F.struct(*fields))).otherwise(state["out"]).alias("out"))
 
-    extra = ", value: string, before: string" if kind is None else ""
-    empty = F.array().cast(f"array<struct<start: int, end: int{extra}>>")
+    empty = F.array().cast("array<struct<start: int, end: int, value: string, before: string>>")
     steps = F.sequence(F.lit(0), F.size(found) - 1)
     folded = F.aggregate(steps, F.struct(F.lit(0).alias("pos"), empty.alias("out")), step, lambda s: s["out"])
     return F.when(F.size(found) > 0, folded).otherwise(empty)
@@ -86,7 +84,7 @@ def rule_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     long_enough = lambda v: F.length(v).between(*TOKEN_CHARS)
     return rows.select(
         "id", F.monotonically_increasing_id().alias("uid"),
-        *[_spans(f"{k}_found", f"{k}_between", lambda v, k=k: _holds(k, v), F.lit(k)).alias(k) for k in KINDS],
+        *[_spans(f"{k}_found", f"{k}_between", lambda v, k=k: _holds(k, v)).alias(k) for k in KINDS],
         _spans("token_found", "token_between", long_enough).alias("tokens"),
     )
 
@@ -105,14 +103,24 @@ def _joined(spans: Column) -> Column:
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:
-    """(uid, before, value, start, end, kind): seeds with their kind, other tokens without."""
-    seeds = F.concat(*[_tagged(F.col(k), k) for k in KINDS])
-    tokens = rows.select("uid", seeds.alias("seeds"), F.explode("tokens").alias("t"))
-    over = F.filter("seeds", lambda s: (s["start"] < F.col("t.end")) & (F.col("t.start") < s["end"]))
+    """(uid, before, value, start, end, kind): rule spans with their kind, tokens apart from them without.
+
+    A span of several words ("4111 1111 1111 1111") is one instance. Where spans of two kinds overlap, the first of ``KINDS`` counts.
+    """
+    apart = lambda spans, others: F.filter(spans, lambda t: ~F.exists(others, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    taken, instances = None, []
+    for k in (*KINDS, None):
+        spans = F.col(k or "tokens") if taken is None else apart(F.col(k or "tokens"), taken)
+        kind = F.lit(k).cast("string")
+        instances.append(F.transform(spans, lambda s: F.named_struct(  # called at once
+            *[x for name in ("start", "end", "value", "before") for x in (F.lit(name), s[name])], F.lit("kind"), kind)))  # noqa: B023
+        if k:
+            taken = F.col(k) if taken is None else F.concat(taken, F.col(k))
+    tokens = rows.select("uid", F.explode(F.concat(*instances)).alias("t"))
     word = F.lower(F.regexp_extract(F.col("t.before"), r"(\S{1,%d})\s*$" % CONTEXT_CHARS, 1))
     return tokens.select(
         "uid", word.alias("before"), F.col("t.value").alias("value"), F.col("t.start").alias("start"), F.col("t.end").alias("end"),
-        F.get(over, F.lit(0))["kind"].alias("kind"),
+        F.col("t.kind").alias("kind"),
     )
 
 

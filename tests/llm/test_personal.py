@@ -52,6 +52,21 @@ def test_contexts_reveal_unseen_identifiers(docs_of):
     assert got[3].count("email") == 1
 
 
+def valid_card(k):
+    head = f"4{k:014d}"
+    return next(c for c in (head + str(d) for d in range(10)) if luhn(c))
+
+
+def test_contexts_of_spaced_cards_and_bracketed_phones(docs_of):
+    spaced = lambda c: " ".join(c[k : k + 4] for k in range(0, 16, 4))
+    rows = [(k, f"paid by visa: {spaced(valid_card(k * 7919))} today") for k in range(20)]
+    rows += [(20 + k, f"ring phone: +1 ({200 + k}) 555-{3000 + k} today") for k in range(20)]
+    rows += [(50, "paid by visa: 4111-1111-1111-1112 today"), (51, "ring phone: 555-384-2000 today"), (52, "see 555-384-2000 (here) 555-3824")]
+    got = {r.doc_id: r.spans for r in personal.extract(docs_of(rows)).collect()}
+    assert got[50] == "card:14:33" and got[51] == "phone:12:24" and got[52] == ""
+    assert all(got[k].count("card") == 1 and got[20 + k].count("phone") == 1 and "," not in got[k] + got[20 + k] for k in range(20))
+
+
 def test_masking_repeats_and_empty(spark, docs_of):
     rows = docs_of([(1, "mail a@b.cd now"), (1, "mail a@b.cd now"), (None, "1.2.3.4"), (2, None), (3, "")]).selectExpr("monotonically_increasing_id() AS n", "*")
     got = [(r.doc_id, r.text) for r in personal.mask(rows, "n").orderBy("n").collect()]
