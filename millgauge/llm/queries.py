@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fixity, language, nearest, packing, pages, personal, repeats, simhash, toxicity
+from . import decontamination, fixity, language, nearest, negatives, packing, pages, personal, repeats, simhash, toxicity
 from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,11 +50,11 @@ def op5_personal(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op1_nearest", """
 WITH usable AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), pairs AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::BIGINT AS score
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)])::BIGINT AS score
     FROM usable q JOIN usable c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
 ), ranked AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs
@@ -107,3 +107,31 @@ def op2_fixity(spark: SparkSession, folder: str) -> DataFrame:
     rotten = F.concat(F.lit("~"), F.substring(F.coalesce("body", F.lit("")), 2, 1 << 30))
     replica = good.where("NOT coalesce(record_id % 101 = 7, false)").withColumn("body", F.when(F.col("record_id") % 97 == 5, rotten).otherwise(F.col("body")))
     return fixity.audit(good, replica).select(F.col("record_id").alias("page_id"), "kind", "expected_sha256", "found_sha256")
+
+
+@query("op11_negatives", """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           coalesce(list_sum([p[1] * p[2] for p in list_zip(a.v, c.v)]), 0)::BIGINT AS score
+    FROM usable a JOIN usable c ON c.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), fitting AS (
+    SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+    FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+    WHERE 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM fitting WHERE rank <= 3
+""")
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", shifted)
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0)
