@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fixity, language, nearest, negatives, packing, pages, personal, repeats, simhash, toxicity
+from . import decontamination, divergence, fixity, language, nearest, negatives, packing, pages, personal, repeats, simhash, toxicity
 from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,40 @@ def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, folder, "embeddings").withColumn("label", shifted)
     return negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op12_divergence", r"""
+WITH rows AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), words AS (SELECT id, lang, source, unnest(terms) AS term FROM rows),
+kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM rows),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sizes AS (SELECT lang, source, sum(n)::HUGEINT AS size FROM counts GROUP BY lang, source),
+langs AS (SELECT lang, count(*) AS kinds, sum(total)::HUGEINT AS size FROM kept GROUP BY lang),
+shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (coalesce(s.size, 0) + l.kinds))::BIGINT AS p,
+           (1 + 1000000000::HUGEINT * (k.total + 1) // (l.size + l.kinds))::BIGINT AS q
+    FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN counts c USING (lang, source, term) LEFT JOIN sizes s USING (lang, source)
+), priced AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN priced p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+""")
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
