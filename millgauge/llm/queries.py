@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, divergence, fixity, language, nearest, negatives, packing, pages, personal, repeats, simhash, toxicity
+from . import decontamination, divergence, fixity, language, mixing, nearest, negatives, packing, pages, personal, repeats, simhash, toxicity
 from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,9 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 """)
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
+
+
+@query("op13_mixing")
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
