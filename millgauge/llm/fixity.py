@@ -34,6 +34,15 @@ def warc_record(record_id: Column, url: Column, body: Column) -> Column:
     return F.concat(head, text, F.lit("\r\n\r\n"))
 
 
+def _placed(rows: DataFrame, archive_bytes: int) -> DataFrame:
+    """Stored rows (row, length, ...) with their archive and offset, in the order of the rows."""
+    total = rows.agg(F.sum("length").alias("n")).first()["n"] or 0
+    count = max(1, -(-total // archive_bytes))
+    before = Window.partitionBy("archive").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("archive", F.pmod(F.xxhash64("row"), F.lit(count)))
+            .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))))
+
+
 def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """(archive, offset, length, record_id, url, body): pages laid out as records of archives, in the order of the table.
 
@@ -42,17 +51,27 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     rows = written(pages.select(F.col(f"`{id_col}`").alias("record_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{body_col}`").alias("body"))
                    .withColumn("row", F.monotonically_increasing_id()), "records")
     lengths = rows.select("row", F.octet_length(warc_record(F.col("record_id"), F.col("url"), F.col("body"))).cast("bigint").alias("length"))
-    total = lengths.agg(F.sum("length").alias("n")).first()["n"] or 0
-    count = max(1, -(-total // archive_bytes))
-    before = Window.partitionBy("archive").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (lengths.withColumn("archive", F.pmod(F.xxhash64("row"), F.lit(count)))
-              .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))))
-    return rows.join(placed.withColumnRenamed("row", "placed_row"), F.col("row") == F.col("placed_row")).select(
-        "archive", "offset", "length", "record_id", "url", "body")
+    placed = _placed(lengths, archive_bytes).withColumnRenamed("row", "placed_row")
+    return rows.join(placed, F.col("row") == F.col("placed_row")).select("archive", "offset", "length", "record_id", "url", "body")
+
+
+def inventory(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", archive_bytes: int = ARCHIVE_BYTES,
+              **copies: Column) -> DataFrame:
+    """(archive, offset, length, record_id, digest, ...): records hashed where they are read, each body once; no body is stored or shuffled.
+
+    ``copies`` are bodies that replicas hold at the same places; each adds a column of its name with the digest of that record.
+    """
+    key, url, body = (F.col(f"`{c}`") for c in (id_col, url_col, body_col))
+    digest = lambda of: F.sha2(warc_record(key, url, of).cast("binary"), 256)
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.octet_length(warc_record(key, url, body)).cast("bigint").alias("length"),
+                        key.alias("record_id"), digest(body).alias("digest"), *[digest(c).alias(name) for name, c in copies.items()])
+    return _placed(written(rows, "inventory"), archive_bytes).drop("row")
 
 
 def leaves(records: DataFrame) -> DataFrame:
     """(archive, offset, record_id, digest) of a replica."""
+    if "digest" in records.columns:
+        return records.select("archive", "offset", "record_id", "digest")
     text = warc_record(F.col("record_id"), F.col("url"), F.col("body"))
     return records.select("archive", "offset", "record_id", F.sha2(text.cast("binary"), 256).alias("digest"))
 
@@ -87,7 +106,7 @@ def _below(rows: DataFrame, parents: DataFrame, parent: Column) -> DataFrame:
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """(archive, offset, record_id, kind, expected_sha256, found_sha256) of the records at which the second replica differs.
 
-    Both have the columns of ``archive``; kind is altered, missing or extra.
+    Both have the columns of ``archive`` or of ``inventory``; kind is altered, missing or extra.
     """
     sides = [written(leaves(r), "leaves") for r in (first, second)]
     end = max(s.agg(F.max("offset").alias("m")).first()["m"] or 0 for s in sides)

@@ -12,7 +12,7 @@ finds its own place from its number within its length, in one pass on the execut
 
 Defined cases: null text is empty text and holds only the end mark; an empty table gives an empty
 result; repeated rows are packed each on their own, rows with a null id too; a text longer than a
-sequence is cut, the first piece takes what is over; other columns are ignored.
+sequence is cut, the first piece takes what is over; a text with a very long run of white space goes through ``tokenizers`` itself; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ TOKENIZER = "byte_bpe_50k"
 # The splitting pattern of this vocabulary. The short form equals it for texts in which no
 # two white-space characters meet, and runs faster.
 SHORT_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
+LONG_SPACES = r"\s{10000}"  # runs on which the look-ahead of the whole pattern would use up the stack of its engine
 
 
 def vocabulary_path(name: str = TOKENIZER) -> str:
@@ -52,16 +53,23 @@ def encoder(path: str):
 
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     short, full = (tiktoken.Encoding("pieces", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
                    for p in (SHORT_PATTERN, public_tokenizers.PATTERN))
-    meet = re.compile(r"\s\s").search
+    meet, long = re.compile(r"\s\s").search, re.compile(LONG_SPACES).search
     assert array("I").itemsize == 4 and sys.byteorder == "little"
 
+    def slow(text: str) -> list[int]:
+        tokenizer = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
+        tokenizer.encode_special_tokens = True
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
     def encode(text: str) -> bytes:
-        return array("I", (full if meet(text) else short)(text)).tobytes()
+        spaced = meet(text)
+        return array("I", (short if not spaced else slow if long(text) else full)(text)).tobytes()
 
     return encode
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, divergence, fixity, language, mixing, nearest, negatives, packing, pages, personal, repeats, simhash, toxicity
-from .common import table, written
+from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,10 +103,10 @@ WHERE g.page_id % 101 = 7 OR g.page_id % 97 = 5 AND g.digest <> d.digest
 """)
 def op2_fixity(spark: SparkSession, folder: str) -> DataFrame:
     """All pages as archives, against a replica in which the first byte of some records changed and others are lost."""
-    good = written(fixity.archive(table(spark, folder, "pages")), "replica")
-    rotten = F.concat(F.lit("~"), F.substring(F.coalesce("body", F.lit("")), 2, 1 << 30))
-    replica = good.where("NOT coalesce(record_id % 101 = 7, false)").withColumn("body", F.when(F.col("record_id") % 97 == 5, rotten).otherwise(F.col("body")))
-    return fixity.audit(good, replica).select(F.col("record_id").alias("page_id"), "kind", "expected_sha256", "found_sha256")
+    rotten = F.concat(F.lit("~"), F.substring(F.coalesce("html", F.lit("")), 2, 1 << 30))
+    held = fixity.inventory(table(spark, folder, "pages"), replica=F.when(F.col("page_id") % 97 == 5, rotten).otherwise(F.col("html")))
+    replica = held.where("NOT coalesce(record_id % 101 = 7, false)").drop("digest").withColumnRenamed("replica", "digest")
+    return fixity.audit(held, replica).select(F.col("record_id").alias("page_id"), "kind", "expected_sha256", "found_sha256")
 
 
 @query("op11_negatives", """

@@ -102,7 +102,7 @@ def _longest(entries: pd.DataFrame) -> pd.DataFrame:
         for k in range(2, len(stem)):
             if stem[:k] in held:
                 longer[stem[:k]] = max(longer[stem[:k]], n)
-    return entries[[longer[s] < 0.8 * n for s, n in held.items()]]
+    return entries[np.array([longer[s] < 0.8 * n for s, n in held.items()], dtype=bool)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -150,6 +150,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     usual = words.where("ordinary > 0").orderBy(F.desc("ordinary"), "stem").limit(ORDINARY_ENTRIES).toPandas()
     ordinary = b"".join(map(bytes, usual["stem"][::-1]))  # the most frequent last, nearest to the text
     toxic = b"".join(_longest(_marked(words, sizes["toxic"], sizes["ordinary"]))["stem"][::-1])
+    if not toxic:
+        return {"prior": prior}
     rows = texts.mapInPandas(_measure(ordinary, toxic), MEASURED).toPandas()
     x, y = np.array(rows["x"].tolist()).reshape(-1, 8), rows["y"].to_numpy(float)
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)

@@ -38,11 +38,35 @@ def test_finds_exactly_the_damage(spark, monkeypatch, range_bytes):
     assert got[50, "missing"].expected_sha256 == hashlib.sha256(text_of(by_id[50])).hexdigest()
 
 
-def test_equal_trees_are_not_descended(spark):
+def test_only_differing_ranges_are_read(spark, monkeypatch):
+    monkeypatch.setattr(fixity, "RANGE_BYTES", 500)
+    monkeypatch.setattr(fixity, "FANOUT", 4)
     good = fixity.written(fixity.archive(pages(spark)), "replica")
-    leaf = fixity.leaves(good)
-    roots = [sorted(map(tuple, fixity.tree(leaf, 3)[-1].collect())) for _ in range(2)]
-    assert roots[0] == roots[1] and len(roots[0]) == 1
+    bad = good.withColumn("body", fixity.F.expr("if(record_id = 150, 'rotten', body)"))
+    read, below = [], fixity._below
+
+    def counted(*args):
+        out = below(*args)
+        read.append((args[0].count(), out.count()))
+        return out
+
+    monkeypatch.setattr(fixity, "_below", counted)
+    assert [r.record_id for r in fixity.audit(good, bad).collect()] == [150]
+    assert len(read) > 8 and max(n for n, _ in read) > 200
+    assert all(n <= 4 for _, n in read[:-2]) and all(n <= 12 for _, n in read[-2:])
+
+
+@pytest.mark.parametrize("archive_bytes", [40_000, 1 << 26])
+def test_inventory_equals_archive(spark, archive_bytes):
+    table = pages(spark)
+    other = fixity.F.concat(fixity.F.col("html"), fixity.F.lit("!"))
+    held = fixity.inventory(table, archive_bytes=archive_bytes, other=other).collect()
+    laid = fixity.archive(table, archive_bytes=archive_bytes).collect()
+    key = lambda r: (r.archive, r.offset)
+    want = [(*key(r), r.length, r.record_id, hashlib.sha256(text_of(r)).hexdigest()) for r in sorted(laid, key=key)]
+    assert [(*key(r), r.length, r.record_id, r.digest) for r in sorted(held, key=key)] == want
+    changed = fixity.archive(table.withColumn("html", other), archive_bytes=archive_bytes)
+    assert sorted(r.other for r in held) == sorted(r.digest for r in fixity.leaves(changed).collect())
 
 
 def test_empty(spark):

@@ -30,6 +30,11 @@ def test_ids_are_those_of_the_library(text):
     assert np.frombuffer(ENCODE(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" * 2_000_000, "7" * 2_000_000, "x" + "\n \t" * 20_000 + "<s> y"], ids=["spaces", "letters", "digits", "mixed"])
+def test_very_long_runs(library, text):
+    assert np.frombuffer(ENCODE(text), "<u4").tolist() == library(text)
+
+
 def test_every_piece_once_and_no_overlap(spark, docs_of, library):
     rows = [(k, "word " * (k * 37 % 400)) for k in range(120)] + [(500, "long text, " * 2500), (501, None), (502, ""), (None, "x"), (3, "word")]
     got = packing.pack(docs_of(rows), keep_ids=True).collect()

@@ -38,6 +38,12 @@ def test_without_labels(spark, docs_of):
     assert toxicity.score(docs_of([]), toxicity.learn(docs, both)).count() == 0
 
 
+def test_no_marked_words(spark, docs_of):
+    docs = docs_of([(k, "plain words " + "re" * (k % 7)) for k in range(60)])
+    labels = spark.createDataFrame([(k, int(k < 15)) for k in range(60)], "doc_id bigint, toxic int")
+    assert {r.score for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()} == {0.25}
+
+
 def test_held_out_on_labelled_table(spark):
     from millgauge.llm import queries
 
