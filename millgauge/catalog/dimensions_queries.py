@@ -26,7 +26,7 @@ def dim_date(x: Context):
     return dates.join(per, "full_date", "left").select(*dates.columns, F.coalesce("n", F.lit(0)).alias("orders"))
 
 
-@query("dim2", f"""SELECT {CLOCK_SQL}, coalesce(n, 0) AS readings FROM (SELECT range AS m FROM range(1440))
+@query("dim2", f"""SELECT {CLOCK_SQL}, coalesce(n, 0) AS readings FROM (SELECT range AS m, TIMESTAMP '2000-01-01' + to_minutes(range) AS t FROM range(1440))
 LEFT JOIN (SELECT hour(event_time) * 60 + minute(event_time) AS k, count(*) AS n FROM readings GROUP BY ALL) ON k = m""")
 def dim_time(x: Context):
     per = x.star.sensor.groupBy("time_key").agg(F.count("*").alias("n"))
