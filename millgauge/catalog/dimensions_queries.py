@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dimensions, merge, production, scd2
+from ..operators import dimensions, downtime, merge, production, scd2
 from ..operators.joins import as_of_version
 from ..plans import migration
 from ..sources import seeds, sinks
+from ..sources.store import Store
 from . import sql
 from .aggregates import HOURLY_OUT, HOURLY_SQL, ROLLUP_OUT, ROLLUP_SQL
 from .expressions import CALENDAR_SQL, CLOCK_SQL, PLANNED_REASON
@@ -124,25 +125,54 @@ def _unit_rows(df):
     return df.select("machine_key", "window_start", "units_produced", "good_units")
 
 
+def stored(x: Context, df, ts: str = "window_start", unit: str = "yyyyMMdd") -> Store:
+    """Rows as a stored table of days."""
+    out = Store.like(df, x.path("stored"), ts, unit)
+    out.overwrite(df)
+    return out
+
+
 @query("mrg1", f"""WITH {STALE_SQL} SELECT machine_key, window_start, units_produced, good_units FROM stale
 UNION ALL SELECT machine_key, window_start, units_produced, good_units FROM hourly h WHERE NOT EXISTS (SELECT 1 FROM stale s WHERE s.machine_key = h.machine_key AND s.window_start = h.window_start)""")
 def insert_ignore(x: Context):
-    return merge.insert_ignore(_unit_rows(stale_copy(x)), _unit_rows(x.star.hourly), production.GRAIN)
+    table = stored(x, _unit_rows(stale_copy(x)))
+    table.insert_ignore(_unit_rows(x.star.hourly), production.GRAIN)
+    return table.read()
 
 
 @query("mrg2", "SELECT machine_key, window_start, units_produced, good_units FROM hourly")
 def upsert(x: Context):
-    return merge.upsert(_unit_rows(stale_copy(x)), _unit_rows(x.star.hourly), production.GRAIN)
+    table = stored(x, _unit_rows(stale_copy(x)))
+    table.upsert(_unit_rows(x.star.hourly), production.GRAIN)
+    return table.read()
+
+
+@query("mrg2_days", f"""WITH {STALE_SQL}, changed AS (SELECT strftime(h.window_start, '%Y%m%d') AS part,
+  s.machine_key IS NOT NULL AS known FROM hourly h LEFT JOIN stale s USING (machine_key, window_start)
+  WHERE s.machine_key IS NULL OR h.units_produced IS DISTINCT FROM s.units_produced OR h.good_units IS DISTINCT FROM s.good_units)
+SELECT part, coalesce(bool_or(known), FALSE) AS rewritten, count(known) > 0 AS touched
+FROM (SELECT DISTINCT strftime(window_start, '%Y%m%d') AS part FROM hourly) LEFT JOIN changed USING (part) GROUP BY part""")
+def upsert_days(x: Context):
+    """Which days a merge rewrites, which only gain a folder, and that the same merge again does neither."""
+    table = stored(x, _unit_rows(stale_copy(x)))
+    before = table.manifest().groups
+    for _ in range(2):
+        table.upsert(_unit_rows(x.star.hourly), production.GRAIN)
+    after = table.manifest().groups
+    rows = [(p, bool(set(before.get(p, [])) - set(g)), before.get(p) != g) for p, g in after.items()]
+    return x.spark.createDataFrame(rows, "part string, rewritten boolean, touched boolean")
 
 
 @query("mrg3", HOURLY_SQL)
 def accumulate(x: Context):
-    """The accumulated hours plus a late slice of readings."""
+    """The accumulated hours plus a late slice of readings, which arrives twice and counts once."""
     cut = x.newest("cut").select((F.col("cut") - F.expr("INTERVAL 90 MINUTES")).alias("cut"))
     split = x.star.conformed.crossJoin(F.broadcast(cut))
-    before = production.hourly_components(split.where(F.col("event_time") <= F.col("cut")))
+    table = stored(x, production.hourly_components(split.where(F.col("event_time") <= F.col("cut"))))
     late = production.hourly_components(split.where(F.col("event_time") > F.col("cut")))
-    return production.finish_hourly(production.merge_components(before, late)).select(*HOURLY_OUT)
+    for _ in range(2):
+        table.accumulate(late, production.GRAIN, production.merge_components, "late", 0)
+    return production.finish_hourly(table.read()).select(*HOURLY_OUT)
 
 
 @query("mrg3_recompute", "SELECT machine_key, window_start, units_produced, good_units FROM hourly")
@@ -153,39 +183,62 @@ def recompute_touched(x: Context):
     batch = atomic.crossJoin(F.broadcast(x.newest())).where(
         F.col("event_time") > F.col("as_of") - F.expr("INTERVAL 90 MINUTES"))
     fresh = _unit_rows(production.hourly_fact(merge.touched_grain(atomic, batch, production.GRAIN).drop("window_start")))
-    once = merge.upsert(_unit_rows(stale_copy(x)), fresh, production.GRAIN)
-    return merge.upsert(once, fresh, production.GRAIN)
+    table = stored(x, _unit_rows(stale_copy(x)))
+    for _ in range(2):
+        table.upsert(fresh, production.GRAIN)
+    return table.read()
 
 
 @query("mrg4", """SELECT machine_id, started_at, ended_at, duration_minutes, is_open FROM stops""")
 def guarded_update(x: Context):
-    """Every stop first as open, then closed by the ends; open ones stay open."""
-    from ..operators.downtime import close_episodes
-
+    """Every stop first stored as open, then closed by the ends; open ones stay open, closed ones stay as they are."""
     full = x.star.downtime.select("machine_id", "started_at", "ended_at", "duration_minutes", "is_open")
-    as_open = full.withColumns({"ended_at": F.lit(None).cast("timestamp"), "duration_minutes": F.lit(None).cast("double"),
-                                "is_open": F.lit(True)})
-    ends = full.where("ended_at IS NOT NULL").select("machine_id", "started_at", "ended_at")
-    return close_episodes(as_open, ends)
+    table = stored(x, downtime.as_open(full.select("machine_id", "started_at")), "started_at")
+    ends = full.where("ended_at IS NOT NULL")
+    wrong = ends.withColumn("duration_minutes", F.lit(-1.0))
+    for rows in (ends, wrong):
+        table.update(rows, ("machine_id", "started_at"), ("ended_at", "duration_minutes", "is_open"), F.col("is_open"))
+    return table.read()
 
 
 @query("mrg5", """SELECT machine_key, window_start, units_produced, good_units FROM hourly WHERE machine_key <> -1""")
 def delete_orphans(x: Context):
-    return merge.drop_orphans(_unit_rows(x.star.hourly), x.star.hourly.where("machine_key <> -1"), production.GRAIN)
+    table = stored(x, _unit_rows(x.star.hourly))
+    table.drop_orphans(x.star.hourly.where("machine_key <> -1"), production.GRAIN)
+    return table.read()
+
+
+def lines_by_month(x: Context) -> Store:
+    return stored(x, x.table("lineitem").select(F.col("l_shipdate").cast("timestamp").alias("l_shipdate"), "l_quantity"), "l_shipdate", "yyyyMM")
+
+
+_RETENTION = {"as_of": "1998-01-15", "months": 24}
 
 
 @query("mrg6", """SELECT strftime(l_shipdate, '%Y%m') AS event_month, count(*) AS rows FROM lineitem
 WHERE CAST(date_trunc('month', l_shipdate) AS DATE) >= DATE '1996-01-01' GROUP BY ALL""")
 def retention(x: Context):
-    rows = x.table("lineitem").withColumn("event_month", F.date_format("l_shipdate", "yyyyMM"))
-    kept = merge.retain(rows, "event_month", F.lit("1998-01-15").cast("date"), 24)
-    return kept.groupBy("event_month").agg(F.count("*").alias("rows"))
+    """Old months leave the table and the disk; the others are not touched."""
+    table = lines_by_month(x)
+    table.drop_expired(F.lit(_RETENTION["as_of"]).cast("date"), _RETENTION["months"])
+    return table.read().groupBy(F.date_format("l_shipdate", "yyyyMM").alias("event_month")).agg(F.count("*").alias("rows"))
+
+
+_EXPIRED_SQL = """SELECT DISTINCT strftime(l_shipdate, '%Y%m') AS event_month FROM lineitem WHERE CAST(date_trunc('month', l_shipdate) AS DATE) < DATE '1996-01-01'"""
 
 
-@query("mrg6_preview", """SELECT DISTINCT strftime(l_shipdate, '%Y%m') AS event_month FROM lineitem WHERE CAST(date_trunc('month', l_shipdate) AS DATE) < DATE '1996-01-01'""")
+@query("mrg6_preview", _EXPIRED_SQL)
 def retention_preview(x: Context):
-    names = x.table("lineitem").select(F.date_format("l_shipdate", "yyyyMM").alias("event_month")).distinct()
-    return merge.expired_partitions(names, "event_month", F.lit("1998-01-15").cast("date"), 24)
+    """From the catalogue of the stored table; no row is read."""
+    names = lines_by_month(x).expired(F.lit(_RETENTION["as_of"]).cast("date"), _RETENTION["months"])
+    return names.withColumnRenamed("part", "event_month")
+
+
+@query("fn4", _EXPIRED_SQL)
+def drop_partitions(x: Context):
+    """Names of the partitions dropped."""
+    gone = lines_by_month(x).drop_expired(F.lit(_RETENTION["as_of"]).cast("date"), _RETENTION["months"])
+    return x.spark.createDataFrame([(p,) for p in gone], "event_month string")
 
 
 @query("mrg7", """SELECT strftime(l_shipdate, '%Y%m') AS event_month, count(*) AS rows, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity

@@ -55,6 +55,16 @@ class Store:
         fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
         return cls(df.sparkSession, path, T.StructType(fields), ts, unit)
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> "Store":
+        """The table at ``path``, as its newest manifest describes it."""
+        out = cls(spark, path, T.StructType([]), "")
+        for version in reversed(out._versions()):
+            about = out._load(version)
+            if about is not None:
+                return cls(spark, path, T.StructType.fromJson(about["schema"]), about["ts"], about["unit"])
+        raise FileNotFoundError(f"no stored table at {path}")
+
     # ---- files and manifests ----
     def _file(self, *names: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *names)))
@@ -67,16 +77,20 @@ class Store:
     def _versions(self) -> list[int]:
         return sorted(int(s.getPath().getName().removesuffix(".json")) for s in self._names("_manifests"))
 
-    def _read_manifest(self, version: int) -> Manifest | None:
+    def _load(self, version: int) -> dict | None:
         files, where = self._file("_manifests", f"{version:012d}.json")
         stream = files.open(where)
         try:
-            return Manifest(version, **json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-        except (ValueError, TypeError):  # its writer died within it
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        except ValueError:  # its writer died within it
             return None
         finally:
             stream.close()
 
+    def _read_manifest(self, version: int) -> Manifest | None:
+        about = self._load(version)
+        return about and Manifest(version, about["groups"], about["applied"])
+
     def manifest(self) -> Manifest:
         found = (self._read_manifest(v) for v in reversed(self._versions()))
         return next((m for m in found if m is not None), Manifest())
@@ -93,7 +107,8 @@ class Store:
             stream = files.create(where, False)
         except Py4JJavaError as exc:
             raise Conflict(f"{self.path} version {after.version} is taken") from exc
-        stream.write(json.dumps({"groups": after.groups, "applied": after.applied}).encode())
+        about = {"schema": json.loads(self.schema.json()), "ts": self.ts, "unit": self.unit}
+        stream.write(json.dumps({**about, "groups": after.groups, "applied": after.applied}).encode())
         stream.close()
         for old in versions[: -KEPT_MANIFESTS + 1]:
             files.delete(self._file("_manifests", f"{old:012d}.json")[1], False)
