@@ -42,6 +42,41 @@ def to_envelope(readings: DataFrame, broken: bool) -> DataFrame:
     )
 
 
+# ---- the readings as files that arrive one after the other ----
+FEED_DAYS = 8  # days of a chunk
+FEED_FILES = 2  # files of a chunk; with this cap a batch is one chunk
+CHUNK_SQL = f"(date_diff('day', (SELECT min(CAST(event_time AS DATE)) FROM readings), CAST(event_time AS DATE)) // {FEED_DAYS})"
+LATE_SQL = "CASE reading_id % 10 WHEN 7 THEN 1 WHEN 3 THEN 2 ELSE 0 END"
+
+
+def _chunk(x) -> Column:
+    first = x.readings.agg(F.min(F.to_date("event_time"))).first()[0]
+    return F.floor(F.datediff(F.to_date("event_time"), F.lit(first)) / FEED_DAYS).cast("int")
+
+
+def _deliveries(kind: str) -> Column:
+    """In how many chunks after its own a reading is delivered; more than one for those that come again."""
+    r = F.col("reading_id")
+    if kind == "late":
+        return F.array(F.when(r % 10 == 7, 1).when(r % 10 == 3, 2).otherwise(0))
+    if kind == "repeated":
+        return F.when(r % 7 == 0, F.array(F.lit(0), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return F.array(F.lit(0))
+
+
+def write_feed(x, path: str, kind: str = "ordered") -> None:
+    """Chunks of days as files, in order of arrival: ``ordered``, ``late`` (some rows one or two chunks after their own) or
+    ``repeated`` (some messages twice in their chunk and again in the next)."""
+    rows = x.readings.withColumn("chunk", _chunk(x)).withColumn("after", F.explode(_deliveries(kind))).withColumn("chunk", F.col("chunk") + F.col("after"))
+    for chunk in range(rows.agg(F.max("chunk")).first()[0] + 1):
+        part = rows.where(F.col("chunk") == chunk).drop("chunk", "after").repartition(FEED_FILES)
+        part.write.mode("append").parquet(path)
+
+
+def feed_stream(x, path: str, files: int = FEED_FILES) -> DataFrame:
+    return x.spark.readStream.schema(x.readings.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def broken_envelope(x) -> DataFrame:
     return to_envelope(x.readings, broken=True)
 

@@ -1,22 +1,25 @@
 """Streams over the readings, and what their sinks hold afterwards.
 
-The given events table is the stream's source. Each run works off the available
-files and stops; the result is read back from the written tables.
+The given events table is the stream's source: its readings are cut into chunks of days that arrive as
+files, in order, late or repeated, and a batch takes one chunk. Each run works off the available files and stops; the
+result is read back from the written tables.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..functions.numeric import num
 from ..operators import alerts, production
 from ..operators.sequence import first_per
 from ..sources import messages, sinks, tables
+from ..sources.store import Store
 from ..streaming import jobs
 from .aggregates import HOURLY_OUT, MINUTE_OUT, MINUTE_SQL
-from .envelope import ENVELOPE_SQL, to_envelope
+from .envelope import CHUNK_SQL, ENVELOPE_SQL, FEED_FILES, LATE_SQL, feed_stream, to_envelope, write_feed
 from .registry import REARM_MINUTES, Context, query
 
 _RUNS: dict[tuple, object] = {}
@@ -34,10 +37,21 @@ def reading_stream(x: Context):
     return tables.telemetry(tables.table_stream(x.spark, x.folder, "events"))
 
 
+def feed(x: Context, kind: str = "ordered", files: int = FEED_FILES):
+    """Stream over the readings as they arrive; a batch takes ``files`` files, those of one chunk by default."""
+    def write() -> str:
+        path = x.path(f"feed_{kind}")
+        write_feed(x, path, kind)
+        return path
+
+    return feed_stream(x, _once(x, f"feed_{kind}", write), files)
+
+
 def star_run(x: Context) -> jobs.StarJob:
+    """A batch for each chunk; a seventh of the messages comes twice in its batch and again in the next."""
     def start() -> jobs.StarJob:
         job = jobs.StarJob(x.path("star"), x.star.machines, x.star.statuses, x.star.alert_types, REARM_MINUTES)
-        jobs.wait_for([job.start(to_envelope(reading_stream(x), broken=True), once=True)])
+        jobs.wait_for([job.start(to_envelope(feed(x, "repeated"), broken=True), once=True)])
         return job
 
     return _once(x, "star", start)
@@ -46,12 +60,26 @@ def star_run(x: Context) -> jobs.StarJob:
 def first_run(x: Context) -> jobs.FirstGenerationJob:
     def start() -> jobs.FirstGenerationJob:
         job = jobs.FirstGenerationJob(x.path("first"))
-        jobs.wait_for(job.start(reading_stream(x), once=True))
+        jobs.wait_for(job.start(feed(x), once=True))
         return job
 
     return _once(x, "first", start)
 
 
+def late_run(x: Context) -> tuple[jobs.FirstGenerationJob, str]:
+    """Minutes of a feed with late rows, in update mode and, in a table of their own, in append mode."""
+    def start():
+        job = jobs.FirstGenerationJob(x.path("late"))
+        path = job.path("appended")
+        kpis = production.minute_kpis(feed(x, "late").withWatermark("event_time", jobs.FIRST_GENERATION_WATERMARK))
+        append = (kpis.writeStream.outputMode("append").format("parquet").option("path", path)
+                  .option("checkpointLocation", job.path("_checkpoint_appended")).trigger(availableNow=True).start())
+        jobs.wait_for([job.start_minutes(feed(x, "late"), once=True), append])
+        return job, path
+
+    return _once(x, "late", start)
+
+
 # The stream drops the broken messages; the same relations over the rest.
 _GOOD = "good AS (SELECT c.* FROM conformed c WHERE reading_id % 97 NOT IN (5, 11, 23, 41))"
 
@@ -69,11 +97,18 @@ def event_time(x: Context):
     return x.spark.read.parquet(_once(x, "timed", start))
 
 
-@query("st2", MINUTE_SQL)
-def watermarked_batch(x: Context):
-    """The watermark changes nothing in a batch run of the same aggregate."""
-    rows = x.readings.withWatermark("event_time", jobs.FIRST_GENERATION_WATERMARK)
-    return production.minute_kpis(rows).select(*MINUTE_OUT)
+# Rows of the late feed: their own chunk, the one that delivers them, and the watermark that batch tells late rows by. It comes from the
+# batches before the last one: a batch still takes what the previous batch's watermark let through.
+_DELIVERED = f"""delivered AS (SELECT *, {CHUNK_SQL} + {LATE_SQL} AS batch, date_trunc('minute', event_time) + INTERVAL 1 MINUTE AS minute_end FROM readings),
+marks AS (SELECT b.batch, (SELECT max(event_time) FROM delivered d WHERE d.batch < b.batch - 1) - INTERVAL 2 MINUTE AS mark FROM (SELECT DISTINCT batch FROM delivered) b),
+counted AS (SELECT d.*, mark IS NULL OR minute_end > mark AS in_time FROM delivered d JOIN marks USING (batch))"""
+
+
+@query("st2", f"""WITH {_DELIVERED} SELECT machine_id, date_trunc('minute', event_time) AS window_start, count(*) AS reading_count,
+  CAST(sum(units_produced) AS BIGINT) AS units_produced FROM counted WHERE in_time GROUP BY ALL""")
+def watermarked(x: Context):
+    """Rows behind the watermark change no minute, those that are only a chunk late do."""
+    return late_run(x)[0].minutes(x.spark).select("machine_id", "window_start", "reading_count", "units_produced")
 
 
 @query("st3", MINUTE_SQL)
@@ -81,6 +116,31 @@ def minute_stream(x: Context):
     return first_run(x).minutes(x.spark).select(*MINUTE_OUT)
 
 
+@query("st3_rows", "SELECT count(*) AS stored_rows, CAST(sum(reading_count) AS BIGINT) AS readings FROM minutes")
+def minutes_stored(x: Context):
+    """One row is stored for a minute, however often it was emitted."""
+    return first_run(x).minutes(x.spark).agg(F.count("*").alias("stored_rows"), F.sum("reading_count").alias("readings"))
+
+
+@query("st4", f"""WITH {_DELIVERED} SELECT machine_id, count(*) AS delivered, count(*) FILTER (WHERE in_time) AS counted,
+  count(*) FILTER (WHERE NOT in_time) AS too_late FROM counted GROUP BY ALL""")
+def late_rows(x: Context):
+    counted = late_run(x)[0].minutes(x.spark).groupBy("machine_id").agg(F.sum("reading_count").alias("counted"))
+    all_rows = x.readings.groupBy("machine_id").agg(F.count("*").alias("delivered"))
+    return all_rows.join(counted, "machine_id", "left").select(
+        "machine_id", "delivered", F.coalesce("counted", F.lit(0)).alias("counted"), (F.col("delivered") - F.coalesce("counted", F.lit(0))).alias("too_late"))
+
+
+@query("st8", f"""WITH {_DELIVERED}, m AS (SELECT machine_id, minute_end, count(*) AS n FROM counted WHERE in_time GROUP BY ALL)
+SELECT 'update' AS mode, count(*) AS minutes, CAST(sum(n) AS BIGINT) AS readings FROM m
+UNION ALL SELECT 'append', count(*), CAST(sum(n) AS BIGINT) FROM m, (SELECT max(event_time) - INTERVAL 2 MINUTE AS mark FROM readings) WHERE minute_end <= mark""")
+def output_modes(x: Context):
+    """Append only emits minutes that the watermark has closed; update emits the open ones too."""
+    job, path = late_run(x)
+    count = lambda df, mode: df.agg(F.lit(mode).alias("mode"), F.count("*").alias("minutes"), F.sum("reading_count").alias("readings"))
+    return count(job.minutes(x.spark), "update").unionByName(count(x.spark.read.parquet(path), "append"))
+
+
 @query("st5", f"""WITH {_GOOD} SELECT machine_key, status_key, shift_key, flags_key, event_time AS event_ts, units_produced FROM good""")
 def fan_out(x: Context):
     return star_run(x).sensor(x.spark).select("machine_key", "status_key", "shift_key", "flags_key", "event_ts", "units_produced")
@@ -106,7 +166,7 @@ def independent_rules(x: Context):
 
 @query("st14", "SELECT alert_id, machine_id, event_time, alert_type, severity, message FROM failure_alerts")
 def exclusive_rules(x: Context):
-    return x.spark.read.parquet(first_run(x).path("alerts")).drop("batch_id")
+    return first_run(x).alerts(x.spark)
 
 
 @query("st15", f"""WITH {_GOOD}, c AS (SELECT machine_id, machine_key, event_time, reading_id, 'FAULT_STATUS' AS code FROM good WHERE upper(status) IN ('FAULT', 'DOWN')
@@ -154,16 +214,21 @@ def state_machine_stream(x: Context):
 def several_queries(x: Context):
     job = first_run(x)
     n = lambda df, name: df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("sink"), "rows")
-    read = lambda name: x.spark.read.parquet(job.path(name))
-    return n(read("readings"), "readings").unionByName(n(job.minutes(x.spark), "minutes")).unionByName(n(read("alerts"), "alerts"))
+    return n(job.readings(x.spark), "readings").unionByName(n(job.minutes(x.spark), "minutes")).unionByName(n(job.alerts(x.spark), "alerts"))
 
 
-@query("st19", "SELECT machine_id, count(*) AS readings FROM readings GROUP BY ALL")
+@query("st19", f"WITH {_GOOD} SELECT machine_key, count(*) AS readings, count(DISTINCT reading_id) AS messages FROM good GROUP BY ALL")
 def repeats_removed(x: Context):
-    """Every message is delivered twice; each counts once."""
+    """Messages that come again, in their batch or in the next, count once; numbers of messages do not collide."""
+    return star_run(x).sensor(x.spark).groupBy("machine_key").agg(F.count("*").alias("readings"), F.countDistinct("reading_id").alias("messages"))
+
+
+@query("st19_watermark", "SELECT machine_id, count(*) AS readings FROM readings GROUP BY ALL")
+def repeats_within_watermark(x: Context):
+    """The form for sources without offsets in order: every message is delivered twice, state holds keys up to the watermark."""
     def start():
         path = x.path("unique")
-        twice = to_envelope(reading_stream(x), broken=False).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+        twice = to_envelope(feed(x), broken=False).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
         rows = messages.parse(messages.envelope(twice)).select("d.*", "kafka_offset")
         q = (jobs.without_repeats(rows).writeStream.outputMode("append").format("parquet").option("path", path)
              .option("checkpointLocation", path + "_checkpoint").trigger(availableNow=True).start())
@@ -188,17 +253,21 @@ def replay(x: Context):
 
 # ---- sinks ------------------------------------------------------------------
 @query("snk1", "SELECT event_date, count(*) AS rows, CAST(sum(units_produced) AS BIGINT) AS units FROM sensor GROUP BY ALL")
-def append_twice(x: Context):
-    """The same batch written twice is there once."""
-    path = x.path("sensor")
-    for _ in range(2):
-        sinks.write_batch(x.star.sensor, path, 0)
-    return x.spark.read.parquet(path).groupBy("event_date").agg(F.count("*").alias("rows"), F.sum("units_produced").alias("units"))
+def append_batches(x: Context):
+    """Six batches into days, each delivered twice; days with more than two folders are compacted, rows stay the same."""
+    sensor = x.star.sensor
+    table = Store.like(sensor, x.path("sensor"), "event_ts", "yyyyMMdd")
+    for batch in range(6):
+        for _ in range(2):
+            table.append(sensor.where(F.col("reading_id") % 6 == batch), "stream", batch, max_folders=2)
+    if max(r.folders for r in table.partitions().collect()) > 2:
+        raise AssertionError("a day with more folders than allowed")
+    return table.read().groupBy("event_date").agg(F.count("*").alias("rows"), F.sum("units_produced").alias("units"))
 
 
 @query("snk2", "SELECT machine_id, count(*) AS rows FROM readings GROUP BY ALL")
 def raw_append(x: Context):
-    return x.spark.read.parquet(first_run(x).path("readings")).groupBy("machine_id").agg(F.count("*").alias("rows"))
+    return first_run(x).readings(x.spark).groupBy("machine_id").agg(F.count("*").alias("rows"))
 
 
 @query("snk3", "SELECT machine_key, count(*) AS hours FROM hourly GROUP BY ALL")
@@ -218,7 +287,8 @@ def monthly_fact(x: Context):
     return rows.agg(F.count("*").alias("rows"), F.min("event_ts").alias("first_ts"), F.max("event_ts").alias("last_ts"))
 
 
-@query("snk6", f"WITH {_GOOD} SELECT 'star_stream' AS job_name, '0' AS batch_id, 'SUCCESS' AS status, count(*) AS rows_written FROM good")
+@query("snk6", f"""WITH {_GOOD} SELECT 'star_stream' AS job_name, CAST({CHUNK_SQL} AS VARCHAR) AS batch_id, 'SUCCESS' AS status, count(*) AS rows_written
+FROM good GROUP BY ALL""")
 def lineage(x: Context):
     log = x.spark.read.parquet(star_run(x).path("batch_log"))
     return log.select("job_name", "batch_id", "status", "rows_written")
@@ -250,24 +320,27 @@ def keyed_sink(x: Context):
 
 
 # ---- stream settings ------------------------------------------------------------
-def _append(x: Context, name: str, rows, runs: int = 1, once: bool = True):
-    """Append a stream to a table, ``runs`` times from the same checkpoint."""
-    def start():
-        path = x.path(name)
-        for _ in range(runs):
-            writer = (rows().writeStream.outputMode("append").format("parquet").option("path", path)
-                      .option("checkpointLocation", path + "_checkpoint"))
-            if once:
-                jobs.wait_for([writer.trigger(availableNow=True).start()])
-            else:
-                q = writer.trigger(processingTime=jobs.FIRST_GENERATION_TRIGGER).start()
-                try:
-                    q.processAllAvailable()
-                finally:
-                    q.stop()
-        return path
+def _stream(x: Context, name: str, rows, timed: bool = False):
+    """Work off a stream into a stored table of readings: the table, and the progress of its batches."""
+    path = x.path(name)
+
+    def append(batch, batch_id: int) -> None:
+        Store.like(batch, path, "event_time").append(batch, "stream", batch_id)
 
-    return x.spark.read.parquet(_once(x, name, start))
+    def run(sink=append):
+        writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", path + "/_checkpoint")
+        if not timed:
+            q = writer.trigger(availableNow=True).start()
+            jobs.wait_for([q])
+            return q
+        q = writer.trigger(processingTime="1 second").start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        return q
+
+    return path, append, run
 
 
 _PER_MACHINE = "SELECT machine_id, count(*) AS readings FROM readings GROUP BY ALL"
@@ -277,21 +350,52 @@ def _per_machine(df):
     return df.groupBy("machine_id").agg(F.count("*").alias("readings"))
 
 
+def _busy(q) -> int:
+    return sum(p["numInputRows"] > 0 for p in q.recentProgress)
+
+
 @query("st6", _PER_MACHINE)
 def timed_trigger(x: Context):
-    return _per_machine(_append(x, "timed_trigger", lambda: reading_stream(x), once=False))
+    def start():
+        path, _, run = _stream(x, "timed_trigger", feed(x), timed=True)
+        run()
+        return path
+
+    return _per_machine(Store.open(x.spark, _once(x, "timed_trigger", start)).read())
 
 
-@query("st7", _PER_MACHINE)
+@query("st7", f"""SELECT machine_id, count(*) AS readings, (SELECT max({CHUNK_SQL}) - 2 FROM readings) AS batches_left FROM readings GROUP BY machine_id""")
 def restarted(x: Context):
-    """A second start from the checkpoint finds nothing left to do."""
-    return _per_machine(_append(x, "restarted", lambda: reading_stream(x), runs=2))
+    """The run dies in its third batch, after the rows were stored and before the checkpoint knew. The next run starts
+    with that batch again, which the table already knows and does not read; nothing is lost, nothing counts twice."""
+    def start():
+        path, append, run = _stream(x, "restarted", feed(x))
+
+        def dies(batch, batch_id: int) -> None:
+            append(batch, batch_id)
+            if batch_id == 2:
+                raise RuntimeError("lost in the third batch")
 
+        try:
+            run(dies)
+        except StreamingQueryException as exc:
+            if "lost in the third batch" not in str(exc):
+                raise
+        return path, _busy(run())
 
-@query("st9", _PER_MACHINE)
+    path, left = _once(x, "restarted", start)
+    return _per_machine(Store.open(x.spark, path).read()).withColumn("batches_left", F.lit(left).cast("bigint"))
+
+
+@query("st9", f"""SELECT CAST(ceil({FEED_FILES} * (SELECT count(DISTINCT {CHUNK_SQL}) FROM readings) / 3.0) AS BIGINT) AS batches, count(*) AS readings FROM readings""")
 def rate_limited(x: Context):
-    limited = lambda: tables.telemetry(tables.table_stream(x.spark, x.folder, "events", files_per_trigger=1))
-    return _per_machine(_append(x, "rate_limited", limited))
+    """A backlog of files under a cap of three a batch."""
+    def start():
+        path, _, run = _stream(x, "rate_limited", feed(x, files=3))
+        return path, _busy(run())
+
+    path, batches = _once(x, "rate_limited", start)
+    return Store.open(x.spark, path).read().agg(F.lit(batches).cast("bigint").alias("batches"), F.count("*").alias("readings"))
 
 
 @query("st11", "SELECT 'malformed JSON' AS failure_reason, count(*) AS messages FROM readings")

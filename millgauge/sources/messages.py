@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import small
 from ..schemas import ENVELOPE, PAYLOAD
 
 # The default JSON format stops at milliseconds.
@@ -113,6 +116,39 @@ def field_violations(parsed: DataFrame) -> DataFrame:
     )
 
 
+COORDINATES = ["kafka_topic", "kafka_partition", "kafka_offset"]
+OFFSET_BITS, TOPIC_BITS, PARTITION_BITS = 43, 4, 16
+
+
+def message_id(topics: Sequence[str]) -> Column:
+    """One number for (topic, partition, offset), in the order of offsets. No two messages of ``topics`` share one:
+    what does not fit the bits, or another topic, is an error."""
+    topic = F.array_position(F.array(*map(F.lit, topics)), F.col("kafka_topic")) - 1
+    fits = (topic.between(0, (1 << TOPIC_BITS) - 1) & F.col("kafka_partition").between(0, (1 << PARTITION_BITS) - 1)
+            & F.col("kafka_offset").between(0, (1 << OFFSET_BITS) - 1))
+    packed = (F.shiftleft(F.col("kafka_offset"), TOPIC_BITS + PARTITION_BITS) + F.shiftleft(topic.cast("bigint"), PARTITION_BITS)
+              + F.col("kafka_partition"))
+    where = F.concat_ws(" ", F.lit("no number for message"), *COORDINATES)
+    return F.when(fits, packed).otherwise(F.raise_error(where).cast("bigint"))
+
+
+def not_seen(batch: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Messages of a batch, each once, without those that an earlier batch had.
+
+    ``offsets`` is (kafka_topic, kafka_partition, next_offset): one row a partition, whatever the length of the stream. It rests on the
+    broker's order: a partition hands out its offsets upwards. Unlike state behind a watermark it never takes a late message for a repeat.
+    """
+    seen = offsets.select(F.col("kafka_topic").alias("_topic"), F.col("kafka_partition").alias("_partition"), "next_offset")
+    known = (F.col("kafka_topic") == F.col("_topic")) & (F.col("kafka_partition") == F.col("_partition"))
+    return (batch.dropDuplicates(COORDINATES).join(small(seen), known, "left")
+            .where(F.col("next_offset").isNull() | (F.col("kafka_offset") >= F.col("next_offset"))).drop("_topic", "_partition", "next_offset"))
+
+
+def next_offsets(batch: DataFrame, offsets: DataFrame) -> DataFrame:
+    newest = batch.select("kafka_topic", "kafka_partition", (F.col("kafka_offset") + 1).alias("next_offset"))
+    return newest.unionByName(offsets).groupBy("kafka_topic", "kafka_partition").agg(F.max("next_offset").alias("next_offset"))
+
+
 def keyed_messages(rows: DataFrame, key: str) -> DataFrame:
     """(key, value) pairs ready for a broker sink; value is the row as JSON."""
     return rows.select(F.col(key).alias("key"), F.to_json(F.struct(*rows.columns), JSON_OPTIONS).alias("value"))

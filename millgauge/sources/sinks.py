@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..schemas import BATCH_LOG
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int | str, partitions: Sequence[str] = ()) -> None:
     """Write one micro-batch into its own partition folder.
 
     Writing it again replaces the folder, also when there is nothing left to write.
@@ -23,8 +23,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partitions: Sequence[st
     writer.parquet(batch_path(path, batch_id))
 
 
-def batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={int(batch_id)}"
+def batch_path(path: str, batch_id: int | str) -> str:
+    return f"{path}/batch_id={batch_id}"
 
 
 def latest(versions: DataFrame, keys: Sequence[str], version: str = "batch_id") -> DataFrame:

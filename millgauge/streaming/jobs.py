@@ -13,9 +13,10 @@ from ..operators import alerts, downtime, production
 from ..operators.joins import small
 from ..operators.sequence import ordered_columns
 from ..sources import messages, sinks
+from ..sources.store import Store
 from . import state
 
-# Declared schemas of the written tables: a table without rows has no file to infer from.
+# Declared schemas of the written tables: a table may be read before its first row.
 DEAD_LETTERS = (
     "source_batch string, kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp, "
     "raw_payload string, failure_reason string, quarantined_at timestamp, replayed_at timestamp"
@@ -25,12 +26,21 @@ ALERTS = (
     "shift_key smallint, raised_at timestamp, alert_count int, trigger_value double, threshold_value double, "
     "message string"
 )
-STOPS_OPENED = (
+SENSOR = (
+    "reading_id bigint, date_key int, time_key smallint, machine_key bigint, status_key smallint, shift_key smallint, flags_key smallint, "
+    "event_ts timestamp, event_date date, temperature_c decimal(10,3), power_kw decimal(10,3), vibration_mm_s decimal(10,3), "
+    "units_produced int, good_units int, runtime_seconds double"
+)
+VIOLATIONS = "kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp, raw_payload string, bad_fields array<string>"
+_END = "ended_at timestamp, duration_minutes double, is_open boolean"
+STOPS = (
     "machine_id string, date_key int, time_key smallint, machine_key bigint, status_key smallint, "
-    "shift_key smallint, started_at timestamp, is_planned boolean, reason_code string"
+    f"shift_key smallint, started_at timestamp, is_planned boolean, reason_code string, {_END}"
 )
-STATUS_STOPS_OPENED = "event_id bigint, machine_id string, started_at timestamp, reason_code string"
-STOPS_CLOSED = "machine_id string, started_at timestamp, ended_at timestamp"
+STATUS_STOPS = f"event_id bigint, machine_id string, started_at timestamp, reason_code string, {_END}"
+STOP_KEYS = ("machine_id", "started_at")
+MINUTE_KEYS = ("machine_id", "window_start")
+MAX_FOLDERS = 8  # of a partition; with one more the partition is compacted
 
 WATERMARK = "10 minutes"
 FIRST_GENERATION_WATERMARK = "2 minutes"
@@ -51,19 +61,20 @@ def without_repeats(readings: DataFrame, delay: str = WATERMARK, keys=("machine_
     return readings.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def save_stops(path, opened: DataFrame, closed: DataFrame, before: DataFrame, batch_id: int) -> None:
-    """Stop changes of one batch and the open stops it leaves behind."""
-    sinks.write_batch(opened, path("stops_opened"), batch_id)
-    sinks.write_batch(closed, path("stops_closed"), batch_id)
-    state.save_state(downtime.still_open(before, opened, closed), path("open_stops"), batch_id)
+def save_stops(stops: Store, path, opened: DataFrame, closed: DataFrame, before: DataFrame, batch_id: int) -> None:
+    """Stop changes of one batch and the open stops it leaves behind. Each is computed once and read back."""
+    spark = opened.sparkSession
 
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        sinks.write_batch(df, path("_changes"), name)
+        return spark.read.schema(df.schema).parquet(sinks.batch_path(path("_changes"), name))
 
-def read_stops(path, spark, opened: str) -> DataFrame:
-    """Stops as one row per episode, closed where an end has arrived."""
-    fact = downtime.as_open(state.read_or_empty(spark, path("stops_opened"), opened))
-    closed = state.read_or_empty(spark, path("stops_closed"), STOPS_CLOSED)
-    ends = closed.groupBy("machine_id", "started_at").agg(F.min("ended_at").alias("ended_at"))
-    return downtime.close_episodes(fact, ends)
+    opened, closed = kept(opened, "opened"), kept(closed, "closed")
+    stops.append(downtime.as_open(opened), "opened", batch_id, MAX_FOLDERS)
+    end = {"duration_minutes": downtime.duration(F.col("started_at"), F.col("ended_at")), "is_open": F.lit(False)}
+    first = closed.groupBy(*STOP_KEYS).agg(F.min("ended_at").alias("ended_at"))
+    stops.update(first.withColumns(end), STOP_KEYS, ("ended_at", "duration_minutes", "is_open"), F.col("is_open"), "closed", batch_id)
+    state.save_state(downtime.still_open(before, opened, closed), path("open_stops"), batch_id)
 
 
 @dataclass
@@ -76,31 +87,40 @@ class StarJob:
     alert_types: DataFrame
     rearm_minutes: float = alerts.REARM_MINUTES
     reading_seconds: int = production.READING_SECONDS
+    topics: tuple[str, ...] = ("iot-sensor-data",)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
+    def store(self, name: str, schema: str | None = None, ts: str = "") -> Store:
+        spark = self.machines.sparkSession
+        return Store.open(spark, self.path(name)) if schema is None else Store(spark, self.path(name), schema, ts)
+
     # ---- one micro-batch ----
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Write every fact of one batch from a single persisted input."""
+        """Write every fact of one batch from a single persisted input. A batch that is run again changes nothing."""
         spark = batch.sparkSession
         started = dt.datetime.now(dt.timezone.utc)
-        batch = batch.persist()
+        offsets = state.state_before(spark, self.path("offsets"), state.OFFSETS, batch_id)
+        batch = messages.not_seen(batch, offsets).persist()
         try:
             valid, invalid = messages.split_valid(batch)
-            sinks.write_batch(messages.dead_letters(invalid, batch_id), self.path("dead_letters"), batch_id)
-            rows = valid.select("d.*", "kafka_partition", "kafka_offset").withColumn(
-                "reading_id", F.col("kafka_offset") * 1024 + F.col("kafka_partition")
-            )
+            self.store("dead_letters", DEAD_LETTERS, "quarantined_at").append(
+                messages.dead_letters(invalid, batch_id), "stream", batch_id, MAX_FOLDERS)
+            bad = messages.field_violations(batch)
+            self.store("violations", VIOLATIONS, "kafka_timestamp").append(bad, "stream", batch_id, MAX_FOLDERS)
+            rows = valid.select("d.*", messages.message_id(self.topics).alias("reading_id"))
             if rows.isEmpty():
                 self._carry(spark, batch_id)
+                state.save_state(messages.next_offsets(batch, offsets), self.path("offsets"), batch_id)
                 return
             conformed = production.conform(rows, self.machines, self.statuses).persist()
             try:
                 self._facts(conformed, batch_id)
+                written = conformed.count()
             finally:
                 conformed.unpersist()
-            written = spark.read.parquet(sinks.batch_path(self.path("sensor"), batch_id)).count()
+            state.save_state(messages.next_offsets(batch, offsets), self.path("offsets"), batch_id)
             sinks.log_batch(spark, self.path("batch_log"), "star_stream", str(batch_id), started, "SUCCESS", written)
         except Exception as exc:
             sinks.log_batch(spark, self.path("batch_log"), "star_stream", str(batch_id), started, "FAILED", error=str(exc))
@@ -115,10 +135,12 @@ class StarJob:
             state.save_state(before, self.path(name), batch_id)
 
     def _facts(self, conformed: DataFrame, batch_id: int) -> None:
-        sinks.write_batch(production.sensor_fact(conformed, self.reading_seconds).withColumn(
-            "event_month", F.date_format("event_ts", "yyyyMM")), self.path("sensor"), batch_id, ["event_month"])
-        # Partial sums of this batch; readers add them up, so a replay cannot count twice.
-        sinks.write_batch(production.hourly_components(conformed, self.reading_seconds), self.path("hourly_parts"), batch_id)
+        self.store("sensor", SENSOR, "event_ts").append(
+            production.sensor_fact(conformed, self.reading_seconds), "stream", batch_id, MAX_FOLDERS)
+        # Partial sums of this batch; compaction adds up those of an hour, readers the few that are left.
+        parts = production.hourly_components(conformed, self.reading_seconds)
+        Store.like(parts, self.path("hourly_parts"), "window_start").append(
+            parts, "stream", batch_id, MAX_FOLDERS, production.merge_components)
         self._alerts(conformed, batch_id)
         self._downtime(conformed, batch_id)
 
@@ -133,7 +155,8 @@ class StarJob:
         marked = marked.join(small(seen), keys, "left").withColumn("_prev_ts", F.coalesce("_prev_ts", before))
         quiet = F.unix_micros("event_time") - F.unix_micros("_prev_ts")
         kept = marked.where(F.col("_prev_ts").isNull() | (quiet > int(self.rearm_minutes * 60_000_000)))
-        sinks.write_batch(alerts.alert_fact(kept.drop("_prev_ts", "last_seen"), self.alert_types), self.path("alerts"), batch_id)
+        self.store("alerts", ALERTS, "raised_at").append(
+            alerts.alert_fact(kept.drop("_prev_ts", "last_seen"), self.alert_types), "stream", batch_id, MAX_FOLDERS)
         newest = cands.groupBy(*keys).agg(F.max("event_time").alias("last_seen"))
         after = newest.unionByName(seen).groupBy(*keys).agg(F.max("last_seen").alias("last_seen"))
         state.save_state(after, self.path("last_seen"), batch_id)
@@ -141,24 +164,26 @@ class StarJob:
     def _downtime(self, conformed: DataFrame, batch_id: int) -> None:
         before = state.state_before(conformed.sparkSession, self.path("open_stops"), state.OPEN_STOPS, batch_id)
         opened, closed = downtime.batch_changes(conformed, before)
-        save_stops(self.path, opened, closed, before, batch_id)
+        save_stops(self.store("stops", STOPS, "started_at"), self.path, opened, closed, before, batch_id)
 
     # ---- tables as readers see them ----
     def sensor(self, spark) -> DataFrame:
-        return spark.read.parquet(self.path("sensor"))
+        return self.store("sensor", SENSOR, "event_ts").read()
 
     def hourly(self, spark) -> DataFrame:
-        parts = spark.read.parquet(self.path("hourly_parts")).drop("batch_id")
-        return production.finish_hourly(production.merge_components(parts))
+        return production.finish_hourly(production.merge_components(self.store("hourly_parts").read()))
 
     def alert_fact(self, spark) -> DataFrame:
-        return state.read_or_empty(spark, self.path("alerts"), ALERTS)
+        return self.store("alerts", ALERTS, "raised_at").read()
 
     def downtime_fact(self, spark) -> DataFrame:
-        return read_stops(self.path, spark, STOPS_OPENED)
+        return self.store("stops", STOPS, "started_at").read()
 
     def dead_letters(self, spark) -> DataFrame:
-        return state.read_or_empty(spark, self.path("dead_letters"), DEAD_LETTERS)
+        return self.store("dead_letters", DEAD_LETTERS, "quarantined_at").read()
+
+    def violations(self, spark) -> DataFrame:
+        return self.store("violations", VIOLATIONS, "kafka_timestamp").read()
 
     def cache_dimensions(self) -> None:
         """Load the dimensions once for all batches; they are small and change rarely."""
@@ -199,40 +224,55 @@ class FirstGenerationJob:
         return writer.start()
 
     def start_readings(self, readings: DataFrame, once: bool = False) -> StreamingQuery:
-        write = lambda df, i: sinks.write_batch(df, self.path("readings"), i)
+        def write(batch: DataFrame, batch_id: int) -> None:
+            Store.like(batch, self.path("readings"), "event_time").append(batch, "stream", batch_id, MAX_FOLDERS)
+
         return self._start(readings, "readings", "append", write, once)
 
-    def start_minutes(self, readings: DataFrame, once: bool = False, delay: str = FIRST_GENERATION_WATERMARK) -> StreamingQuery:
-        """Update mode: every change of a minute is a new version, the newest one counts.
+    def start_minutes(self, readings: DataFrame, once: bool = False, delay: str = FIRST_GENERATION_WATERMARK, unit: str = "yyyyMMdd") -> StreamingQuery:
+        """Update mode: every change of a minute replaces its row, so there is one row a minute however many batches came.
 
-        Rows behind the watermark no longer change a minute.
+        Rows behind the watermark no longer change a minute. A batch rewrites the partitions (``unit``) of the minutes it changes.
         """
         kpis = production.minute_kpis(readings.withWatermark("event_time", delay))
-        write = lambda df, i: sinks.write_batch(df, self.path("minutes"), i)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()  # the aggregate's state is read once
+            try:
+                Store.like(batch, self.path("minutes"), "window_start", unit).upsert(batch, MINUTE_KEYS, "stream", batch_id)
+            finally:
+                batch.unpersist()
+
         return self._start(kpis, "minutes", "update", write, once)
 
     def start_alerts(self, readings: DataFrame, once: bool = False) -> StreamingQuery:
         """Exclusive alerts and stops; the previous status lives in a state table, not in the driver."""
 
         def write(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
             batch = batch.persist()
             try:
-                sinks.write_batch(alerts.exclusive_alerts(batch), self.path("alerts"), batch_id)
-                before = state.state_before(
-                    batch.sparkSession, self.path("open_stops"), state.OPEN_STOPS, batch_id
-                )
+                raised = alerts.exclusive_alerts(batch)
+                Store.like(raised, self.path("alerts"), "event_time").append(raised, "stream", batch_id, MAX_FOLDERS)
+                before = state.state_before(spark, self.path("open_stops"), state.OPEN_STOPS, batch_id)
                 opened, closed = downtime.status_changes(batch, before)
-                save_stops(self.path, opened, closed, before, batch_id)
+                save_stops(Store(spark, self.path("stops"), STATUS_STOPS, "started_at"), self.path, opened, closed, before, batch_id)
             finally:
                 batch.unpersist()
 
         return self._start(readings, "alerts", "append", write, once)
 
+    def readings(self, spark) -> DataFrame:
+        return Store.open(spark, self.path("readings")).read()
+
+    def alerts(self, spark) -> DataFrame:
+        return Store.open(spark, self.path("alerts")).read()
+
     def stops(self, spark) -> DataFrame:
-        return read_stops(self.path, spark, STATUS_STOPS_OPENED)
+        return Store(spark, self.path("stops"), STATUS_STOPS, "started_at").read()
 
     def minutes(self, spark) -> DataFrame:
-        return sinks.latest(spark.read.parquet(self.path("minutes")), ["machine_id", "window_start"])
+        return Store.open(spark, self.path("minutes")).read()
 
     def start(self, readings: DataFrame, once: bool = False) -> list[StreamingQuery]:
         return [

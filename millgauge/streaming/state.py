@@ -7,7 +7,6 @@ therefore starts from the same state and replaces its own output.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -16,6 +15,14 @@ from ..sources.sinks import batch_path, write_batch
 OPEN_STOPS = T.StructType(
     [T.StructField("machine_id", T.StringType()), T.StructField("open_started_at", T.TimestampType())]
 )
+OFFSETS = T.StructType(
+    [
+        T.StructField("kafka_topic", T.StringType()),
+        T.StructField("kafka_partition", T.IntegerType()),
+        T.StructField("next_offset", T.LongType()),
+    ]
+)
+KEPT_STATES = 3  # a stream only ever runs its last batch again
 LAST_SEEN = T.StructType(
     [
         T.StructField("machine_id", T.StringType()),
@@ -25,16 +32,6 @@ LAST_SEEN = T.StructType(
 )
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Table at ``path``, or no rows before its first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def state_before(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
     """State left by the batch before this one; batch ids are consecutive from 0.
 
@@ -47,4 +44,9 @@ def state_before(spark: SparkSession, path: str, schema: T.StructType, batch_id:
 
 
 def save_state(state: DataFrame, path: str, batch_id: int) -> None:
+    """Write the state and remove the one that no batch can start from any more."""
     write_batch(state, path, batch_id)
+    if batch_id >= KEPT_STATES:
+        spark = state.sparkSession
+        old = spark._jvm.org.apache.hadoop.fs.Path(batch_path(path, batch_id - KEPT_STATES))
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)

@@ -108,7 +108,7 @@ def test_first_generation_stream(spark, star):
     want = star.downtime_events.toDF("event_id", "machine_id", "started_at", "ended_at", "duration_minutes", "reason_code")
     assert keyed(job.stops(spark), *cols) == keyed(want, *cols)
     cols = ("alert_id", "alert_type", "severity")
-    assert keyed(spark.read.parquet(job.path("alerts")), *cols) == keyed(star.failure_alerts, *cols)
+    assert keyed(job.alerts(spark), *cols) == keyed(star.failure_alerts, *cols)
 
 
 def test_late_rows_do_not_change_a_minute(spark):
