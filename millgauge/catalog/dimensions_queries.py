@@ -272,7 +272,7 @@ WHERE p IS NULL OR event_time - p > INTERVAL 60 MINUTE"""
 
 
 def migrated_alerts(x: Context):
-    s = x.star
+    s = x.facts
     return migration.backfill_alerts(s.failure_alerts, s.machines, s.alert_types, s.minutes_of_day, 60)
 
 
@@ -292,7 +292,7 @@ def service_level(x: Context):
 
 
 def migrated_stops(x: Context):
-    s = x.star
+    s = x.facts
     return migration.backfill_downtime(s.downtime_events, s.machines, s.statuses, s.minutes_of_day, x.newest())
 
 
@@ -319,15 +319,18 @@ UNION ALL SELECT 'target fact_downtime', count(*) FROM downtime_events UNION ALL
 UNION ALL SELECT 'target fact_production_hourly', count(*) FROM (SELECT DISTINCT machine_id, date_trunc('hour', window_start) FROM minutes)
 UNION ALL SELECT 'alert dedup reduction pct', round(CAST(100 * ((SELECT count(*) FROM failure_alerts) - (SELECT count(*) FROM migrated_alerts)) AS DOUBLE) / (SELECT count(*) FROM failure_alerts), 2)""")
 def reconciliation(x: Context):
-    s = x.star
-    sensor = migration.backfill_sensor(s.readings, s.machines, s.statuses, s.minutes_of_day)
-    hourly = migration.backfill_hourly(s.minute_kpis, s.machines, s.planned_time)
-    return migration.reconciliation(s, sensor, migrated_alerts(x), migrated_stops(x), hourly)
+    """Over the stored tables of both generations; each is read once."""
+    s = x.facts
+    sensor = x.kept("migrated_sensor", lambda: migration.backfill_sensor(s.readings, s.machines, s.statuses, s.minutes_of_day), "event_ts")
+    hourly = x.kept("migrated_hourly", lambda: migration.backfill_hourly(s.minute_kpis, s.machines, s.planned_time), "window_start")
+    alerts = x.kept("migrated_alerts", lambda: migrated_alerts(x), "raised_at")
+    stops = x.kept("migrated_stops", lambda: migrated_stops(x), "started_at")
+    return migration.reconciliation(s, sensor, alerts, stops, hourly)
 
 
 @query("mig7", """SELECT machine_id, CAST(episode AS BIGINT) AS episode, min(start_time) AS started_at, max(coalesce(end_time, start_time)) AS ended_at, count(*) AS raw_events FROM (
 SELECT *, sum(CASE WHEN p IS NULL OR start_time - p > INTERVAL 300 SECOND THEN 1 ELSE 0 END) OVER (PARTITION BY machine_id ORDER BY start_time, event_id) AS episode
 FROM (SELECT *, max(coalesce(end_time, start_time)) OVER (PARTITION BY machine_id ORDER BY start_time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM downtime_events)) GROUP BY ALL""")
 def consolidate(x: Context):
-    return migration.consolidate(x.star.downtime_events)
+    return migration.consolidate(x.facts.downtime_events)
 

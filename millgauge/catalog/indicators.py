@@ -21,7 +21,7 @@ JOIN master m ON m.machine_id = r.machine_id, newest WHERE rn = 1"""
 
 
 def live(x):
-    return kpis.live_status(x.readings, x.star.master)
+    return kpis.live_status(x.facts.readings, x.facts.master)
 
 
 query("kpi1", LIVE_SQL)(live)
@@ -33,7 +33,7 @@ TEMP_SQL = TEMP_SQL.replace("/ count(*)", "/ nullif(count(*)").replace(" AS avg_
 
 
 def temperature(x):
-    return kpis.average_temperature(x.readings)
+    return kpis.average_temperature(x.facts.readings, x.facts.newest_reading, x.facts.machine_ids)
 
 
 query("kpi2", TEMP_SQL)(temperature)
@@ -43,7 +43,7 @@ FROM failure_alerts f JOIN master m ON m.machine_id = f.machine_id"""
 
 
 def alert_view(x):
-    return kpis.failure_alerts(x.star.failure_alerts, x.star.master)
+    return kpis.failure_alerts(x.facts.failure_alerts, x.facts.master)
 
 
 query("kpi3", ALERT_SQL + " ORDER BY event_time DESC")(alert_view)
@@ -55,7 +55,7 @@ FROM minutes GROUP BY ALL"""
 
 
 def utilization(x):
-    return kpis.utilization(x.star.minute_kpis)
+    return kpis.utilization(x.facts.minute_kpis)
 
 
 query("kpi4", UTIL_SQL)(utilization)
@@ -64,7 +64,7 @@ POWER_SQL = f"""SELECT machine_id, CAST(window_start AS DATE) AS production_date
 
 
 def power(x):
-    return kpis.power_consumption(x.star.minute_kpis)
+    return kpis.power_consumption(x.facts.minute_kpis)
 
 
 query("kpi5", POWER_SQL)(power)
@@ -75,7 +75,7 @@ DOWN_SQL = """SELECT machine_id, CAST(start_time AS DATE) AS production_date, co
 
 
 def downtime(x):
-    return kpis.downtime(x.star.downtime_events)
+    return kpis.downtime(x.facts.downtime_events)
 
 
 query("kpi6", DOWN_SQL)(downtime)
@@ -93,7 +93,7 @@ SELECT m.machine_id, temp_1h, temp_6h, round(temp_1h - temp_6h, 2) AS temp_drift
   WHEN coalesce(n, 0) >= 1 OR temp_1h - temp_6h > 2 THEN 'MEDIUM_RISK' ELSE 'LOW_RISK' END AS maintenance_risk
 FROM mean m LEFT JOIN raised_day a ON a.machine_id = m.machine_id""")
 def predictive(x: Context):
-    return kpis.predictive_maintenance(x.readings, x.star.failure_alerts)
+    return kpis.predictive_maintenance(x.facts.readings, x.facts.failure_alerts, x.facts.newest_reading, x.facts.machine_ids)
 
 
 OEE_VIEW_SQL = """SELECT machine_id, production_date, planned_minutes, round(run / 60, 2) AS run_minutes,
@@ -109,7 +109,7 @@ GROUP BY k.machine_id, CAST(k.window_start AS DATE), p.planned_minutes, m.ideal_
 
 
 def oee_view(x):
-    return kpis.oee(x.star.minute_kpis, x.star.master, x.star.planned_time)
+    return kpis.oee(x.facts.minute_kpis, x.facts.master, x.facts.planned_time)
 
 
 query("kpi8", OEE_VIEW_SQL)(oee_view)
@@ -168,7 +168,7 @@ def _register() -> None:
             "coalesce(c.machine_id, a.machine_id)" if source is _ALERTED else "c.machine_id")
         body = f"SELECT {who} AS machine_id, " + ", ".join(f"{e} AS {n}" for n, e in exprs.items()) + f" {source}"
         names = tuple(exprs)
-        query(name, body)(lambda x, names=names: measures(x.star, names, ("machine_id",)))
+        query(name, body)(lambda x, names=names: measures(x.facts, names, ("machine_id",)))
 
 
 _register()
@@ -176,17 +176,17 @@ _register()
 
 @query("m34", """SELECT count(*) AS alerts_last_24h FROM alerts WHERE raised_at >= (SELECT max(raised_at) FROM alerts) - INTERVAL 1 DAY""")
 def alerts_day(x: Context):
-    return alerts_last_day(x.star.alerts)
+    return alerts_last_day(x.facts.alerts)
 
 
 @query("m49", f"""SELECT full_date, {OEE} AS oee FROM ({parts('full_date')}) WHERE full_date <= DATE '2024-01-20'""")
 def visual(x: Context):
-    return reports.oee_trend(x.star, F.lit("2024-01-20").cast("timestamp")).select("full_date", "oee")
+    return reports.oee_trend(x.facts, F.lit("2024-01-20").cast("timestamp")).select("full_date", "oee")
 
 
 @query("m52", f"SELECT production_line, c_machines AS selected_machines FROM ({parts('production_line')})")
 def selected(x: Context):
-    return measures(x.star, ("selected_machines",), ("production_line",))
+    return measures(x.facts, ("selected_machines",), ("production_line",))
 
 
 # ---- time intelligence over years of order lines ---------------------------------

@@ -21,17 +21,17 @@ _LINE = sql.key("production_line || '|' || plant_code")
 
 
 def snow(x: Context) -> Snowflake:
-    return Snowflake(x.star.machines, x.star.alert_types)
+    return Snowflake(x.facts.machines, x.facts.alert_types)
 
 
 def units_per_machine(x: Context):
-    return x.star.hourly.groupBy("machine_key").agg(F.sum("units_produced").cast("bigint").alias("units"))
+    return x.facts.hourly.groupBy("machine_key").agg(F.sum("units_produced").cast("bigint").alias("units"))
 
 
 @query("snw1", f"""SELECT {sql.key("coalesce(manufacturer, 'UNKNOWN')")} AS manufacturer_key, coalesce(manufacturer, 'UNKNOWN') AS manufacturer_name,
   CAST(coalesce(sum(units), 0) AS BIGINT) AS units FROM dim_machine m LEFT JOIN (SELECT machine_key, sum(units_produced) AS units FROM hourly GROUP BY ALL) h ON h.machine_key = m.machine_key GROUP BY ALL""")
 def manufacturers(x: Context):
-    members = x.star.machines.select("machine_key", F.coalesce("manufacturer", F.lit("UNKNOWN")).alias("manufacturer_name"))
+    members = x.facts.machines.select("machine_key", F.coalesce("manufacturer", F.lit("UNKNOWN")).alias("manufacturer_name"))
     made = members.join(units_per_machine(x), "machine_key", "left").groupBy("manufacturer_name").agg(
         F.coalesce(F.sum("units"), F.lit(0)).alias("units"))
     return snow(x).manufacturers.join(made, "manufacturer_name").select("manufacturer_key", "manufacturer_name", "units")
@@ -40,7 +40,7 @@ def manufacturers(x: Context):
 @query("snw1_severity", f"""SELECT {sql.key("severity")} AS severity_key, severity AS severity_code, min(severity_rank) AS severity_rank,
   CAST(coalesce(sum(n), 0) AS BIGINT) AS raised_alerts FROM dim_alert_type a LEFT JOIN (SELECT alert_type_key AS k, count(*) AS n FROM alerts GROUP BY ALL) u ON k = a.alert_type_key GROUP BY ALL""")
 def severities(x: Context):
-    per = x.star.alerts.groupBy("alert_type_key").agg(F.count("*").alias("n"))
+    per = x.facts.alerts.groupBy("alert_type_key").agg(F.count("*").alias("n"))
     chain = snow(x).alert_types.join(per, "alert_type_key", "left").groupBy("severity_key").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raised_alerts"))
     return snow(x).severities.join(chain, "severity_key").select("severity_key", "severity_code", "severity_rank", "raised_alerts")
@@ -68,7 +68,7 @@ FROM dim_machine m LEFT JOIN (SELECT machine_key AS k, count(*) AS n FROM hourly
 def leaf_machines(x: Context):
     s = snow(x)
     leaf = merge.upsert(s.machines.where("criticality = 'HIGH'"), s.machines, ["machine_key"])
-    per = x.star.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
+    per = x.facts.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
     return leaf.join(per, "machine_key", "left").select("machine_key", "machine_id", "machine_type_key", "production_line_key",
                                                         "criticality", F.coalesce("n", F.lit(0)).alias("hours"))
 
@@ -76,11 +76,11 @@ def leaf_machines(x: Context):
 def copies(x: Context):
     """Star facts and older copies of them."""
     cols = ["machine_key", "window_start", "window_end", "units_produced", "good_units", "kw_seconds"]
-    star_h = x.star.hourly.select(*cols)
+    star_h = x.facts.hourly.select(*cols)
     old_h = stale_copy(x).select(*cols)
     cols = ["machine_key", "alert_type_key", "raised_at", "resolved_at", "alert_count"]
-    star_a = x.star.alerts.where("machine_key <> -1").select(*cols)
-    old_a = x.star.alerts.select(*cols)
+    star_a = x.facts.alerts.where("machine_key <> -1").select(*cols)
+    old_a = x.facts.alerts.select(*cols)
     return star_h, old_h, star_a, old_a
 
 
@@ -126,23 +126,23 @@ Q1 = """SELECT machine_type, production_line, CAST(sum(units_produced) AS BIGINT
 
 @query("snw7", Q1)
 def q1_snow(x: Context):
-    return snowflake.production_by_type_and_line(snow(x).production_chain(x.star.hourly), "machine_type_code", "production_line_code")
+    return snowflake.production_by_type_and_line(snow(x).production_chain(x.facts.hourly), "machine_type_code", "production_line_code")
 
 
 @query("snw7_star", Q1)
 def q1_star(x: Context):
-    rows = lookup(x.star.hourly, x.star.machines.select("machine_key", "machine_type", "production_line"), "machine_key", "inner")
+    rows = lookup(x.facts.hourly, x.facts.machines.select("machine_key", "machine_type", "production_line"), "machine_key", "inner")
     return snowflake.production_by_type_and_line(rows, "machine_type", "production_line")
 
 
 @query("snw8", "SELECT severity AS severity_code, alert_category AS alert_category_code, 'MAINTENANCE' AS owning_team, count(*) AS alerts FROM alerts GROUP BY ALL")
 def q2_snow(x: Context):
-    return snowflake.alerts_by_severity(snow(x).alert_chain(x.star.alerts), "severity_code", "alert_category_code", "owning_team")
+    return snowflake.alerts_by_severity(snow(x).alert_chain(x.facts.alerts), "severity_code", "alert_category_code", "owning_team")
 
 
 @query("snw8_star", "SELECT severity, alert_category, count(*) AS alerts FROM alerts GROUP BY ALL")
 def q2_star(x: Context):
-    rows = lookup(x.star.alerts, x.star.alert_types.select("alert_type_key", "severity", "alert_category"), "alert_type_key", "inner")
+    rows = lookup(x.facts.alerts, x.facts.alert_types.select("alert_type_key", "severity", "alert_category"), "alert_type_key", "inner")
     return snowflake.alerts_by_severity(rows, "severity", "alert_category")
 
 
@@ -151,12 +151,12 @@ Q3 = "SELECT plant_code, CAST(sum(kw_seconds) AS DOUBLE) / 3600 AS kwh, CAST(sum
 
 @query("snw9", Q3)
 def q3_snow(x: Context):
-    return snowflake.energy_by_plant(snow(x).plant_chain(x.star.hourly))
+    return snowflake.energy_by_plant(snow(x).plant_chain(x.facts.hourly))
 
 
 @query("snw9_star", Q3)
 def q3_star(x: Context):
-    return snowflake.energy_by_plant(lookup(x.star.hourly, x.star.machines.select("machine_key", "plant_code"), "machine_key", "inner"))
+    return snowflake.energy_by_plant(lookup(x.facts.hourly, x.facts.machines.select("machine_key", "plant_code"), "machine_key", "inner"))
 
 
 @query("snw10", f"""WITH {STALE_SQL}, closed AS (SELECT s.*, h.units_produced AS hu, h.good_units AS hg, h.kw_seconds AS hk FROM stale s JOIN hourly h USING (machine_key, window_start), newest WHERE s.window_end <= date_trunc('hour', as_of)),
@@ -185,9 +185,9 @@ def drift_detail(x: Context):
 def storage(x: Context):
     """Two fact layouts written from the readings, measured by the scan's own file metadata."""
     s, wide, thin = snow(x), x.path("star_rows"), x.path("snow_rows")
-    lookup(x.star.hourly, x.star.machines.select("machine_key", "machine_name", "machine_type", "production_line", "plant_code"),
+    lookup(x.facts.hourly, x.facts.machines.select("machine_key", "machine_name", "machine_type", "production_line", "plant_code"),
            "machine_key").write.parquet(wide)
-    x.star.hourly.write.parquet(thin)
+    x.facts.hourly.write.parquet(thin)
     dims = {}
     for name in ("machines", "machine_types", "lines", "plants", "manufacturers"):
         path = x.path(f"snow_{name}")
@@ -222,10 +222,10 @@ def scopes(x: Context):
 
 @query("rls1", " UNION ALL ".join(f"SELECT '{u}' AS app_user, v.machine_key, count(h.window_start) AS hours FROM {_visible(u)} v LEFT JOIN hourly h ON h.machine_key = v.machine_key GROUP BY ALL" for u in USERS))
 def visible(x: Context):
-    hours = x.star.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
+    hours = x.facts.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
     out = None
     for user in USERS:
-        part = security.visible_keys(x.star.machines, scopes(x), user).join(hours, "machine_key", "left").select(
+        part = security.visible_keys(x.facts.machines, scopes(x), user).join(hours, "machine_key", "left").select(
             F.lit(user).alias("app_user"), "machine_key", F.coalesce("n", F.lit(0)).alias("hours"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -233,15 +233,15 @@ def visible(x: Context):
 
 @query("rls2", " UNION ALL ".join(f"SELECT '{u}' AS app_user, count(*) AS rows FROM sensor WHERE machine_key IN (SELECT machine_key FROM {_visible(u)})" for u in USERS))
 def scoped(x: Context):
-    return per_user(x, lambda u: security.scoped_fact(x.star.sensor, x.star.machines, scopes(x), u))
+    return per_user(x, lambda u: security.scoped_fact(x.facts.sensor, x.facts.machines, scopes(x), u))
 
 
 @query("rls3", " UNION ALL ".join(f"SELECT '{u}' AS app_user, m.machine_id, (SELECT count(*) FROM hourly h WHERE h.machine_key = m.machine_key) AS hours FROM dim_machine m WHERE machine_key = -1 OR machine_key IN (SELECT machine_key FROM {_visible(u)})" for u in USERS))
 def scoped_dim(x: Context):
-    hours = x.star.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
+    hours = x.facts.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
     out = None
     for user in USERS:
-        part = security.scoped_machines(x.star.machines, scopes(x), user).join(hours, "machine_key", "left").select(
+        part = security.scoped_machines(x.facts.machines, scopes(x), user).join(hours, "machine_key", "left").select(
             F.lit(user).alias("app_user"), "machine_id", F.coalesce("n", F.lit(0)).alias("hours"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -249,24 +249,24 @@ def scoped_dim(x: Context):
 
 @query("rls4", """SELECT s.user_principal_name, s.role_name, s.is_active, (SELECT count(*) FROM readings) AS readings FROM user_scope s WHERE lower(s.user_principal_name) = 'lineb.sup@contoso.com'""")
 def own_rows(x: Context):
-    n = x.readings.agg(F.count("*").alias("readings"))
+    n = x.facts.readings.agg(F.count("*").alias("readings"))
     return security.own_scopes(scopes(x), "LineB.sup@contoso.com").select("user_principal_name", "role_name", "is_active").crossJoin(n)
 
 
 @query("rls5", "SELECT machine_key, count(*) AS rows FROM sensor GROUP BY ALL")
 def unrestricted(x: Context):
-    return security.scoped_fact(x.star.sensor, x.star.machines, scopes(x), None, unrestricted=True).groupBy("machine_key").agg(
+    return security.scoped_fact(x.facts.sensor, x.facts.machines, scopes(x), None, unrestricted=True).groupBy("machine_key").agg(
         F.count("*").alias("rows"))
 
 
 @query("rls6", """SELECT reading_id, raised_at, regexp_replace(coalesce(acknowledged_by, ''), '(.).*(@.*)', '\\1***\\2') AS acknowledged_by FROM alerts""")
 def masked(x: Context):
-    return security.masked(x.star.alerts).select("reading_id", "raised_at", "acknowledged_by")
+    return security.masked(x.facts.alerts).select("reading_id", "raised_at", "acknowledged_by")
 
 
 @query("rls6_admin", "SELECT reading_id, raised_at, acknowledged_by FROM alerts")
 def unmasked(x: Context):
-    return security.masked(x.star.alerts, privileged=True).select("reading_id", "raised_at", "acknowledged_by")
+    return security.masked(x.facts.alerts, privileged=True).select("reading_id", "raised_at", "acknowledged_by")
 
 
 _SCOPE_OF = """SELECT c_custkey, lower(c_name) || '@contoso.com' AS user_principal_name, CASE WHEN c_nationkey % 2 = 0 THEN 'PLANT-01' END AS plant_code,
@@ -291,8 +291,8 @@ def audit(x: Context):
 
 @query("rls8", "SELECT count(*) AS rows_seen, (SELECT count(*) FROM sensor) AS rows_total FROM sensor WHERE FALSE")
 def no_user(x: Context):
-    seen = security.scoped_fact(x.star.sensor, x.star.machines, scopes(x), None).agg(F.count("*").alias("rows_seen"))
-    return seen.crossJoin(x.star.sensor.agg(F.count("*").alias("rows_total")))
+    seen = security.scoped_fact(x.facts.sensor, x.facts.machines, scopes(x), None).agg(F.count("*").alias("rows_seen"))
+    return seen.crossJoin(x.facts.sensor.agg(F.count("*").alias("rows_total")))
 
 
 # ---- health -----------------------------------------------------------------
@@ -309,6 +309,10 @@ def as_of():
 
 
 def letters(x: Context):
+    return x.kept("letters", lambda: _letters(x), "quarantined_at")
+
+
+def _letters(x: Context):
     _, bad = messages.split_valid(messages.parse(messages.envelope(broken_envelope(x))))
     out = messages.dead_letters(bad, 0, F.col("kafka_timestamp"))
     later = F.col("kafka_timestamp") + F.expr("INTERVAL 1 HOUR")
@@ -316,9 +320,13 @@ def letters(x: Context):
 
 
 def batch_log(x: Context):
+    return x.kept("batch_log", lambda: _batch_log(x), "started_at")
+
+
+def _batch_log(x: Context):
     """One load per hour of readings; a fifth of them counts as failed. Every run has logged its
     start, every third its end twice."""
-    per = x.readings.groupBy(F.date_trunc("hour", "event_time").alias("started_at")).agg(
+    per = x.facts.readings.groupBy(F.date_trunc("hour", "event_time").alias("started_at")).agg(
         F.count("*").alias("rows_written"), F.min("reading_id").alias("_k"))
     ends = per.select(F.lit("star_stream").alias("job_name"), F.date_format("started_at", "yyyyMMddHH").alias("batch_id"), "started_at",
                       (F.col("started_at") + F.expr("INTERVAL 30 SECONDS")).alias("completed_at"), "rows_written",
@@ -361,7 +369,7 @@ STUCK_SQL = f"""SELECT d.machine_key, machine_name, started_at, CAST(floor((epoc
 
 @query("dq1", FRESH_SQL)
 def freshness(x: Context):
-    return health.freshness(x.star.sensor, as_of())
+    return health.freshness(x.facts.sensor, as_of())
 
 
 @query("dq2", f"WITH {LOG_SQL} {BATCH_SQL}")
@@ -371,7 +379,7 @@ def batches(x: Context):
 
 @query("dq3", UNKNOWN_SQL)
 def unknown_rate(x: Context):
-    return health.unknown_key_rate(x.star.sensor, as_of())
+    return health.unknown_key_rate(x.facts.sensor, as_of())
 
 
 @query("dq4", f"WITH {LETTERS_SQL} {DLQ_SQL}")
@@ -381,7 +389,7 @@ def dead_letters(x: Context):
 
 @query("dq5", STUCK_SQL)
 def stuck(x: Context):
-    return health.stuck_downtime(x.star.downtime, x.star.machines, as_of())
+    return health.stuck_downtime(x.facts.downtime, x.facts.machines, as_of())
 
 
 BOARD_SQL = f"""SELECT 'Pipeline freshness' AS check_name, status, 'Latest reading ' || coalesce(CAST(lag_seconds AS VARCHAR), 'n/a') || 's ago' AS detail FROM ({FRESH_SQL})
@@ -392,7 +400,7 @@ UNION ALL SELECT 'Stuck downtime episodes', CASE WHEN count(*) = 0 THEN 'HEALTHY
 
 
 def board(x: Context):
-    return health.dashboard(x.star.sensor, batch_log(x), letters(x), x.star.downtime, x.star.machines, as_of())
+    return health.dashboard(x.facts.sensor, batch_log(x), letters(x), x.facts.downtime, x.facts.machines, as_of())
 
 
 @query("dq6", f"WITH {LOG_SQL}, {LETTERS_SQL} {BOARD_SQL}")
@@ -412,7 +420,7 @@ def gate_results(x: Context):
 
 
 def _gates(x: Context):
-    nulls = quality.null_counts(x.star.alerts, ["reading_id"])
+    nulls = quality.null_counts(x.facts.alerts, ["reading_id"])
     return gates.together([gates.fresh_enough_row(freshness(x)), gates.batches_succeed_row(batches(x)), gates.keys_known_row(unknown_rate(x)),
                            gates.letters_replayed_row(dead_letters(x)), gates.no_nulls_row(nulls)])
 
@@ -452,20 +460,20 @@ def reason_text(x: Context):
 
 @query("dq16", f"SELECT date_key, count(*) AS alerts FROM alerts WHERE raised_at > {_T} - INTERVAL 7 DAY GROUP BY ALL")
 def alert_volume(x: Context):
-    return health.alert_volume(x.star.alerts, as_of())
+    return health.alert_volume(x.facts.alerts, as_of())
 
 
 @query("dq17", """SELECT d.full_date, CAST(h.range AS INTEGER) AS hour_24, count(r.reading_id) AS readings FROM days d CROSS JOIN range(24) h
 LEFT JOIN readings r ON CAST(r.event_time AS DATE) = d.full_date AND hour(r.event_time) = h.range GROUP BY ALL""")
 def hour_counts(x: Context):
-    return quality.scaffold_counts(x.readings, "event_time")
+    return quality.scaffold_counts(x.facts.readings, "event_time")
 
 
 @query("dq18", "SELECT date_trunc('minute', event_time) AS minute, count(*) AS alerts FROM candidates GROUP BY ALL HAVING count(*) > 2")
 def busy(x: Context):
     from ..operators.alerts import candidates
 
-    return quality.busy_minutes(candidates(x.star.conformed), "event_time", 2)
+    return quality.busy_minutes(candidates(x.facts.conformed), "event_time", 2)
 
 
 @query("dq18_runs", f"""WITH {LOG_SQL} SELECT batch_id FROM (SELECT *, sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) OVER (PARTITION BY job_name ORDER BY started_at ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS f FROM batch_log) WHERE f = 2""")
@@ -481,13 +489,13 @@ def rule_violations(x: Context):
     rules = {"temperature out of range": ~F.col("temperature_c").between(-20, 150),
              "more good than made": F.col("good_units") > F.col("units_produced"),
              "status unknown": ~F.upper("status").isin(*known)}
-    return quality.violations(x.readings, "readings", rules, "reading_id", ["reading_id", "machine_id", "status"])
+    return quality.violations(x.facts.readings, "readings", rules, "reading_id", ["reading_id", "machine_id", "status"])
 
 
 @query("dq20", """SELECT full_date, CAST(sum(n) AS BIGINT) AS readings, CAST(24 * 15 AS BIGINT) AS expected, round(CAST(100 * sum(n) AS DOUBLE) / (24 * 15), 4) AS completeness_pct,
   CASE WHEN 100.0 * sum(n) / (24 * 15) > 99.9 THEN 'OK' ELSE 'BELOW TARGET' END AS status FROM (SELECT d.full_date, count(r.reading_id) AS n FROM days d LEFT JOIN readings r ON CAST(r.event_time AS DATE) = d.full_date GROUP BY ALL) GROUP BY ALL""")
 def completeness(x: Context):
-    return quality.completeness(x.readings, "event_time", 15)
+    return quality.completeness(x.facts.readings, "event_time", 15)
 
 
 @query("dq21", f"WITH {LOG_SQL} SELECT status, count(*) AS batches, max(completed_at) AS last_completed FROM batch_log WHERE started_at > {_T} - INTERVAL 24 HOUR GROUP BY ALL")
@@ -497,7 +505,7 @@ def outcomes(x: Context):
 
 @query("grain", "SELECT machine_id, event_time, count(*) AS copies FROM (SELECT machine_id, date_trunc('hour', event_time) AS event_time FROM readings) GROUP BY ALL HAVING count(*) > 1")
 def grain_check(x: Context):
-    rows = x.readings.select("machine_id", F.date_trunc("hour", "event_time").alias("event_time"))
+    rows = x.facts.readings.select("machine_id", F.date_trunc("hour", "event_time").alias("event_time"))
     return merge.grain_violations(rows, ["machine_id", "event_time"])
 
 

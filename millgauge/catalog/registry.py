@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..plans.star import Star
 from ..session import pin_utc, scratch_path
 from ..sources import tables
+from ..sources.store import Store
 from . import sql
 
 REARM_MINUTES = 60
@@ -20,6 +21,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_RUNS: dict[tuple, object] = {}
+
+
+def once(x: "Context", name: str, start):
+    """One run per session, state of the events and name: what was written is read by all queries after it."""
+    at = (x.spark.sparkContext.applicationId, *tables.file_states(x.spark, x.folder, "events"), name)
+    if at not in _RUNS:
+        _RUNS[at] = start()
+    return _RUNS[at]
+
+
 class Context:
     """What a registered query may use: the tables of one folder and the star over them."""
 
@@ -34,6 +46,22 @@ class Context:
     def star(self) -> Star:
         return Star.from_tables(self.spark, self.folder, rearm_minutes=REARM_MINUTES)
 
+    @cached_property
+    def facts(self) -> Star:
+        """The star as stored facts, written once."""
+        base = once(self, "facts", lambda: self.star.write(self.path("facts")).base)
+        return Star.open(self.spark, base, rearm_minutes=REARM_MINUTES)
+
+    def kept(self, name: str, rows: Callable[[], DataFrame], ts: str) -> DataFrame:
+        """Rows stored once under ``name`` and read back."""
+        def write() -> str:
+            path = self.path(name)
+            found = rows()
+            Store.like(found, path, ts).overwrite(found)
+            return path
+
+        return Store.open(self.spark, once(self, name, write)).read()
+
     @cached_property
     def readings(self) -> DataFrame:
         return self.star.readings

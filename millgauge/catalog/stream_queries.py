@@ -20,18 +20,7 @@ from ..sources.store import Store
 from ..streaming import jobs
 from .aggregates import HOURLY_OUT, MINUTE_OUT, MINUTE_SQL
 from .envelope import CHUNK_SQL, ENVELOPE_SQL, FEED_FILES, LATE_SQL, feed_stream, to_envelope, write_feed
-from .registry import REARM_MINUTES, Context, query
-
-_RUNS: dict[tuple, object] = {}
-
-
-def _once(x: Context, name: str, start):
-    """One run per session, state of the input and name; the queries below read its tables."""
-    at = (x.spark.sparkContext.applicationId, *tables.file_states(x.spark, x.folder, "events"), name)
-    if at not in _RUNS:
-        _RUNS[at] = start()
-    return _RUNS[at]
-
+from .registry import REARM_MINUTES, Context, once, query
 
 def reading_stream(x: Context):
     return tables.telemetry(tables.table_stream(x.spark, x.folder, "events"))
@@ -44,7 +33,7 @@ def feed(x: Context, kind: str = "ordered", files: int = FEED_FILES):
         write_feed(x, path, kind)
         return path
 
-    return feed_stream(x, _once(x, f"feed_{kind}", write), files)
+    return feed_stream(x, once(x, f"feed_{kind}", write), files)
 
 
 def star_run(x: Context) -> jobs.StarJob:
@@ -54,7 +43,7 @@ def star_run(x: Context) -> jobs.StarJob:
         jobs.wait_for([job.start(to_envelope(feed(x, "repeated"), broken=True), once=True)])
         return job
 
-    return _once(x, "star", start)
+    return once(x, "star", start)
 
 
 def first_run(x: Context) -> jobs.FirstGenerationJob:
@@ -63,7 +52,7 @@ def first_run(x: Context) -> jobs.FirstGenerationJob:
         jobs.wait_for(job.start(feed(x), once=True))
         return job
 
-    return _once(x, "first", start)
+    return once(x, "first", start)
 
 
 def late_run(x: Context) -> tuple[jobs.FirstGenerationJob, str]:
@@ -77,7 +66,7 @@ def late_run(x: Context) -> tuple[jobs.FirstGenerationJob, str]:
         jobs.wait_for([job.start_minutes(feed(x, "late"), once=True), append])
         return job, path
 
-    return _once(x, "late", start)
+    return once(x, "late", start)
 
 
 # The stream drops the broken messages; the same relations over the rest.
@@ -94,7 +83,7 @@ def event_time(x: Context):
         jobs.wait_for([q])
         return path
 
-    return x.spark.read.parquet(_once(x, "timed", start))
+    return x.spark.read.parquet(once(x, "timed", start))
 
 
 # Rows of the late feed: their own chunk, the one that delivers them, and the watermark that batch tells late rows by. It comes from the
@@ -235,7 +224,7 @@ def repeats_within_watermark(x: Context):
         jobs.wait_for([q])
         return path
 
-    return x.spark.read.parquet(_once(x, "unique", start)).groupBy("machine_id").agg(F.count("*").alias("readings"))
+    return x.spark.read.parquet(once(x, "unique", start)).groupBy("machine_id").agg(F.count("*").alias("readings"))
 
 
 @query("st20", f"""WITH env AS ({ENVELOPE_SQL}) SELECT CASE fault WHEN 'malformed' THEN 'malformed JSON' WHEN 'empty' THEN 'empty payload' WHEN 'no_machine' THEN 'machine_id is null'
@@ -361,7 +350,7 @@ def timed_trigger(x: Context):
         run()
         return path
 
-    return _per_machine(Store.open(x.spark, _once(x, "timed_trigger", start)).read())
+    return _per_machine(Store.open(x.spark, once(x, "timed_trigger", start)).read())
 
 
 @query("st7", f"""SELECT machine_id, count(*) AS readings, (SELECT max({CHUNK_SQL}) - 2 FROM readings) AS batches_left FROM readings GROUP BY machine_id""")
@@ -383,7 +372,7 @@ def restarted(x: Context):
                 raise
         return path, _busy(run())
 
-    path, left = _once(x, "restarted", start)
+    path, left = once(x, "restarted", start)
     return _per_machine(Store.open(x.spark, path).read()).withColumn("batches_left", F.lit(left).cast("bigint"))
 
 
@@ -394,7 +383,7 @@ def rate_limited(x: Context):
         path, _, run = _stream(x, "rate_limited", feed(x, files=3))
         return path, _busy(run())
 
-    path, batches = _once(x, "rate_limited", start)
+    path, batches = once(x, "rate_limited", start)
     return Store.open(x.spark, path).read().agg(F.lit(batches).cast("bigint").alias("batches"), F.count("*").alias("readings"))
 
 
@@ -407,7 +396,7 @@ def nothing_valid(x: Context):
         jobs.wait_for([job.start(broken, once=True)])
         return job
 
-    return _once(x, "all_broken", start).dead_letters(x.spark).groupBy("failure_reason").agg(F.count("*").alias("messages"))
+    return once(x, "all_broken", start).dead_letters(x.spark).groupBy("failure_reason").agg(F.count("*").alias("messages"))
 
 
 @query("src9", "SELECT machine_key, status_key, count(*) AS readings FROM conformed GROUP BY ALL")

@@ -15,18 +15,21 @@ def _after(ts: str, as_of: Column, span: str) -> Column:
     return F.col(ts) > as_of - F.expr(f"INTERVAL {span}")
 
 
-def freshness(sensor: DataFrame, as_of: Column, ts: str = "event_ts") -> DataFrame:
+def _one(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in columns.items()]
+
+
+def _fresh(as_of: Column) -> dict[str, Column]:
     lag = seconds_between(F.col("latest_reading"), as_of)
-    return sensor.agg(F.max(ts).alias("latest_reading")).select(
-        "latest_reading",
-        F.round(lag).cast("bigint").alias("lag_seconds"),
-        band(
-            (F.col("latest_reading").isNull(), "NO DATA"),
-            (lag < 120, "HEALTHY"),
-            (lag < 600, "DEGRADED"),
-            otherwise="STALLED",
-        ).alias("status"),
-    )
+    return {
+        "latest_reading": F.col("latest_reading"),
+        "lag_seconds": F.round(lag).cast("bigint"),
+        "status": band((F.col("latest_reading").isNull(), "NO DATA"), (lag < 120, "HEALTHY"), (lag < 600, "DEGRADED"), otherwise="STALLED"),
+    }
+
+
+def freshness(sensor: DataFrame, as_of: Column, ts: str = "event_ts") -> DataFrame:
+    return sensor.agg(F.max(ts).alias("latest_reading")).select(*_one(_fresh(as_of)))
 
 
 def batch_health(log: DataFrame, as_of: Column) -> DataFrame:
@@ -48,38 +51,45 @@ def batch_health(log: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def unknown_key_rate(sensor: DataFrame, as_of: Column, ts: str = "event_ts") -> DataFrame:
+def _key_counts(recent: Column | None = None) -> list[Column]:
     m, s = F.col("machine_key") == -1, F.col("status_key") == -1
-    counted = sensor.where(_after(ts, as_of, "24 HOURS")).agg(
-        F.count("*").alias("rows_24h"),
-        F.count_if(m).alias("unknown_machine"),
-        F.count_if(s).alias("unknown_status"),
-        F.count_if(m | s).alias("_any"),
-    )
+    among = F.lit(True) if recent is None else recent
+    counted = {"rows_24h": F.lit(True), "unknown_machine": m, "unknown_status": s, "_any": m | s}
+    return [F.count_if(among & c).alias(name) for name, c in counted.items()]
+
+
+def _unknown() -> dict[str, Column]:
     share = F.try_divide(num("_any") * 100, num("rows_24h"))
-    return counted.select(
-        "rows_24h", "unknown_machine", "unknown_status",
-        percent("_any", "rows_24h", 4).alias("unknown_pct"),
-        band((F.col("rows_24h") == 0, "NO DATA"), (share < 0.1, "HEALTHY"), otherwise="INVESTIGATE").alias("status"),
-    )
+    return {
+        **{c: F.col(c) for c in ("rows_24h", "unknown_machine", "unknown_status")},
+        "unknown_pct": percent("_any", "rows_24h", 4),
+        "status": band((F.col("rows_24h") == 0, "NO DATA"), (share < 0.1, "HEALTHY"), otherwise="INVESTIGATE"),
+    }
 
 
-def top_reason(letters: DataFrame) -> DataFrame:
-    """Most frequent failure reason of what waits; the first in name order wins a tie."""
-    counts = letters.where("replayed_at IS NULL").groupBy("failure_reason").agg(F.count("*").alias("_n"))
-    return counts.agg(F.min_by("failure_reason", F.struct(-F.col("_n"), F.col("failure_reason"))).alias("top_reason"))
+def unknown_key_rate(sensor: DataFrame, as_of: Column, ts: str = "event_ts") -> DataFrame:
+    return sensor.where(_after(ts, as_of, "24 HOURS")).agg(*_key_counts()).select(*_one(_unknown()))
 
 
 def dead_letter_health(letters: DataFrame, as_of: Column) -> DataFrame:
-    """Arrivals of the last day; waiting messages of any age."""
-    recent = _after("quarantined_at", as_of, "24 HOURS")
+    """Arrivals of the last day; waiting messages of any age, and what most of them failed by, the first in name order on a tie.
+
+    One pass: counts by reason, then those of the few reasons together.
+    """
     waiting = F.col("replayed_at").isNull()
-    counted = letters.agg(
-        F.count_if(recent).alias("quarantined_24h"),
-        F.count_if(waiting).alias("awaiting_replay"),
-        F.min(F.when(waiting, F.col("quarantined_at"))).alias("oldest_unreplayed"),
+    reasons = letters.groupBy("failure_reason").agg(
+        F.count_if(_after("quarantined_at", as_of, "24 HOURS")).alias("_recent"),
+        F.count_if(waiting).alias("_waiting"),
+        F.min(F.when(waiting, F.col("quarantined_at"))).alias("_oldest"),
+    )
+    ranked = F.when(F.col("_waiting") > 0, F.struct(-F.col("_waiting"), F.col("failure_reason")))
+    counted = reasons.agg(
+        F.coalesce(F.sum("_recent"), F.lit(0)).alias("quarantined_24h"),
+        F.coalesce(F.sum("_waiting"), F.lit(0)).alias("awaiting_replay"),
+        F.min("_oldest").alias("oldest_unreplayed"),
+        F.min_by("failure_reason", ranked).alias("top_reason"),
     )
-    return counted.crossJoin(top_reason(letters)).withColumn(
+    return counted.withColumn(
         "status",
         F.when((F.col("quarantined_24h") == 0) & (F.col("awaiting_replay") == 0), "HEALTHY").otherwise("INVESTIGATE"),
     )
@@ -99,30 +109,29 @@ def stuck_downtime(stops: DataFrame, machines: DataFrame, as_of: Column) -> Data
 def dashboard(
     sensor: DataFrame, log: DataFrame, letters: DataFrame, stops: DataFrame, machines: DataFrame, as_of: Column
 ) -> DataFrame:
-    """One row per check: name, status, detail."""
-    text = lambda c, missing: F.coalesce(F.col(c).cast("string"), F.lit(missing))
-    row = lambda df, name, detail: df.select(
-        F.lit(name).alias("check_name"), "status", detail.alias("detail")
-    )
+    """One row per check: name, status, detail. Each fact is read once."""
+    text = lambda c, missing: F.coalesce(c.cast("string"), F.lit(missing))
+    check = lambda name, status, detail: F.struct(
+        F.lit(name).alias("check_name"), status.alias("status"), detail.alias("detail"))
+    row = lambda df, name, detail: df.select(F.lit(name).alias("check_name"), "status", detail.alias("detail"))
+    fresh, known = _fresh(as_of), _unknown()
+    recent = _after("event_ts", as_of, "24 HOURS")
+    sensor_checks = sensor.agg(F.max("event_ts").alias("latest_reading"), *_key_counts(recent)).select(F.inline(F.array(
+        check("Pipeline freshness", fresh["status"], F.concat(F.lit("Latest reading "), text(fresh["lag_seconds"], "n/a"), F.lit("s ago"))),
+        check("Unknown key rate", known["status"],
+              F.concat(text(known["unknown_pct"], "0"), F.lit("% of "), F.col("rows_24h"), F.lit(" rows"))),
+    )))
     stuck = stuck_downtime(stops, machines, as_of).where("status = 'STUCK'").agg(F.count("*").alias("n")).withColumn(
         "status", F.when(F.col("n") == 0, "HEALTHY").otherwise("INVESTIGATE")
     )
-    parts = [
-        row(freshness(sensor, as_of), "Pipeline freshness",
-            F.concat(F.lit("Latest reading "), text("lag_seconds", "n/a"), F.lit("s ago"))),
-        row(batch_health(log, as_of), "Batch success rate",
-            F.concat(text("success_rate_pct", "0"), F.lit("% over "), F.col("batches_24h"), F.lit(" batches"))),
-        row(unknown_key_rate(sensor, as_of), "Unknown key rate",
-            F.concat(text("unknown_pct", "0"), F.lit("% of "), F.col("rows_24h"), F.lit(" rows"))),
-        row(dead_letter_health(letters, as_of), "Dead-letter queue",
-            F.concat(F.col("quarantined_24h"), F.lit(" quarantined, "), F.col("awaiting_replay"),
-                     F.lit(" awaiting replay"))),
-        row(stuck, "Stuck downtime episodes", F.concat(F.col("n"), F.lit(" episode(s) open over 4 hours"))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (
+        sensor_checks
+        .unionByName(row(batch_health(log, as_of), "Batch success rate",
+                         F.concat(text(F.col("success_rate_pct"), "0"), F.lit("% over "), F.col("batches_24h"), F.lit(" batches"))))
+        .unionByName(row(dead_letter_health(letters, as_of), "Dead-letter queue",
+                         F.concat(F.col("quarantined_24h"), F.lit(" quarantined, "), F.col("awaiting_replay"), F.lit(" awaiting replay"))))
+        .unionByName(row(stuck, "Stuck downtime episodes", F.concat(F.col("n"), F.lit(" episode(s) open over 4 hours"))))
+    )
 
 
 PASSING = ("HEALTHY", "OK", "NO DATA")

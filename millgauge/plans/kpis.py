@@ -23,6 +23,17 @@ def _mean_where(col: str, cond: Column) -> Column:
     return ratio(F.sum(kept), F.count(kept))
 
 
+def _recent(rows: DataFrame, as_of: Column | None, span: str, machine_ids: DataFrame | None) -> DataFrame:
+    """Rows with the clock. Given every machine, rows before the span are left out at the scan; machines without rows are added back."""
+    if as_of is None or machine_ids is None:
+        return with_as_of(rows, "event_time", as_of)
+    return rows.where(F.col("event_time") >= as_of - F.expr(f"INTERVAL {span}")).withColumn("as_of", as_of)
+
+
+def _all_machines(found: DataFrame, as_of: Column | None, machine_ids: DataFrame | None) -> DataFrame:
+    return found if as_of is None or machine_ids is None else machine_ids.join(found, "machine_id", "left")
+
+
 def live_status(readings: DataFrame, master: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Latest reading per known machine and whether it is under five minutes old."""
     latest = newest_per(readings, ["machine_id"], ["event_time", "reading_id"])
@@ -39,14 +50,15 @@ def live_status(readings: DataFrame, master: DataFrame, as_of: Column | None = N
     )
 
 
-def average_temperature(readings: DataFrame, as_of: Column | None = None) -> DataFrame:
-    rows = with_as_of(readings, "event_time", as_of)
+def average_temperature(readings: DataFrame, as_of: Column | None = None, machine_ids: DataFrame | None = None) -> DataFrame:
+    rows = _recent(readings, as_of, "24 HOURS", machine_ids)
     hour, day = _within("event_time", "1 HOUR"), _within("event_time", "24 HOURS")
-    return rows.groupBy("machine_id").agg(
+    found = rows.groupBy("machine_id").agg(
         _mean_where("temperature_c", hour).alias("avg_temp_last_1h"),
         _mean_where("temperature_c", day).alias("avg_temp_last_24h"),
         num(F.max(F.when(day, F.col("temperature_c")))).alias("max_temp_last_24h"),
     )
+    return _all_machines(found, as_of, machine_ids)
 
 
 def failure_alerts(alerts: DataFrame, master: DataFrame) -> DataFrame:
@@ -102,10 +114,10 @@ def downtime(events: DataFrame) -> DataFrame:
 
 
 def predictive_maintenance(
-    readings: DataFrame, alerts: DataFrame, as_of: Column | None = None
+    readings: DataFrame, alerts: DataFrame, as_of: Column | None = None, machine_ids: DataFrame | None = None
 ) -> DataFrame:
     """Drift of the last hour against the last six, with the day's alert count."""
-    rows = with_as_of(readings, "event_time", as_of)
+    rows = _recent(readings, as_of, "6 HOURS", machine_ids)
     hour, six = _within("event_time", "1 HOUR"), _within("event_time", "6 HOURS")
     recent = rows.groupBy("machine_id").agg(
         _mean_where("temperature_c", hour).alias("temp_1h"),
@@ -113,7 +125,8 @@ def predictive_maintenance(
         _mean_where("vibration_mm_s", hour).alias("vib_1h"),
         _mean_where("vibration_mm_s", six).alias("vib_6h"),
     )
-    clock = alerts.withColumn("as_of", as_of) if as_of is not None else alerts.crossJoin(
+    recent = _all_machines(recent, as_of, machine_ids)
+    clock = alerts.where(F.col("event_time") >= as_of - F.expr("INTERVAL 24 HOURS")).withColumn("as_of", as_of) if as_of is not None else alerts.crossJoin(
         F.broadcast(readings.agg(F.max("event_time").alias("as_of")))
     )
     raised = clock.where(_within("event_time", "24 HOURS")).groupBy("machine_id").agg(

@@ -116,7 +116,7 @@ def consolidate(events: DataFrame, gap_seconds: int = 300) -> DataFrame:
 def reconciliation(star, sensor: DataFrame, alerts: DataFrame, stops: DataFrame, hourly: DataFrame) -> DataFrame:
     """Source and target counts, unknown keys and the share of alert rows removed.
 
-    Every table is counted in one pass; the one-row results are turned on their side.
+    Every table is counted in one pass; the one-row results are turned on their side. Given stored tables, a table is read once.
     """
     n = lambda df, name: df.agg(F.count("*").alias(name))
     row = (

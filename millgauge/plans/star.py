@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import alerts, dimensions, downtime, production
 from ..sources import seeds, tables
+from ..sources.store import Store
+
+# Facts that a written star holds, and the time each is partitioned by.
+STORED = {
+    "sensor": "event_ts", "hourly": "window_start", "minute_kpis": "window_start", "alerts": "raised_at",
+    "downtime": "started_at", "failure_alerts": "event_time", "downtime_events": "start_time",
+}
 
 
 class Star:
-    """Dimensions and facts derived from readings; every member is a DataFrame plan."""
+    """Dimensions and facts derived from readings; every member is a DataFrame plan.
+
+    ``write`` stores the facts and ``open`` reads them back, in place of the plans.
+    """
+
+    base: str | None = None
 
     def __init__(
         self,
@@ -31,6 +43,49 @@ class Star:
     def from_tables(cls, spark: SparkSession, folder: str, **kw) -> "Star":
         return cls(tables.telemetry(tables.table(spark, folder, "events")), **kw)
 
+    # ---- written once, read by everything downstream ----
+    def write(self, base: str) -> "Star":
+        """Store the facts below ``base``. Readings are conformed once; every fact is computed from what was stored of them."""
+        kw = {"master": self._master, "rearm_minutes": self.rearm_minutes, "reading_seconds": self.reading_seconds}
+        Store.like(self.conformed, f"{base}/conformed", "event_time").overwrite(self.conformed)
+        source = self._over(self.spark, base, kw)
+        for name, ts in STORED.items():
+            fact = getattr(source, name)
+            Store.like(fact, f"{base}/{name}", ts).overwrite(fact)
+        source.readings.select("machine_id").distinct().write.mode("overwrite").parquet(f"{base}/machine_ids")
+        return self.open(self.spark, base, **kw)
+
+    @classmethod
+    def _over(cls, spark: SparkSession, base: str, kw: dict) -> "Star":
+        conformed = Store.open(spark, f"{base}/conformed").read()
+        out = cls(conformed.select(*tables.TELEMETRY), **kw)
+        out.__dict__["conformed"] = conformed
+        return out
+
+    @classmethod
+    def open(cls, spark: SparkSession, base: str, **kw) -> "Star":
+        """A star whose facts are the stored ones."""
+        out = cls._over(spark, base, kw)
+        out.base = base
+        for name in STORED:
+            out.__dict__[name] = Store.open(spark, f"{base}/{name}").read()
+        out.__dict__["machine_ids"] = spark.read.schema("machine_id string").parquet(f"{base}/machine_ids")
+        return out
+
+    def store(self, name: str) -> Store:
+        return Store.open(self.spark, f"{self.base}/{name}")
+
+    @cached_property
+    def newest_reading(self) -> Column:
+        """Time of the newest reading as a literal, so that filters on it reach the scan; null without readings."""
+        micros = self.readings.agg(F.unix_micros(F.max("event_time"))).first()[0]
+        return F.timestamp_micros(F.lit(micros).cast("bigint"))
+
+    @cached_property
+    def machine_ids(self) -> DataFrame:
+        """Every machine that ever sent a reading."""
+        return self.readings.select("machine_id").distinct()
+
     # ---- dimensions ----
     @cached_property
     def master(self) -> DataFrame:
