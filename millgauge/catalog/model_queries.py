@@ -9,6 +9,7 @@ from ..operators.joins import lookup
 from ..plans import gates, health, snowflake
 from ..plans.snowflake import ALERT_KEYS, HOURLY_KEYS, Snowflake
 from ..sources import messages, seeds, sinks
+from ..sources.store import Store
 from . import sql
 from .envelope import ENVELOPE_SQL, broken_envelope
 from .joins import STALE_SQL, stale_copy
@@ -73,31 +74,60 @@ def leaf_machines(x: Context):
                                                         "criticality", F.coalesce("n", F.lit(0)).alias("hours"))
 
 
+HOUR_COLUMNS = ["machine_key", "window_start", "window_end", "units_produced", "good_units", "kw_seconds"]
+RAISED_COLUMNS = ["machine_key", "alert_type_key", "raised_at", "resolved_at", "alert_count"]
+
+
 def copies(x: Context):
     """Star facts and older copies of them."""
-    cols = ["machine_key", "window_start", "window_end", "units_produced", "good_units", "kw_seconds"]
-    star_h = x.facts.hourly.select(*cols)
-    old_h = stale_copy(x).select(*cols)
-    cols = ["machine_key", "alert_type_key", "raised_at", "resolved_at", "alert_count"]
-    star_a = x.facts.alerts.where("machine_key <> -1").select(*cols)
-    old_a = x.facts.alerts.select(*cols)
-    return star_h, old_h, star_a, old_a
+    old_h = x.kept("old_hours", lambda: stale_copy(x).select(*HOUR_COLUMNS), "window_start")
+    raised = x.facts.alerts.select(*RAISED_COLUMNS)
+    return x.facts.hourly.select(*HOUR_COLUMNS), old_h, raised.where("machine_key <> -1"), raised
+
+
+class Copy:
+    """The stored copy of a query: older hours and alerts, brought up to date from the stored star."""
+
+    def __init__(self, x: Context) -> None:
+        self.x = x
+        _, old_h, _, old_a = copies(x)
+        self.hours = Store.like(old_h, x.path("copy_hours"), "window_start")
+        self.hours.overwrite(old_h)
+        self.raised = Store.like(old_a, x.path("copy_alerts"), "raised_at")
+        self.raised.overwrite(old_a)
+
+    def refresh(self) -> None:
+        self.hours.follow(self.x.facts.store("hourly"), HOURLY_KEYS, lambda df: df.select(*HOUR_COLUMNS))
+        self.raised.follow(self.x.facts.store("alerts"), ALERT_KEYS, lambda df: df.where("machine_key <> -1").select(*RAISED_COLUMNS))
 
 
 @query("snw4", """SELECT 'fact_production_hourly' AS metric, (SELECT count(*) FROM hourly) AS star_rows, (SELECT count(*) FROM hourly) AS snow_rows, 'IN SYNC' AS status
 UNION ALL SELECT 'fact_alert', count(*), count(*), 'IN SYNC' FROM alerts WHERE machine_key <> -1""")
 def refresh(x: Context):
-    star_h, old_h, star_a, old_a = copies(x)
+    """Refreshed by what changed in the star, then judged by rows and values."""
+    copy = Copy(x)
+    copy.refresh()
+    star_h, _, star_a, _ = copies(x)
     return snowflake.sync_report({
-        "fact_production_hourly": (star_h, snowflake.refresh(old_h, star_h, HOURLY_KEYS)),
-        "fact_alert": (star_a, snowflake.refresh(old_a, star_a, ALERT_KEYS)),
+        "fact_production_hourly": snowflake.compare(star_h, copy.hours.read(), HOURLY_KEYS, ("units_produced", "good_units", "kw_seconds")),
+        "fact_alert": snowflake.compare(star_a, copy.raised.read(), ALERT_KEYS, ("resolved_at", "alert_count")),
     })
 
 
+@query("snw4_drift", f"""WITH {STALE_SQL} SELECT 'fact_production_hourly' AS metric, (SELECT count(*) FROM hourly) AS star_rows, (SELECT count(*) FROM stale) AS snow_rows,
+  CASE WHEN (SELECT count(*) FROM hourly) = (SELECT count(*) FROM stale) AND NOT EXISTS (SELECT 1 FROM hourly h JOIN stale s USING (machine_key, window_start)
+    WHERE h.units_produced IS DISTINCT FROM s.units_produced) THEN 'IN SYNC' ELSE 'DRIFT' END AS status""")
+def drift(x: Context):
+    star_h, old_h, _, _ = copies(x)
+    return snowflake.sync_report({"fact_production_hourly": snowflake.compare(star_h, old_h, HOURLY_KEYS, ("units_produced",))})
+
+
 @query("snw4_rows", "SELECT machine_key, window_start, units_produced, good_units, CAST(kw_seconds AS DOUBLE) AS kw_seconds FROM hourly")
 def refreshed_rows(x: Context):
-    star_h, old_h, _, _ = copies(x)
-    return snowflake.refresh(old_h, star_h, HOURLY_KEYS).drop("window_end")
+    copy = Copy(x)
+    for _ in range(2):
+        copy.refresh()
+    return copy.hours.read().drop("window_end")
 
 
 @query("snw5", f"""WITH {STALE_SQL} SELECT (SELECT count(*) FROM hourly) - (SELECT count(*) FROM stale) AS hourly_rows_behind,
@@ -109,12 +139,11 @@ def staleness(x: Context):
 
 @query("snw6", "SELECT 'snowflake_refresh' AS job_name, 'SUCCESS' AS status, (SELECT count(*) FROM hourly) AS rows_written")
 def refresh_log(x: Context):
-    path, out = x.path("refresh_log"), x.path("snow_hourly")
-    star_h, old_h, _, _ = copies(x)
+    path, copy = x.path("refresh_log"), Copy(x)
 
     def work() -> int:
-        snowflake.refresh(old_h, star_h, HOURLY_KEYS).write.parquet(out)
-        return x.spark.read.parquet(out).count()
+        copy.refresh()
+        return copy.hours.read().count()
 
     sinks.run_logged(x.spark, path, "snowflake_refresh", "1", work)
     return sinks.run_outcomes(x.spark.read.parquet(path)).select("job_name", "status", "rows_written")
@@ -429,9 +458,10 @@ def _gates(x: Context):
 UNION ALL SELECT 'after', TRUE""")
 def copy_gate(x: Context):
     star_h, old_h, star_a, old_a = copies(x)
-    new_h = snowflake.refresh(old_h, star_h, HOURLY_KEYS)
+    copy = Copy(x)
+    copy.refresh()
     before = gates.copy_in_sync_row(snowflake.staleness(star_h, old_h, star_a, old_a))
-    after = gates.copy_in_sync_row(snowflake.staleness(star_h, new_h, star_a, old_a))
+    after = gates.copy_in_sync_row(snowflake.staleness(star_h, copy.hours.read(), star_a, copy.raised.read()))
     return before.select(F.lit("before").alias("moment"), "passed").union(after.select(F.lit("after"), "passed"))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.keys import hashed_key
 from ..functions.numeric import differs, num
 from ..operators.joins import lookup
-from ..operators.merge import drop_orphans, upsert
 
 HOURLY_KEYS = ("machine_key", "window_start")
 ALERT_KEYS = ("machine_key", "alert_type_key", "raised_at")
@@ -148,21 +147,26 @@ def energy_by_plant(rows: DataFrame) -> DataFrame:
 
 
 # ---- refresh and checks -------------------------------------------------------
-def refresh(copy: DataFrame, star_fact: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Copy brought up to date: new and changed rows written, rows gone from the star dropped."""
-    return drop_orphans(upsert(copy, star_fact.select(*copy.columns), keys), star_fact, keys)
+def compare(star_fact: DataFrame, copy: DataFrame, keys: tuple[str, ...], values: tuple[str, ...]) -> DataFrame:
+    """One row (star_rows, copy_rows, stale_rows); stale are rows on both sides of which a value differs. Each side is read once."""
+    a = star_fact.select(*keys, *[F.col(v).alias(f"_star_{v}") for v in values], F.lit(True).alias("_in_star"))
+    b = copy.select(*keys, *[F.col(v).alias(f"_copy_{v}") for v in values], F.lit(True).alias("_in_copy"))
+    differ = F.lit(False)
+    for v in values:
+        differ = differ | differs(F.col(f"_star_{v}"), F.col(f"_copy_{v}"))
+    return a.join(b, list(keys), "full").agg(
+        F.count("_in_star").alias("star_rows"), F.count("_in_copy").alias("copy_rows"),
+        F.count_if(F.col("_in_star") & F.col("_in_copy") & differ).alias("stale_rows"),
+    )
 
 
-def sync_report(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Row counts of star and copy per table, with a verdict."""
+def sync_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per table the rows of star and copy, and a verdict by rows and values. ``tables`` has the results of ``compare``."""
     out = None
-    for name, (star_rows, snow_rows) in pairs.items():
-        row = star_rows.agg(F.count("*").alias("star_rows")).crossJoin(
-            snow_rows.agg(F.count("*").alias("snow_rows"))
-        ).select(
-            F.lit(name).alias("metric"), "star_rows", "snow_rows",
-            F.when(F.col("star_rows") == F.col("snow_rows"), "IN SYNC").otherwise("DRIFT").alias("status"),
-        )
+    for name, found in tables.items():
+        same = (F.col("star_rows") == F.col("copy_rows")) & (F.col("stale_rows") == 0)
+        row = found.select(F.lit(name).alias("metric"), "star_rows", F.col("copy_rows").alias("snow_rows"),
+                           F.when(same, "IN SYNC").otherwise("DRIFT").alias("status"))
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -176,17 +180,11 @@ def stale_values(star_fact: DataFrame, copy: DataFrame, keys: tuple[str, ...], v
 def staleness(star_hourly: DataFrame, copy_hourly: DataFrame, star_alerts: DataFrame, copy_alerts: DataFrame) -> DataFrame:
     """How far the copy lags. Values matter more than counts: both sides can have
     equally many rows while the measures differ."""
-    n = lambda df, name: df.agg(F.count("*").alias(name))
-    stale = stale_values(star_hourly, copy_hourly, HOURLY_KEYS, "units_produced")
-    return (
-        n(star_hourly, "a").crossJoin(n(copy_hourly, "b")).crossJoin(n(star_alerts, "c"))
-        .crossJoin(n(copy_alerts, "d")).crossJoin(n(stale, "rows_with_stale_values"))
-        .select(
-            (F.col("a") - F.col("b")).alias("hourly_rows_behind"),
-            (F.col("c") - F.col("d")).alias("alert_rows_behind"),
-            "rows_with_stale_values",
-        )
-    )
+    behind = F.col("star_rows") - F.col("copy_rows")
+    hours = compare(star_hourly, copy_hourly, HOURLY_KEYS, ("units_produced",)).select(
+        behind.alias("hourly_rows_behind"), F.col("stale_rows").alias("rows_with_stale_values"))
+    raised = compare(star_alerts, copy_alerts, ALERT_KEYS, ()).select(behind.alias("alert_rows_behind"))
+    return hours.crossJoin(raised).select("hourly_rows_behind", "alert_rows_behind", "rows_with_stale_values")  # one row each
 
 
 def closed_hours(hourly: DataFrame, as_of: Column) -> DataFrame:

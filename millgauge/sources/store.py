@@ -36,6 +36,7 @@ class Manifest:
     version: int = 0
     groups: dict[str, list[str]] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
+    followed: dict[str, dict[str, list[str]]] = field(default_factory=dict)  # what the table had seen of another one
 
 
 class Conflict(RuntimeError):
@@ -89,26 +90,28 @@ class Store:
 
     def _read_manifest(self, version: int) -> Manifest | None:
         about = self._load(version)
-        return about and Manifest(version, about["groups"], about["applied"])
+        return about and Manifest(version, about["groups"], about["applied"], about["followed"])
 
     def manifest(self) -> Manifest:
         found = (self._read_manifest(v) for v in reversed(self._versions()))
         return next((m for m in found if m is not None), Manifest())
 
-    def commit(self, before: Manifest, groups: dict[str, list[str]], source: str | None = None, batch: int | None = None) -> Manifest:
+    def commit(self, before: Manifest, groups: dict[str, list[str]], source: str | None = None, batch: int | None = None,
+               followed: dict[str, dict[str, list[str]]] | None = None) -> Manifest:
         """Make ``groups`` the content. Raises ``Conflict`` if the table is no longer at ``before``."""
         versions = self._versions()
         if versions and versions[-1] > before.version and self.manifest().version > before.version:
             raise Conflict(f"{self.path} is past version {before.version}")
         applied = before.applied if batch is None else {**before.applied, source or "": batch}
-        after = Manifest(max([before.version, *versions]) + 1, {p: g for p, g in groups.items() if g}, applied)
+        after = Manifest(max([before.version, *versions]) + 1, {p: g for p, g in groups.items() if g}, applied,
+                         {**before.followed, **(followed or {})})
         files, where = self._file("_manifests", f"{after.version:012d}.json")
         try:
             stream = files.create(where, False)
         except Py4JJavaError as exc:
             raise Conflict(f"{self.path} version {after.version} is taken") from exc
         about = {"schema": json.loads(self.schema.json()), "ts": self.ts, "unit": self.unit}
-        stream.write(json.dumps({**about, "groups": after.groups, "applied": after.applied}).encode())
+        stream.write(json.dumps({**about, "groups": after.groups, "applied": after.applied, "followed": after.followed}).encode())
         stream.close()
         for old in versions[: -KEPT_MANIFESTS + 1]:
             files.delete(self._file("_manifests", f"{old:012d}.json")[1], False)
@@ -218,7 +221,8 @@ class Store:
     def _differs(self, columns: Iterable[str]) -> Column:
         return reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in columns], F.lit(False))
 
-    def _apply(self, m: Manifest, changes: DataFrame, keys: Sequence[str], source: str | None, batch: int | None) -> dict[str, int]:
+    def _apply(self, m: Manifest, changes: DataFrame, keys: Sequence[str], source: str | None, batch: int | None,
+               followed: dict[str, dict[str, list[str]]] | None = None) -> dict[str, int]:
         """``changes`` are rows with their partition and ``_change`` (insert, update, delete): store them, then swap."""
         staged = f"{self.path}/_staged/{uuid.uuid4().hex}"
         changes.write.parquet(staged)
@@ -237,9 +241,9 @@ class Store:
                 fresh = fresh.unionByName(stay)
             name, parts = self._write(fresh)
             groups = {p: g for p, g in m.groups.items() if p not in rewritten}
-            self.commit(m, {**groups, **{p: [*groups.get(p, []), name] for p in parts}}, source, batch)
-        elif batch is not None:
-            self.commit(m, m.groups, source, batch)
+            self.commit(m, {**groups, **{p: [*groups.get(p, []), name] for p in parts}}, source, batch, followed)
+        elif batch is not None or followed:
+            self.commit(m, m.groups, source, batch, followed)
         files, where = self._file("_staged")
         files.delete(where, True)
         return counts
@@ -321,6 +325,19 @@ class Store:
         m = self.manifest()
         return self._apply(m, self.diff(source_rows, keys, parts, m), keys, None, None)
 
+    def follow(self, other: "Store", keys: Sequence[str], rows: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, int]:
+        """Bring the table to ``rows`` of another one: only partitions whose folders changed there since the last time are read, once on each side."""
+        if (self.ts, self.unit) != (other.ts, other.unit):
+            raise ValueError("both tables need the same partitions")
+        m, theirs = self.manifest(), other.manifest()
+        seen = m.followed.get(other.path)
+        known = m.groups if seen is None else seen
+        parts = sorted(p for p in {*theirs.groups, *known} if seen is None or theirs.groups.get(p) != seen.get(p))
+        if not parts:
+            return {}
+        changes = self.diff(rows(other.read(parts, theirs)), keys, parts, m)
+        return self._apply(m, changes, keys, None, None, {other.path: theirs.groups})
+
     # ---- retention ----
     def expired(self, as_of: Column, months: int) -> DataFrame:
         """(part) of partitions that end before the cutoff; the dry run of ``drop_expired``."""

@@ -82,6 +82,24 @@ def test_sync_and_diff(spark, table):
     assert table.sync(source, KEYS) == {} and table.diff(source, KEYS).count() == 0
 
 
+def test_follow_reads_only_changed_partitions(spark, table, monkeypatch):
+    copy = store.Store(spark, scratch_path(spark, "copy"), SCHEMA, "ts")
+    copy.append(rows(spark, ("a", 1, 100, None), ("gone", 2, 1, None), ("old", 9, 1, None)))
+    only = lambda df: df.where("k <> 'c'")
+    assert copy.follow(table, KEYS, only) == {"update": 1, "insert": 5, "delete": 2}
+    assert content(copy) == [r for r in content(table) if r[0] != "c"]
+    assert copy.follow(table, KEYS, only) == {}
+    before = files(copy)
+    table.upsert(rows(spark, ("b", 2, 22, None)), KEYS)
+    read, plain = [], store.Store._rows
+    monkeypatch.setattr(store.Store, "_rows", lambda self, m, parts=None: (read.append(parts), plain(self, m, parts))[1])
+    assert copy.follow(table, KEYS, only) == {"update": 1}
+    assert read and all(list(p) == ["202402"] for p in read)
+    monkeypatch.undo()
+    assert {f for f in before if f[0] != "202402"} <= files(copy)
+    assert content(copy) == [r for r in content(table) if r[0] != "c"]
+
+
 def test_null_keys_and_times(spark):
     t = store.Store(spark, scratch_path(spark, "store"), SCHEMA, "ts")
     odd = spark.createDataFrame([(None, None, 1, "a"), (None, at(1), 2, "b"), ("x", None, 3, "c")], SCHEMA)
