@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import num, ratio
 from ..operators import production, quality
-from ..operators.sequence import episodes, first_per, gap_starts, newest_per, ordered_columns
+from ..operators.sequence import count_starts, episodes, first_per, gap_starts, newest_per, ordered_columns
 from ..plans import reports
 from ..plans.measures import theoretical_minutes_per_machine
 from .registry import Context, query
@@ -222,10 +222,7 @@ FROM (SELECT *, lag(down) OVER (PARTITION BY machine_id ORDER BY event_time, rea
 WHERE down GROUP BY ALL""")
 def group_islands(x: Context):
     down = x.readings.withColumn("down", F.col("status").isin("DOWN", "FAULT"))
-    by = (["machine_id"], "event_time", ["reading_id"])
-    seen = ordered_columns(down, *by, lag={"was": F.col("down")})
-    start = (F.col("down") & ~F.coalesce("was", F.lit(False))).cast("bigint")
-    numbered = ordered_columns(seen, *by, total={"episode": start})
+    numbered = count_starts(down, ["machine_id"], "event_time", ["reading_id"], F.col("down"))
     return numbered.where("down").groupBy("machine_id", "episode").agg(
         F.min("event_time").alias("started_at"), F.max("event_time").alias("last_at"), F.count("*").alias("readings"))
 

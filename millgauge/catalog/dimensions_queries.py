@@ -42,7 +42,9 @@ def dim_shift(x: Context):
     return x.star.shifts.join(per, "shift_key", "left").select(*x.star.shifts.columns, F.coalesce("n", F.lit(0)).alias("readings"))
 
 
-@query("dim4", """SELECT s.*, coalesce(n, 0) AS readings FROM dim_status s LEFT JOIN (SELECT status_key AS k, count(*) AS n FROM sensor GROUP BY ALL) u ON k = s.status_key""".replace("s.*,", "s.status_key, status_code, status_name, status_category, is_productive, is_downtime, is_planned_downtime, counts_toward_oee, display_colour_hex, sort_order,"))
+@query("dim4", """SELECT s.status_key, status_code, status_name, status_category, is_productive, is_downtime, is_planned_downtime, counts_toward_oee,
+  display_colour_hex, sort_order, coalesce(n, 0) AS readings
+FROM dim_status s LEFT JOIN (SELECT status_key AS k, count(*) AS n FROM sensor GROUP BY ALL) u ON k = s.status_key""")
 def dim_status(x: Context):
     per = x.star.sensor.groupBy("status_key").agg(F.count("*").alias("n"))
     return x.star.statuses.join(per, "status_key", "left").select(*x.star.statuses.columns, F.coalesce("n", F.lit(0)).alias("readings"))

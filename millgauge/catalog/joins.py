@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dimensions, production, quality
+from ..operators import production, quality
 from ..operators.joins import as_of_version, denormalise, lookup, wildcard_members
 from ..operators.sequence import newest_per
 from ..plans import snowflake
@@ -169,13 +169,12 @@ def one_row_cross(x: Context):
     return n(x.readings, "readings").crossJoin(n(x.star.hourly, "hours"))
 
 
-@query("jn17", """SELECT d.full_date, CAST(h.range AS INTEGER) AS hour_24, count(r.reading_id) AS readings FROM days d CROSS JOIN range(24) h
-LEFT JOIN readings r ON CAST(r.event_time AS DATE) = d.full_date AND hour(r.event_time) = h.range AND r.machine_id = 'M-103'
+@query("jn17", """SELECT m.machine_id, d.full_date, CAST(h.range AS INTEGER) AS hour_24, count(r.reading_id) AS readings
+FROM master m CROSS JOIN days d CROSS JOIN range(24) h
+LEFT JOIN readings r ON CAST(r.event_time AS DATE) = d.full_date AND hour(r.event_time) = h.range AND r.machine_id = m.machine_id
 GROUP BY ALL HAVING count(r.reading_id) = 0""")
 def silent_hours(x: Context):
-    one = x.readings.where("machine_id = 'M-103'")
-    span = dimensions.date_span(x.readings.select(F.to_date("event_time").alias("d")), "d")
-    return quality.silent_hours(one, "event_time", span)
+    return quality.silent_hours(x.readings, "event_time", x.star.master, "machine_id")
 
 
 @query("jn18", """SELECT r.machine_id, count(*) AS after_open FROM readings r JOIN (SELECT machine_id, max(started_at) AS s FROM stops

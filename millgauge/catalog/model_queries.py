@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import merge, quality, security
-from ..operators.joins import lookup
+from ..operators.joins import lookup, wildcard_members
 from ..plans import gates, health, snowflake
 from ..plans.snowflake import ALERT_KEYS, HOURLY_KEYS, Snowflake
+from ..schemas import UNKNOWN
 from ..sources import messages, seeds, sinks
 from ..sources.store import Store
 from . import sql
@@ -210,20 +211,27 @@ def drift_detail(x: Context):
         n(still, "still_open_hours")).select((F.col("_a") - F.col("_b")).alias("rows_added"), "rows_value_changed", "still_open_hours")
 
 
-@query("snw12")
+_WIDE = ("machine_name", "machine_type", "production_line", "plant_code")
+_DIM_BYTES = " UNION ALL ".join((
+    "SELECT count(*) AS n, 24 * count(*) + sum(strlen(machine_name)) AS b FROM dim_machine",
+    "SELECT count(*), 8 * count(*) + sum(strlen(t)) FROM (SELECT DISTINCT machine_type AS t FROM dim_machine)",
+    "SELECT count(*), 16 * count(*) + sum(strlen(l)) FROM (SELECT DISTINCT production_line AS l, plant_code AS p FROM dim_machine)",
+    "SELECT count(*), 8 * count(*) + sum(strlen(p)) FROM (SELECT DISTINCT plant_code AS p FROM dim_machine)"))
+
+
+@query("snw12", f"""WITH dims AS ({_DIM_BYTES})
+SELECT 'star' AS design, CAST(count(*) AS BIGINT) AS rows, CAST(sum(24 + {" + ".join(f"strlen({c})" for c in _WIDE)}) AS BIGINT) AS bytes
+FROM hourly h JOIN dim_machine m ON m.machine_key = h.machine_key
+UNION ALL SELECT 'snowflake', CAST(n + (SELECT sum(n) FROM dims) AS BIGINT), CAST(24 * n + (SELECT sum(b) FROM dims) AS BIGINT) FROM (SELECT count(*) AS n FROM hourly)""")
 def storage(x: Context):
-    """Two fact layouts written from the readings, measured by the scan's own file metadata."""
-    s, wide, thin = snow(x), x.path("star_rows"), x.path("snow_rows")
-    lookup(x.facts.hourly, x.facts.machines.select("machine_key", "machine_name", "machine_type", "production_line", "plant_code"),
-           "machine_key").write.parquet(wide)
-    x.facts.hourly.write.parquet(thin)
-    dims = {}
-    for name in ("machines", "machine_types", "lines", "plants", "manufacturers"):
-        path = x.path(f"snow_{name}")
-        getattr(s, name).coalesce(1).write.parquet(path)
-        dims[name] = x.spark.read.parquet(path)
-    star = snowflake.table_bytes({"fact": x.spark.read.parquet(wide)}, "star")
-    return star.unionByName(snowflake.table_bytes({"fact": x.spark.read.parquet(thin), **dims}, "snowflake"))
+    """Rows and uncompressed bytes of the hourly facts in two layouts: members' texts beside each fact, or behind keys."""
+    s, fact = snow(x), ["machine_key", "window_start", "units_produced"]
+    hourly = x.facts.hourly.select("machine_key", "window_start", F.col("units_produced").cast("bigint").alias("units_produced"))
+    wide = lookup(hourly, x.facts.machines.select("machine_key", *_WIDE), "machine_key", "inner").select(*fact, *_WIDE)
+    thin = [hourly, s.machines.select("machine_key", "machine_type_key", "production_line_key", "machine_name"),
+            s.machine_types.select("machine_type_key", "machine_type_code"), s.lines.select("production_line_key", "production_line_code", "plant_key"),
+            s.plants.select("plant_key", "plant_code")]
+    return snowflake.table_bytes([wide], "star").unionByName(snowflake.table_bytes(thin, "snowflake"))
 
 
 # ---- row scoping ----------------------------------------------------------------
@@ -236,13 +244,8 @@ def _visible(user: str) -> str:
     return f"(SELECT DISTINCT m.machine_key FROM dim_machine m JOIN user_scope s ON s.is_active AND lower(s.user_principal_name) = lower('{user}') AND {_SEES})"
 
 
-def per_user(x: Context, rows_of):
-    """One aggregate per listed user, stacked."""
-    out = None
-    for user in USERS:
-        part = rows_of(user).agg(F.count("*").alias("rows")).select(F.lit(user).alias("app_user"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+def users(x: Context):
+    return x.spark.createDataFrame([(u,) for u in USERS], "app_user string")
 
 
 def scopes(x: Context):
@@ -252,34 +255,39 @@ def scopes(x: Context):
 @query("rls1", " UNION ALL ".join(f"SELECT '{u}' AS app_user, v.machine_key, count(h.window_start) AS hours FROM {_visible(u)} v LEFT JOIN hourly h ON h.machine_key = v.machine_key GROUP BY ALL" for u in USERS))
 def visible(x: Context):
     hours = x.facts.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
-    out = None
-    for user in USERS:
-        part = security.visible_keys(x.facts.machines, scopes(x), user).join(hours, "machine_key", "left").select(
-            F.lit(user).alias("app_user"), "machine_key", F.coalesce("n", F.lit(0)).alias("hours"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    seen = security.visible_to_all(x.facts.machines, scopes(x), users(x))
+    return seen.join(hours, "machine_key", "left").select("app_user", "machine_key", F.coalesce("n", F.lit(0)).alias("hours"))
 
 
 @query("rls2", " UNION ALL ".join(f"SELECT '{u}' AS app_user, count(*) AS rows FROM sensor WHERE machine_key IN (SELECT machine_key FROM {_visible(u)})" for u in USERS))
 def scoped(x: Context):
-    return per_user(x, lambda u: security.scoped_fact(x.facts.sensor, x.facts.machines, scopes(x), u))
+    """Rows a user may see, for every user at once: counted by machine before they meet the scopes."""
+    per = x.facts.sensor.groupBy("machine_key").agg(F.count("*").alias("n"))
+    seen = security.visible_to_all(x.facts.machines, scopes(x), users(x)).join(per, "machine_key").groupBy(
+        F.col("app_user").alias("seen_by")).agg(F.sum("n").alias("n"))
+    return users(x).join(seen, F.col("app_user") == F.col("seen_by"), "left").select("app_user", F.coalesce("n", F.lit(0)).alias("rows"))
 
 
 @query("rls3", " UNION ALL ".join(f"SELECT '{u}' AS app_user, m.machine_id, (SELECT count(*) FROM hourly h WHERE h.machine_key = m.machine_key) AS hours FROM dim_machine m WHERE machine_key = -1 OR machine_key IN (SELECT machine_key FROM {_visible(u)})" for u in USERS))
 def scoped_dim(x: Context):
     hours = x.facts.hourly.groupBy("machine_key").agg(F.count("*").alias("n"))
-    out = None
-    for user in USERS:
-        part = security.scoped_machines(x.facts.machines, scopes(x), user).join(hours, "machine_key", "left").select(
-            F.lit(user).alias("app_user"), "machine_id", F.coalesce("n", F.lit(0)).alias("hours"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    unknown = users(x).withColumn("machine_key", F.lit(UNKNOWN).cast("bigint"))
+    seen = security.visible_to_all(x.facts.machines, scopes(x), users(x)).union(unknown).distinct()
+    return (seen.join(x.facts.machines.select("machine_key", "machine_id"), "machine_key").join(hours, "machine_key", "left")
+            .select("app_user", "machine_id", F.coalesce("n", F.lit(0)).alias("hours")))
 
 
-@query("rls4", """SELECT s.user_principal_name, s.role_name, s.is_active, (SELECT count(*) FROM readings) AS readings FROM user_scope s WHERE lower(s.user_principal_name) = 'lineb.sup@contoso.com'""")
+@query("rls4", f"""SELECT s.user_principal_name, s.role_name, s.is_active, s.plant_code, s.production_line, CAST(coalesce(sum(n), 0) AS BIGINT) AS readings
+FROM user_scope s LEFT JOIN dim_machine m ON {_SEES} LEFT JOIN (SELECT machine_key, count(*) AS n FROM sensor GROUP BY ALL) r ON r.machine_key = m.machine_key
+WHERE lower(s.user_principal_name) = 'lineb.sup@contoso.com' GROUP BY ALL""")
 def own_rows(x: Context):
-    n = x.facts.readings.agg(F.count("*").alias("readings"))
-    return security.own_scopes(scopes(x), "LineB.sup@contoso.com").select("user_principal_name", "role_name", "is_active").crossJoin(n)
+    """A user's own scope rows, each with the readings it opens."""
+    mine = ["user_principal_name", "role_name", "is_active", *security.SCOPE_CELLS]
+    own = security.own_scopes(scopes(x), "LineB.sup@contoso.com").select(*mine, F.monotonically_increasing_id().alias("scope"))
+    per = x.facts.sensor.groupBy("machine_key").agg(F.count("*").alias("n"))
+    opened = (wildcard_members(x.facts.machines, own, security.SCOPE_CELLS, "scope", ["machine_key"]).join(per, "machine_key")
+              .groupBy(F.col("scope").alias("of")).agg(F.sum("n").alias("n")))
+    return own.join(opened, F.col("scope") == F.col("of"), "left").select(*mine, F.coalesce("n", F.lit(0)).alias("readings"))
 
 
 @query("rls5", "SELECT machine_key, count(*) AS rows FROM sensor GROUP BY ALL")

@@ -41,6 +41,10 @@ def or_unknown(key: Column) -> Column:
 
 
 def hashed_key(*parts: Column) -> Column:
-    """60-bit key of a natural key: no counter, no global sort, same on every load."""
-    text = F.concat_ws("|", *[p.cast("string") for p in parts])
+    """60-bit key of a natural key: no counter, no global sort, same on every load.
+
+    Parts are joined so that no two lists of parts give one text: bars inside a part are escaped and a missing part has a mark of its own.
+    """
+    escaped = [F.replace(F.replace(p.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for p in parts]
+    text = F.concat_ws("|", *[F.coalesce(e, F.lit("\\N")) for e in escaped])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

@@ -11,8 +11,8 @@ from ..functions.numeric import percent
 from ..functions.text import row_json
 from ..sources.sinks import run_outcomes
 from .dimensions import date_span
-from .joins import hour_scaffold
-from .sequence import ordered_columns
+from .joins import hour_scaffold, small
+from .sequence import run_lengths
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -51,8 +51,13 @@ def scaffold_counts(fact: DataFrame, ts: str, dates: DataFrame | None = None) ->
     )
 
 
-def silent_hours(fact: DataFrame, ts: str, dates: DataFrame | None = None) -> DataFrame:
-    return scaffold_counts(fact, ts, dates).where("readings = 0")
+def silent_hours(fact: DataFrame, ts: str, members: DataFrame, key: str) -> DataFrame:
+    """Hours without a reading, of every member. The scaffold is members by days by hours: what is asked for, whatever the facts hold."""
+    counts = fact.groupBy(F.col(key).alias("_of"), F.to_date(ts).alias("_date"), F.hour(ts).alias("_hour")).agg(F.count("*").alias("readings"))
+    span = date_span(fact.select(F.to_date(ts).alias("d")), "d")
+    every = hour_scaffold(span).crossJoin(small(members.select(key)))
+    met = (F.col(key) == F.col("_of")) & (F.col("full_date") == F.col("_date")) & (F.col("hour_24") == F.col("_hour"))
+    return every.join(counts, met, "left_anti").select(key, "full_date", "hour_24", F.lit(0).cast("bigint").alias("readings"))
 
 
 def completeness(fact: DataFrame, ts: str, expected_per_hour: int) -> DataFrame:
@@ -74,17 +79,10 @@ def busy_minutes(alerts: DataFrame, ts: str, limit: int = 100) -> DataFrame:
 
 
 def failure_runs(log: DataFrame, length: int = 3) -> DataFrame:
-    """Batches at which the last ``length`` finished runs of their job have all failed.
-
-    The run length is the failures so far less the failures up to the last success.
-    """
-    by = (["job_name"], "started_at", ["batch_id"])
-    failed = F.col("status") == "FAILED"
-    log = run_outcomes(log).where("status <> 'RUNNING'").select(*log.columns)
-    counted = ordered_columns(log, *by, total={"_fails": failed.cast("bigint")}, chunk_seconds=86400)
-    based = ordered_columns(counted, *by, last={"_base": F.when(~failed, F.col("_fails"))}, chunk_seconds=86400)
-    run = F.col("_fails") - F.coalesce("_base", F.lit(0))
-    return based.where(failed & (run >= length)).select(*log.columns)
+    """Batches at which the last ``length`` finished runs of their job have all failed."""
+    runs = run_outcomes(log).where("status <> 'RUNNING'").select(*log.columns)
+    counted = run_lengths(runs, ["job_name"], "started_at", ["batch_id"], F.col("status") == "FAILED", "_run", chunk_seconds=86400)
+    return counted.where(F.col("_run") >= length).select(*log.columns)
 
 
 def duplicate_readings(fact: DataFrame, keys: Sequence[str]) -> DataFrame:

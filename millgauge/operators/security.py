@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import mask_email, row_json
 from ..schemas import UNKNOWN
-from .joins import small, wildcard_scope
+from .joins import small, wildcard_members, wildcard_scope
 
 SCOPE_CELLS = ("plant_code", "production_line")
 ROLES = ("EXECUTIVE", "PLANT_MANAGER", "LINE_SUPERVISOR", "MAINTENANCE_TECH", "AUDITOR")
@@ -30,6 +30,13 @@ def visible_keys(machines: DataFrame, scopes: DataFrame, user: str | None) -> Da
     return wildcard_scope(machines, active, SCOPE_CELLS).select("machine_key").distinct()
 
 
+def visible_to_all(machines: DataFrame, scopes: DataFrame, users: DataFrame) -> DataFrame:
+    """(app_user, machine_key) for every row of ``users``, in one join. Names match whatever their case."""
+    active = scopes.where("is_active").withColumn("_name", F.lower("user_principal_name"))
+    seen = wildcard_members(machines, active, SCOPE_CELLS, "_name", ["machine_key"])
+    return users.join(seen, F.lower("app_user") == F.col("_name")).select("app_user", "machine_key")
+
+
 def scoped_fact(
     fact: DataFrame, machines: DataFrame, scopes: DataFrame, user: str | None, unrestricted: bool = False
 ) -> DataFrame:

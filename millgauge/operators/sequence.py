@@ -38,8 +38,8 @@ def ordered_columns(
     or after (`lead`), last non-null so far (`last`), running sum (`total`), next non-null
     from here on (`following`), and largest value of all rows before (`highest`).
 
-    The input is read twice, for the summaries and for the rows, whatever is asked for in one call;
-    nested calls double that each time."""
+    The input is read twice, for the summaries and for the rows, whatever is asked for in one call.
+    Nested calls double that each time; for results that build on each other see ``scanned``."""
     lag, lead, last, total, following = lag or {}, lead or {}, last or {}, total or {}, following or {}
     highest = highest or {}
     keys = list(keys)
@@ -120,6 +120,79 @@ def ordered_columns(
     return joined.select(*out)
 
 
+def scanned(
+    df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str], local, summary: dict[str, Column], chain: Sequence,
+    out: dict[str, Column], chunk_seconds: int = HOUR,
+) -> DataFrame:
+    """One associative scan in (ts, ties) order within ``keys``, for results that build on each other.
+
+    ``local(upto, before)`` gives steps of columns from windows over one chunk; ``summary`` condenses a chunk to one row, from those
+    columns too; each step of ``chain(before, order)`` adds columns to the summaries from a window over the chunks before; ``out``
+    puts both together for every row. The input is read twice whatever the number of steps.
+    """
+    keys = list(keys)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(ts, *ties)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = df.withColumn("_chunk", _chunk(ts, chunk_seconds))
+    for step in local(upto, inside.rowsBetween(Window.unboundedPreceding, -1)):
+        rows = rows.withColumns(step)
+    chunks = rows.groupBy(*keys, "_chunk").agg(*[c.alias(n) for n, c in summary.items()])
+    order = Window.partitionBy(*keys).orderBy("_chunk")
+    for step in chain(order.rowsBetween(Window.unboundedPreceding, -1), order):
+        chunks = chunks.withColumns(step)
+    joined = rows.join(chunks, [*keys, "_chunk"], "left")
+    return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in out.items()])
+
+
+def count_starts(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str], active: Column, name: str = "episode", **kw) -> DataFrame:
+    """Number of runs of ``active`` rows that have begun so far. A chunk knows its first and last state and the runs that begin in it; a
+    run that began before does not begin again."""
+    order = F.struct(ts, *ties)
+    on = F.coalesce(active, F.lit(False))
+    goes_on = (F.col("_first_on") & F.coalesce("_carried_on", F.lit(False))).cast("bigint")
+    return scanned(
+        df, keys, ts, ties,
+        lambda upto, before: [{"_on": on}, {"_was_on": F.last("_on").over(before)},
+                              {"_begun": F.sum((F.col("_on") & ~F.coalesce("_was_on", F.lit(False))).cast("bigint")).over(upto)}],
+        {"_first_on": F.min_by("_on", order), "_last_on": F.max_by("_on", order), "_all_begun": F.max("_begun")},
+        lambda before, chunks: [{"_carried_on": F.lag("_last_on").over(chunks)},
+                                {"_begun_before": F.coalesce(F.sum(F.col("_all_begun") - goes_on).over(before), F.lit(0))}],
+        {name: F.col("_begun_before") + F.col("_begun") - goes_on}, **kw)
+
+
+def number_gaps(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str], end: Column, gap_seconds: float, name: str = "episode", **kw) -> DataFrame:
+    """Number of the episode a row belongs to; one starts where ``ts`` is more than the gap after the latest end so far.
+
+    A chunk keeps the times at which episodes would start in it. Ends from before take away the first of them, never later ones.
+    """
+    at, gap = F.unix_micros(F.col(ts).cast("timestamp")), int(gap_seconds * 1_000_000)
+    fresh = F.coalesce(F.col("_at") - F.col("_top") > gap, F.lit(True))
+    stay = F.size(F.filter("_heads", lambda h: F.coalesce(h - F.col("_reach") > gap, F.lit(True)))).cast("bigint")
+    return scanned(
+        df, keys, ts, ties,
+        lambda upto, before: [{"_at": at, "_end": F.unix_micros(end.cast("timestamp"))}, {"_top": F.max("_end").over(before)},
+                              {"_fresh": fresh}, {"_here": F.sum(F.col("_fresh").cast("bigint")).over(upto)}],
+        {"_most": F.max("_end"), "_heads": F.collect_list(F.when(F.col("_fresh"), F.col("_at")))},
+        lambda before, chunks: [{"_reach": F.max("_most").over(before)}, {"_stay": stay},
+                                {"_earlier": F.coalesce(F.sum("_stay").over(before), F.lit(0))}],
+        {name: F.col("_earlier") + F.greatest(F.col("_here") - (F.size("_heads") - F.col("_stay")), F.lit(0))}, **kw)
+
+
+def run_lengths(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str], hit: Column, name: str = "run", **kw) -> DataFrame:
+    """Length of the unbroken run of ``hit`` rows that ends here; 0 where it is not one. It is the hits so far less those up to the last miss."""
+    is_hit = F.coalesce(hit, F.lit(False))
+    base = F.coalesce(F.col("_hits_before") + F.col("_base"), F.col("_base_before"), F.lit(0))
+    return scanned(
+        df, keys, ts, ties,
+        lambda upto, before: [{"_hit": is_hit}, {"_hits": F.sum(F.col("_hit").cast("bigint")).over(upto)},
+                              {"_base": F.max(F.when(~F.col("_hit"), F.col("_hits"))).over(upto)}],
+        {"_all_hits": F.max("_hits"), "_last_base": F.max(F.when(~F.col("_hit"), F.col("_hits")))},
+        lambda before, chunks: [{"_hits_before": F.coalesce(F.sum("_all_hits").over(before), F.lit(0))},
+                                {"_known": F.col("_hits_before") + F.col("_last_base")},
+                                {"_base_before": F.last("_known", ignorenulls=True).over(before)}],
+        {name: F.when(F.col("_hit"), F.col("_hits_before") + F.col("_hits") - base).otherwise(0)}, **kw)
+
+
 def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row per key as an aggregate: partial results shrink before the shuffle."""
     return _pick(df, keys, F.min_by, order)

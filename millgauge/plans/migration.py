@@ -11,7 +11,7 @@ from ..functions.text import contains
 from ..operators import production
 from ..operators.alerts import occurrences
 from ..operators.joins import lookup
-from ..operators.sequence import ordered_columns
+from ..operators.sequence import number_gaps
 
 DEFAULT_STOP_STATUS = "FAULT"
 DEFAULT_ALERT = "FAULT_STATUS"
@@ -98,14 +98,8 @@ def backfill_hourly(minutes: DataFrame, machines: DataFrame, planned: DataFrame)
 def consolidate(events: DataFrame, gap_seconds: int = 300) -> DataFrame:
     """Raw stop rows into episodes: a row starts an episode unless it begins within
     the gap after the latest end so far; the episode ends with that."""
-    ts = F.unix_micros("start_time")
     end = F.coalesce("end_time", "start_time")
-    seen = ordered_columns(events, ["machine_id"], "start_time", ["event_id"], highest={"_prev_end": end})
-    fresh = F.col("_prev_end").isNull() | (ts - F.unix_micros("_prev_end") > gap_seconds * 1_000_000)
-    marked = seen.withColumn("_new", F.coalesce(fresh, F.lit(True)).cast("int"))
-    numbered = ordered_columns(
-        marked, ["machine_id"], "start_time", ["event_id"], total={"episode": F.col("_new")}
-    )
+    numbered = number_gaps(events, ["machine_id"], "start_time", ["event_id"], end, gap_seconds)
     return numbered.groupBy("machine_id", "episode").agg(
         F.min("start_time").alias("started_at"),
         F.max(end).alias("ended_at"),

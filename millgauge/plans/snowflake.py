@@ -209,12 +209,16 @@ def equivalence(star_hourly: DataFrame, copy_hourly: DataFrame) -> DataFrame:
     )
 
 
-def table_bytes(tables: dict[str, DataFrame], design: str) -> DataFrame:
-    """Files and bytes behind Parquet-backed tables, from the scan's own file metadata."""
-    files = None
-    for df in tables.values():
-        part = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-        files = part if files is None else files.unionByName(part)
-    return files.distinct().agg(
-        F.lit(design).alias("design"), F.count("*").alias("files"), F.sum("s").alias("bytes")
-    )
+FIXED_BYTES = {"bigint": 8, "timestamp": 8, "double": 8, "int": 4, "date": 4, "smallint": 2, "boolean": 1}
+
+
+def table_bytes(tables: list[DataFrame], design: str) -> DataFrame:
+    """(design, rows, bytes) of tables together: texts by their bytes, other columns by their width."""
+    out = None
+    for df in tables:
+        width = F.lit(0).cast("bigint")
+        for name, kind in df.dtypes:
+            width = width + (F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(FIXED_BYTES[kind]))
+        part = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b"))
+        out = part if out is None else out.unionByName(part)
+    return out.agg(F.lit(design).alias("design"), F.sum("n").alias("rows"), F.sum("b").alias("bytes"))

@@ -67,7 +67,7 @@ def test_runs_count_once(spark):
 def test_top_reason_is_of_waiting_letters(spark):
     rows = [("a", at(1), at(2)), ("a", at(1), at(2)), ("b", at(1), None)]
     letters = spark.createDataFrame(rows, "failure_reason string, quarantined_at timestamp, replayed_at timestamp")
-    assert health.top_reason(letters).first().top_reason == "b"
+    assert health.dead_letter_health(letters, F.lit(at(3))).first().top_reason == "b"
 
 
 MEMBER = "machine_key bigint, machine_id string, machine_name string, machine_type string, valid_from timestamp, valid_to timestamp, is_current boolean"

@@ -4,6 +4,9 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from millgauge.functions import keys
 from millgauge.operators.production import conform
 from millgauge.schemas import PAYLOAD
 from millgauge.sources import seeds
@@ -61,3 +64,10 @@ def test_dimension_sizes(spark):
     assert dimensions.dim_time(spark).count() == 1440
     assert seeds.statuses(spark).count() == 7
     assert seeds.reading_flags(spark).select("is_outlier", "is_backfilled", "is_estimated").distinct().count() == 8
+
+
+def test_no_two_lists_of_parts_share_a_key(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("a", ""), ("\\N", "a"), (None, None), ("a\\", "b"), ("a", "\\b"), ("a\\|b", "c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    found = df.select(keys.hashed_key(F.col("x"), F.col("y")).alias("k")).collect()
+    assert len({r.k for r in found}) == len(rows)

@@ -69,3 +69,24 @@ def test_no_python_workers_in_any_plan(spark):
     for name in ("ag1", "wn5", "st15_batch", "kpi7", "m36", "mig7"):
         text = plan(entry.queries()[name](spark, SMALL))
         assert "Python" not in text and "Pandas" not in text
+
+
+def scans(df):
+    return plan(df).count("FileScan")
+
+
+@pytest.mark.parametrize("name,facts", [
+    ("mig6", 8), ("dq6", 4), ("dq14", 4), ("rpt1", 2), ("m36", 2), ("m26_m27", 2), ("kpi2", 2), ("wn6", 2), ("mig7", 2), ("dq18_runs", 2), ("rpt15", 3),
+    ("snw4", 4), ("snw5", 4), ("rls2", 1)])
+def test_each_stored_fact_is_read_once(spark, name, facts):
+    """The copy's two facts are read once on either side; a chain of ordered steps reads its input twice."""
+    import __spark_entry__ as entry
+
+    assert scans(entry.queries()[name](spark, SMALL)) <= facts
+
+
+def test_look_back_reaches_the_scan(spark):
+    import __spark_entry__ as entry
+
+    for name in ("kpi2", "kpi7"):
+        assert "GreaterThanOrEqual(event_time" in plan(entry.queries()[name](spark, SMALL))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millgauge.operators.downtime import batch_changes, downtime_fact
-from millgauge.operators.sequence import episodes, first_per, gap_starts, newest_per, ordered_columns
+from millgauge.operators.sequence import count_starts, episodes, first_per, gap_starts, newest_per, number_gaps, ordered_columns, run_lengths
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -127,3 +127,28 @@ def test_batch_changes_follow_batch_form(spark, star):
         state = spark.createDataFrame(after, "machine_id string, open_started_at timestamp")
     rows.unpersist()
     assert {(m, s, e) for (m, s), e in got.items()} == whole
+
+
+@pytest.mark.parametrize("seed,chunk", [(7, 3600), (8, 60), (9, 86400)])
+def test_associative_scans(spark, seed, chunk):
+    """Run numbers, gap episodes and run lengths against a walk; each reads its input twice."""
+    rows = history(700, seed)
+    df = spark.createDataFrame([(*r, r[1] + dt.timedelta(seconds=(r[3] or 0) * 2500)) for r in rows],
+                               "k string, ts timestamp, id long, v int, down boolean, until timestamp")
+    want = {}
+    for k, seq in walk(rows):
+        begun = run = episode = 0
+        was, reach = False, None
+        for _, t, i, v, down in seq:
+            begun += down and not was
+            run = run + 1 if down else 0
+            episode += reach is None or (t - reach).total_seconds() > 700
+            end = t + dt.timedelta(seconds=(v or 0) * 2500)
+            reach = end if reach is None else max(reach, end)
+            was = down
+            want[i] = (begun, run, episode)
+    by = (["k"], "ts", ["id"])
+    got = count_starts(df, *by, F.col("down"), "a", chunk_seconds=chunk)
+    got = run_lengths(got, *by, F.col("down"), "b", chunk_seconds=chunk)
+    got = number_gaps(got, *by, F.col("until"), 700, "c", chunk_seconds=chunk)
+    assert {r.id: (r.a, r.b, r.c) for r in got.collect()} == want
