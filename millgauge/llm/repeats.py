@@ -11,7 +11,9 @@ document with a smaller id. Method:
    occurrence and gives the smallest id of each. Shards work in batches of bounded size.
 3. The excerpts of an anchor that many texts hold are told apart by a second anchor, the group with the
    largest hash of each window, which equal windows share as well.
-4. Every text learns from its excerpts which windows to cut, in a join that adaptive execution splits.
+4. Windows of an anchor with more than ``BATCH_ROWS`` different excerpts would not fit a task. They become rows, and Spark
+   aggregates the smallest and largest id of each.
+5. Every text learns from its excerpts which windows to cut, in a join that adaptive execution splits.
 
 Texts equal to the last character are one text with the smallest id of its rows; in later rows every window repeats.
 
@@ -36,20 +38,26 @@ from .common import written
 WINDOW = 13
 ANCHOR_WORDS = 5
 ANCHOR_BITS = 44
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 HOT_TEXTS = 1000  # texts with an anchor from which on a second anchor tells its excerpts apart
-BATCH_ROWS = 10_000  # excerpts that one automaton is built from, but for the last anchor
+BATCH_ROWS = 10_000  # excerpts of an anchor beyond which it goes to no single task; an automaton is built from at most twice as many
 
 
-def _group_hashes(words: list[bytes], width: int) -> np.ndarray:
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(line[a:b]) for a, b in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())], dtype=np.uint64)
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
-def _groups(words: list[bytes]) -> np.ndarray:
-    return (_group_hashes(words, ANCHOR_WORDS) & np.uint64((1 << ANCHOR_BITS) - 1)).astype(np.int64)
+def _rolling(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every ``width`` consecutive words, out of the hashes of the words."""
+    out = np.zeros(max(0, len(hashes) - width + 1), dtype=np.uint64)
+    for k in range(width):
+        out = out * MULTIPLIER + hashes[k : k + len(out)]
+    out ^= out >> np.uint64(32)
+    return out * MULTIPLIER
+
+
+def _groups(hashes: np.ndarray) -> np.ndarray:
+    return (_rolling(hashes, ANCHOR_WORDS) >> np.uint64(64 - ANCHOR_BITS)).astype(np.int64)
 
 
 def _anchors(groups: np.ndarray, window: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +84,7 @@ def _survey(window: int):
             rows = []
             for key, text in zip(batch["key"], batch["text"]):
                 words = _words(text)
-                found = np.unique(_anchors(_groups(words), window)[1]) if len(words) >= window else np.empty(0, np.int64)
+                found = np.unique(_anchors(_groups(_hashes(words)), window)[1]) if len(words) >= window else np.empty(0, np.int64)
                 rows.append((key, len(words), hashlib.sha256(b" ".join(words)).hexdigest(), found))
             out = pd.DataFrame(rows, columns=["key", "n_words", "whole_sha256", "anchors"])
             out.insert(0, "id", batch["id"].to_numpy() if len(rows) else [])
@@ -96,7 +104,7 @@ def _excerpts(window: int):
                 words = _words(text)
                 if len(words) < window:
                     continue
-                groups = _groups(words)
+                groups = _groups(_hashes(words))
                 place, value = _anchors(groups, window)
                 hit = np.isin(value, np.asarray(wanted, dtype=np.int64))
                 many = np.isin(value, np.asarray(hot, dtype=np.int64))
@@ -124,10 +132,27 @@ def _excerpts(window: int):
     return run
 
 
-def _windows(part: bytes, window: int) -> Iterator[bytes]:
-    words = part.split(b" ")
-    for k in range(len(words) - window + 1):
-        yield b" ".join(words[k : k + window])
+def _windows(parts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of excerpts together: word hashes, where each excerpt starts (and the end), and every window's hash, place and excerpt."""
+    words = b" ".join(parts).split(b" ") if parts else []
+    hashes = _hashes(words)
+    starts = np.concatenate(([0], np.cumsum([p.count(b" ") + 1 for p in parts], dtype=np.int64)))
+    many = np.maximum(np.diff(starts) - window + 1, 0)
+    owner = np.repeat(np.arange(len(parts)), many)
+    place = np.arange(len(owner)) + np.repeat(starts[:-1] - np.concatenate(([0], np.cumsum(many)[:-1])), many)
+    return hashes, starts, _rolling(hashes, window)[place], place, owner
+
+
+def _spread(window: int):
+    """Every window of an excerpt as a row (excerpt, removed, low, high)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            _, _, found, _, owner = _windows(list(batch["words"]), window)
+            out = batch[["excerpt", "low", "high"]].iloc[owner].assign(removed=found.view(np.int64))
+            yield out[["excerpt", "removed", "low", "high"]].drop_duplicates()
+
+    return run
 
 
 def _locate(window: int):
@@ -142,25 +167,27 @@ def _locate(window: int):
         size = np.diff(np.append(first, len(anchor)))
         several = np.minimum.reduceat(rows["low"].to_numpy(), first) < np.maximum.reduceat(rows["high"].to_numpy(), first)
         rows = rows[np.repeat(several, size)]
-        span: dict[bytes, tuple[int, int]] = {}
-        texts = {}
-        for name, part, low, high in zip(rows["excerpt"], rows["words"], rows["low"], rows["high"]):
-            texts[name] = part
-            for w in _windows(part, window):
-                first, last = span.get(w, (low, high))
-                span[w] = (min(first, low), max(last, high))
-        code: dict[bytes, int] = {}
+        hashes, starts, found, place, owner = _windows(list(rows["words"]), window)
+        kinds, at, which = np.unique(found, return_index=True, return_inverse=True)
+        low, high = np.full(len(kinds), np.iinfo(np.int64).max), np.full(len(kinds), np.iinfo(np.int64).min)
+        np.minimum.at(low, which, rows["low"].to_numpy(np.int64)[owner])
+        np.maximum.at(high, which, rows["high"].to_numpy(np.int64)[owner])
+        recurs = low < high
+        codes = np.unique(hashes, return_inverse=True)[1]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for w, (first, last) in span.items():
-            if first < last:
-                automaton.add_word(tuple(code.setdefault(x, len(code) + 1) for x in w.split(b" ")), (xxhash.xxh3_64_intdigest(w), first))
+        for kind in np.flatnonzero(recurs).tolist():
+            begin = int(place[at[kind]])
+            automaton.add_word(tuple(codes[begin : begin + window].tolist()), kind)
         out = []
         if len(automaton):
             automaton.make_automaton()
-            for name, part in texts.items():
-                hits = {hit for _, hit in automaton.iter(tuple(code.get(x, 0) for x in part.split(b" ")))}
-                if hits:
-                    out.append((name, np.array([h for h, _ in hits], dtype=np.uint64).view(np.int64), [first for _, first in hits]))
+            names, codes = rows["excerpt"].to_numpy(), codes.tolist()
+            seen: set[int] = set()
+            for row in np.unique(owner[recurs[which]]).tolist():
+                if names[row] not in seen:
+                    seen.add(names[row])
+                    hits = sorted({kind for _, kind in automaton.iter(tuple(codes[starts[row] : starts[row + 1]]))})
+                    out.append((names[row], kinds[hits].view(np.int64), low[hits]))
         return pd.DataFrame(out, columns=["excerpt", "removed", "firsts"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,7 +219,7 @@ def _cut(window: int):
                 words = _words(text)
                 if len(words) < window:
                     continue
-                gone = np.isin(_group_hashes(words, window), np.asarray(removed, dtype=np.int64).view(np.uint64))
+                gone = np.isin(_rolling(_hashes(words), window), np.asarray(removed, dtype=np.int64).view(np.uint64))
                 covered = np.zeros(len(words) + 1, dtype=np.int64)
                 at = np.flatnonzero(gone)
                 np.add.at(covered, at, 1)
@@ -219,8 +246,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = written(texts.select("id", "text", "anchors", "hot").mapInPandas(
         _excerpts(window), "id bigint, excerpt bigint, anchor bigint, words binary, low bigint, high bigint"), "excerpts", compression="zstd")
 
-    shards = found.where("words is not null").select("anchor", "excerpt", "words", "low", "high").repartition("anchor").sortWithinPartitions("anchor")
+    excerpts = found.where("words is not null").select("anchor", "excerpt", "words", "low", "high")
+    crowded = written(excerpts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > BATCH_ROWS).select("anchor"), "crowded")
+    if crowded.isEmpty():
+        shards, rest = excerpts, None
+    else:
+        shards = excerpts.join(crowded, "anchor", "left_anti")
+        spread = written(excerpts.join(crowded, "anchor", "left_semi").mapInPandas(
+            _spread(window), "excerpt bigint, removed bigint, low bigint, high bigint"), "crowded-windows")
+        spans = spread.groupBy("removed").agg(F.min("low").alias("first"), F.max("high").alias("last")).where(F.col("first") < F.col("last"))
+        rest = (spread.select("excerpt", "removed").join(spans.select("removed", "first"), "removed")
+                .groupBy("excerpt").agg(F.collect_set(F.struct("removed", "first")).alias("hits"))
+                .select("excerpt", F.col("hits.removed").alias("removed"), F.col("hits.first").alias("firsts")))
+    shards = shards.repartition("anchor").sortWithinPartitions("anchor")
     located = shards.mapInPandas(_locate(window), "excerpt bigint, removed array<bigint>, firsts array<bigint>")
+    located = located if rest is None else located.union(rest)
     earlier = F.filter("removed", lambda _, i: F.get("firsts", i) < F.col("id"))
     removed = (found.select("id", "excerpt").join(located, "excerpt")
                .select("id", earlier.alias("removed")).where(F.size("removed") > 0)

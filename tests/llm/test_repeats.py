@@ -48,5 +48,41 @@ def test_equals_brute_force(docs_of, monkeypatch, hot, batch):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
 
 
+def test_one_notice_in_many_texts(spark, monkeypatch):
+    """A passage of 15 words amid different words: all its excerpts share an anchor, no task holds more than a batch of them."""
+    monkeypatch.setattr(repeats, "BATCH_ROWS", 300)
+    monkeypatch.setattr(repeats, "HOT_TEXTS", 500)
+    rng = random.Random(3)
+    notice = " ".join(f"n{k}" for k in range(15))
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(6)) + f" {notice} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(6))) for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = repeats.remove_repeats(df).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
+    batches = []
+
+    class Spy:
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+        def concat(self, frames, **kw):
+            out = real.concat(frames, **kw)
+            batches.append(len(out))
+            return out
+
+    real = repeats.pd
+    monkeypatch.setattr(repeats, "pd", Spy())
+    frames = [real.DataFrame({"excerpt": range(a, a + 100), "words": [b" ".join(b"%d" % (a + k) for _ in range(13)) for k in range(100)],
+                              "anchor": [(a + k) // 290 for k in range(100)], "low": 0, "high": 1}) for a in range(0, 3000, 100)]
+    list(repeats._locate(13)(iter(frames)))
+    assert batches and max(batches) <= 2 * 300 + 100
+
+
+def test_very_long_text(spark):
+    words = [f"w{k}" for k in range(200_000)]
+    rows = [(1, " ".join(words)), (2, "x " + " ".join(words[150_000:150_100])), (3, "y" * 2_000_000)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute(rows)
+
+
 def test_empty(docs_of):
     assert repeats.remove_repeats(docs_of([])).count() == 0
