@@ -1,13 +1,13 @@
 """Language of a text and of its parts: script ranges, word scores, Viterbi with a switching penalty.
 
-Method: a word is a run of letters. Its score for a language is the sum of log shares of its
-letter trigrams, learned from labelled rows and kept in a table of fixed size. The script of the
+Method: a word is a run of letters of one script; scripts written without spaces are cut into words of
+``UNSPACED_LETTERS``. Its score for a language is the sum of log shares of its letter trigrams, learned from labelled rows and kept in a table of fixed size. The script of the
 word first narrows the candidates: a language that does not use the script is out of the race.
 Viterbi then picks the sequence of languages with the best total, where each change of language
 costs ``SWITCH_COST``; the runs of that sequence are the spans.
 
-Fitting takes a bounded sample: about ``SAMPLE_DOCS`` labelled documents of each language, spread
-over the table by a hash. Prediction reads whole texts.
+The main language is the one with most letters. Fitting takes a bounded sample: about ``SAMPLE_DOCS`` labelled documents of each
+language, spread over the table by a hash, of the ``MAX_LANGUAGES`` most frequent languages. Prediction reads whole texts.
 
 Defined cases: a null text, an empty one and one without a letter get ``und`` with score 0 and no
 spans; without any labelled row every text gets ``und``; rows with a null id are never learned
@@ -31,6 +31,8 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.1
 WORD_CLIP = 6.0  # the most that one word can say against a language
 SWITCH_COST = 12.0
+MAX_LANGUAGES = 256  # the model holds BUCKETS numbers for each
+UNSPACED_LETTERS = 6
 SCRIPT_SHARE = 0.01  # of a language's letters, for the script to count as its own
 
 # First and last code point of the letters of each script.
@@ -48,6 +50,11 @@ SCRIPTS = (
     ("kana", ((0x3040, 0x30FF), (0x31F0, 0x31FF))),
     ("han", ((0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF))),
 )
+NUMBERS = {name: number for number, (name, _) in enumerate(SCRIPTS, 1)}
+UNSPACED = np.isin(np.arange(len(SCRIPTS) + 2), [NUMBERS[n] for n in ("thai", "kana", "han")])
+# Words of one language mix these, so a change between them ends no word; marks go with the letter before.
+TOGETHER = np.arange(len(SCRIPTS) + 2)
+TOGETHER[NUMBERS["kana"]] = NUMBERS["han"]
 
 
 def letter_classes() -> np.ndarray:
@@ -78,19 +85,33 @@ def grams(text: str, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     held = np.concatenate(([0], np.where(script > 0, code, 0), [0])).astype(np.uint32)
     mixed = held[at] * np.uint32(0x9E3779B1) + held[at + 1] * np.uint32(0x85EBCA77) + held[at + 2] * np.uint32(0xC2B2AE3D)
     bucket = (mixed ^ (mixed >> np.uint32(15))) & np.uint32(BUCKETS - 1)
-    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+    begins = np.diff(at, prepend=-2) > 1
+    if len(at) and (UNSPACED[script[at[0]]] or (script[at] != script[at[0]]).any()):
+        begins = _script_words(begins, script[at])
+    first = np.flatnonzero(begins)
     starts = at[first]
     ends = at[np.concatenate((first[1:] - 1, [len(at) - 1]))] + 1 if len(at) else at
     return bucket, script[at], first, np.stack((starts, ends), axis=1)
 
 
+def _script_words(begins: np.ndarray, script: np.ndarray) -> np.ndarray:
+    """Where words begin among letters: after a gap, where the script changes, and within long runs of scripts without spaces."""
+    order = np.arange(len(script))
+    clear = (script <= len(SCRIPTS)) | begins  # the last class holds marks, which take the script before them
+    kind = TOGETHER[script][np.maximum.accumulate(np.where(clear, order, 0))]
+    begins = begins | (np.diff(kind, prepend=-1) != 0)
+    since = order - np.maximum.accumulate(np.where(begins, order, 0))
+    return begins | (UNSPACED[kind] & (since % UNSPACED_LETTERS == 0))
+
+
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_col: str = "doc_id",
           sample_docs: int = SAMPLE_DOCS) -> dict:
     """Model from rows with a language: {languages, table, scripts, classes}; its size is bounded by the languages."""
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"),
                        F.xxhash64(F.col(f"`{key_col}`"), F.col(f"`{text_col}`")).alias("h")).where("lang is not null and text is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    frequent = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    counts = {r.lang: r.n for r in frequent.collect()}
     classes = letter_classes()
     model = {"languages": sorted(counts), "classes": classes}
     if not counts:
@@ -127,17 +148,17 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_c
     return model
 
 
-def word_scores(text: str, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(words x languages) scores, at most 0, and the (start, end) of each word in code points."""
+def word_scores(text: str, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words x languages) scores, at most 0, the (start, end) of each word in code points, and its letters."""
     bucket, script, first, places = grams(text, model["classes"])
     if not len(first):
-        return np.zeros((0, len(model["languages"]))), places
+        return np.zeros((0, len(model["languages"]))), places, first
     scores = np.add.reduceat(model["table"][bucket], first, axis=0)
     used = model["scripts"][script[first]]
     some = used.any(axis=1)
     scores = np.where(used | ~some[:, None], scores, -np.inf)
     scores -= scores.max(axis=1, keepdims=True)
-    return np.maximum(scores, np.where(used | ~some[:, None], -WORD_CLIP, -2 * SWITCH_COST)).astype(float), places
+    return np.maximum(scores, np.where(used | ~some[:, None], -WORD_CLIP, -2 * SWITCH_COST)).astype(float), places, np.diff(np.append(first, len(script)))
 
 
 def best_path(scores: np.ndarray, switch_cost: float = SWITCH_COST) -> np.ndarray:
@@ -167,12 +188,12 @@ def best_path(scores: np.ndarray, switch_cost: float = SWITCH_COST) -> np.ndarra
 
 
 def label(text: str | None, model: dict) -> tuple[str, float, list[tuple[int, int, str]]]:
-    """Main language, share of words in it, and the spans (start, end, language)."""
+    """Main language, share of letters in it, and the spans (start, end, language)."""
     if not text or not model["languages"] or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, []
-    scores, places = word_scores(text, model)
+    scores, places, letters = word_scores(text, model)
     path = best_path(scores)
-    share = np.bincount(path, minlength=len(model["languages"])) / len(path)
+    share = np.bincount(path, weights=letters, minlength=len(model["languages"])) / letters.sum()
     main = int(share.argmax())
     starts = np.flatnonzero(np.diff(path, prepend=-1))
     ends = np.concatenate((starts[1:], [len(path)])) - 1

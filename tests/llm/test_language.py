@@ -48,6 +48,37 @@ def test_script_rules_out_languages(model):
     assert {s[2] for s in language.label("жако лижа " * 3, model)[2]} == {"cc"}
 
 
+def test_words_end_where_scripts_change(spark):
+    rng = random.Random(4)
+    han = ["手机壳", "很好看", "我今天", "买了", "一二三", "天上", "看书"]
+    kana = [chr(c) for c in range(0x3042, 0x3090)]
+    unspaced = {"zh": lambda: "".join(rng.choices(han, k=80)), "ja": lambda: "".join(rng.choices(kana + ["食", "行", "見"], k=80)),
+                "en": lambda: sentence("aa", 40, rng) + " iphone"}
+    rows = [(k, make(), lang) for k in range(40) for lang, make in unspaced.items()]
+    held = language.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    text = "iPhone手机壳很好看我今天买了一二三"
+    main, share, spans = language.label(text, held)
+    assert main == "zh" and 0.5 < share < 1 and spans == [(0, 6, "en"), (6, len(text), "zh")]
+    text = "手机壳很好看我今天买了 thaing er 手机壳很好看我今天买了"
+    assert [s[2] for s in language.label(text, held)[2]] == ["zh", "en", "zh"] and language.label(text, held)[0] == "zh"
+    assert {s[2] for s in language.label("".join(kana[:40]) + "食" + "".join(kana[40:]), held)[2]} == {"ja"}
+    accents = "tha" + chr(0x301) + "ing er"  # a mark splits no word
+    assert len(language.word_scores(accents, held)[0]) == 2
+
+
+def test_many_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    rows = [(k, "thaing er", "l%d" % min(k % 10, 3)) for k in range(100)]
+    held = language.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert held["languages"] == ["l0", "l3"]
+
+
+def test_very_long_text(model):
+    text = sentence("aa", 100_000, random.Random(1)) + " " + "жако" * 200_000
+    main, share, spans = language.label(text, model)
+    assert [s[2] for s in spans] == ["aa", "cc"] and spans[-1][1] == len(text)
+
+
 def test_defined_cases(spark, docs_of, model):
     rows = [(1, None), (2, ""), (3, "123 !! ́"), (None, "thaing er"), (5, "İİ thaing"), (6, "漢字")]
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs_of(rows), model).collect()}
