@@ -13,7 +13,7 @@ from millgauge.llm.common import written
 def test_registration():
     names = entry.queries()
     assert "pipeline" in names
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
     assert [n for n, _ in pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "personal_data", "packing"]
 
@@ -39,6 +39,20 @@ def test_stages_on_odd_rows(spark, docs_of, tmp_path):
     assert sorted(set(kept[4])) == [*range(21), 36]
 
 
+def test_clashing_names(spark, docs_of, tmp_path):
+    """Columns named like those that stages make for themselves pass through untouched."""
+    names = ["row number", "Row Number ", "text key", "text keyleak", "row numberkept", "masked id", "masked spans", "member", "kept", "in 0", "lang_pred"]
+    docs = docs_of([(k, "thaing er onthater " * (k + 4) + f"mail a{k}@b.cd") for k in range(5)] + [(9, None)])
+    docs = docs.select("*", *[pipeline.F.concat(pipeline.F.lit(n), pipeline.F.col("doc_id")).alias(n) for n in names])
+    spark.createDataFrame([(1, "nothing of this is there at all")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in pipeline.STAGES[:-1]:
+        out = written(stage(spark, docs, str(tmp_path)), f"clash-{name}")
+        assert out.columns == docs.columns
+        assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names), name
+        docs = out
+    assert docs.count() > 0
+
+
 def test_empty(spark, docs_of):
     docs = docs_of([])
     for name, stage in pipeline.STAGES:
