@@ -11,7 +11,7 @@ document with a smaller id. Method:
    occurrence and gives the smallest id of each. Shards work in batches of bounded size.
 3. The excerpts of an anchor that many texts hold are told apart by a second anchor, the group with the
    largest hash of each window, which equal windows share as well.
-4. Windows of an anchor with more than ``BATCH_ROWS`` different excerpts would not fit a task. They become rows, and Spark
+4. An anchor with more than ``CROWDED_ROWS`` different excerpts goes to no single task. Its windows become rows, and Spark
    aggregates the smallest and largest id of each.
 5. Every text learns from its excerpts which windows to cut, in a join that adaptive execution splits.
 
@@ -25,6 +25,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,11 +41,12 @@ ANCHOR_WORDS = 5
 ANCHOR_BITS = 44
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 HOT_TEXTS = 1000  # texts with an anchor from which on a second anchor tells its excerpts apart
-BATCH_ROWS = 10_000  # excerpts of an anchor beyond which it goes to no single task; an automaton is built from at most twice as many
+BATCH_ROWS = 10_000  # excerpts that one automaton is built from, but for the last anchor
+CROWDED_ROWS = 100_000  # excerpts of an anchor beyond which no task holds them
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+def _hashes(words) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), dtype=">u8").astype(np.uint64)
 
 
 def _rolling(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -93,6 +95,22 @@ def _survey(window: int):
     return run
 
 
+def _among(values: np.ndarray, wanted) -> np.ndarray:
+    wanted = np.sort(np.asarray(wanted, dtype=np.int64))
+    if not len(wanted):
+        return np.zeros(len(values), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
+
+
+def _cuts(groups: np.ndarray, window: int, a: int, b: int, anchor: int) -> Iterator[tuple[int, int, int]]:
+    """The windows from a to b, which share a hot anchor, cut where their second anchor changes: (start, end, both anchors)."""
+    place, other = _anchors(groups[a : b + window - ANCHOR_WORDS], window, second=True)
+    edge = np.flatnonzero(np.diff(place, prepend=-1)).tolist()
+    for start, end in zip(edge, [*edge[1:], b - a]):
+        both = (anchor * 31 + int(other[start]) + (1 << 63)) % (1 << 64) - (1 << 63)
+        yield a + start, a + end, both
+
+
 def _excerpts(window: int):
     """For the stretches of windows that share a recurring anchor: (id, excerpt) of each text, and the excerpts themselves."""
     columns = ["id", "excerpt", "anchor", "words", "low", "high"]
@@ -106,22 +124,19 @@ def _excerpts(window: int):
                     continue
                 groups = _groups(_hashes(words))
                 place, value = _anchors(groups, window)
-                hit = np.isin(value, np.asarray(wanted, dtype=np.int64))
-                many = np.isin(value, np.asarray(hot, dtype=np.int64))
-                turn = np.diff(np.where(hit, place, -1), prepend=-2) != 0
-                if many.any():
-                    other_place, other = _anchors(groups, window, second=True)
-                    turn |= many & (np.diff(other_place, prepend=-2) != 0)
-                    value = np.where(many, value * np.int64(31) + other, value)
-                edge = np.flatnonzero(turn).tolist()
-                for a, b in zip(edge, [*edge[1:], len(place)]):
-                    if hit[a]:
-                        part = b" ".join(words[a : b - 1 + window])
+                first = np.flatnonzero(np.diff(place, prepend=-1))
+                ends = np.append(first[1:], len(place))
+                hit = np.flatnonzero(_among(value[first], wanted))
+                many = _among(value[first], hot)
+                for k in hit.tolist():
+                    a, b = int(first[k]), int(ends[k])
+                    for at, end, anchor in _cuts(groups, window, a, b, int(value[a])) if many[k] else ((a, b, int(value[a])),):
+                        part = b" ".join(words[at : end - 1 + window])
                         name = xxhash.xxh3_64_intdigest(part) - (1 << 63)
                         if name in seen:
                             seen[name][2].add(number)
                         else:
-                            seen[name] = (int(value[a]), part, {number})
+                            seen[name] = (anchor, part, {number})
             rows = []
             for name, (anchor, part, numbers) in seen.items():
                 low, high = min(numbers), max(numbers)
@@ -133,14 +148,17 @@ def _excerpts(window: int):
 
 
 def _windows(parts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of excerpts together: word hashes, where each excerpt starts (and the end), and every window's hash, place and excerpt."""
+    """Of excerpts together: numbers of their words, where each excerpt starts (and the end), and every window's hash, place and excerpt."""
     words = b" ".join(parts).split(b" ") if parts else []
-    hashes = _hashes(words)
+    number: defaultdict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    codes = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
+    hashes = _hashes(number)[codes]
     starts = np.concatenate(([0], np.cumsum([p.count(b" ") + 1 for p in parts], dtype=np.int64)))
     many = np.maximum(np.diff(starts) - window + 1, 0)
     owner = np.repeat(np.arange(len(parts)), many)
     place = np.arange(len(owner)) + np.repeat(starts[:-1] - np.concatenate(([0], np.cumsum(many)[:-1])), many)
-    return hashes, starts, _rolling(hashes, window)[place], place, owner
+    return codes, starts, _rolling(hashes, window)[place], place, owner
 
 
 def _spread(window: int):
@@ -167,13 +185,12 @@ def _locate(window: int):
         size = np.diff(np.append(first, len(anchor)))
         several = np.minimum.reduceat(rows["low"].to_numpy(), first) < np.maximum.reduceat(rows["high"].to_numpy(), first)
         rows = rows[np.repeat(several, size)]
-        hashes, starts, found, place, owner = _windows(list(rows["words"]), window)
+        codes, starts, found, place, owner = _windows(list(rows["words"]), window)
         kinds, at, which = np.unique(found, return_index=True, return_inverse=True)
         low, high = np.full(len(kinds), np.iinfo(np.int64).max), np.full(len(kinds), np.iinfo(np.int64).min)
         np.minimum.at(low, which, rows["low"].to_numpy(np.int64)[owner])
         np.maximum.at(high, which, rows["high"].to_numpy(np.int64)[owner])
         recurs = low < high
-        codes = np.unique(hashes, return_inverse=True)[1]
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for kind in np.flatnonzero(recurs).tolist():
             begin = int(place[at[kind]])
@@ -219,7 +236,7 @@ def _cut(window: int):
                 words = _words(text)
                 if len(words) < window:
                     continue
-                gone = np.isin(_rolling(_hashes(words), window), np.asarray(removed, dtype=np.int64).view(np.uint64))
+                gone = _among(_rolling(_hashes(words), window).view(np.int64), removed)
                 covered = np.zeros(len(words) + 1, dtype=np.int64)
                 at = np.flatnonzero(gone)
                 np.add.at(covered, at, 1)
@@ -247,7 +264,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _excerpts(window), "id bigint, excerpt bigint, anchor bigint, words binary, low bigint, high bigint"), "excerpts", compression="zstd")
 
     excerpts = found.where("words is not null").select("anchor", "excerpt", "words", "low", "high")
-    crowded = written(excerpts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > BATCH_ROWS).select("anchor"), "crowded")
+    crowded = written(excerpts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED_ROWS).select("anchor"), "crowded")
     if crowded.isEmpty():
         shards, rest = excerpts, None
     else:

@@ -51,6 +51,7 @@ def test_equals_brute_force(docs_of, monkeypatch, hot, batch):
 def test_one_notice_in_many_texts(spark, monkeypatch):
     """A passage of 15 words amid different words: all its excerpts share an anchor, no task holds more than a batch of them."""
     monkeypatch.setattr(repeats, "BATCH_ROWS", 300)
+    monkeypatch.setattr(repeats, "CROWDED_ROWS", 300)
     monkeypatch.setattr(repeats, "HOT_TEXTS", 500)
     rng = random.Random(3)
     notice = " ".join(f"n{k}" for k in range(15))
