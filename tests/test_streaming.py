@@ -143,3 +143,61 @@ def test_source_options():
         "kafka.bootstrap.servers": "k:9092", "subscribe": "t", "startingOffsets": "latest",
         "failOnDataLoss": "false", "maxOffsetsPerTrigger": "20000"}
     assert "maxOffsetsPerTrigger" not in messages.kafka_options("k:9092", "t", None)
+
+
+def test_repeated_messages_count_once(spark, star, monkeypatch):
+    """In their batch and in the next one; late rows of a new offset are kept. Folders and states do not grow with batches."""
+    monkeypatch.setattr(jobs, "MAX_FOLDERS", 2)
+    job = jobs.StarJob(scratch_path(spark, "repeats"), star.machines, star.statuses, star.alert_types, 60)
+    parsed = messages.parse(messages.envelope(to_envelope(star.readings, broken=False)))
+    day = F.dayofmonth("d.event_time")
+    for batch in range(5):
+        part = parsed.where(day.between(batch, batch + 1))  # every day but the first comes with two batches
+        job.process(part.unionByName(part.limit(7)), batch)
+    late = parsed.where(day == 6).withColumn("d", F.col("d").withField("event_time", F.col("d.event_time") - F.expr("INTERVAL 3 DAYS")))
+    job.process(late, 5)
+    job.process(late, 6)
+    assert job.sensor(spark).count() == star.readings.count()
+    assert job.sensor(spark).select("reading_id").distinct().count() == star.readings.count()
+    assert job.hourly(spark).agg(F.sum("reading_count")).first()[0] == star.readings.count()
+    assert all(r.folders <= 2 for name in ("sensor", "hourly_parts") for r in job.store(name).partitions().collect())
+    files, where = job.store("sensor", jobs.SENSOR, "event_ts")._file("..", "offsets")
+    assert len(files.listStatus(where)) <= 3
+    offsets = spark.read.parquet(sinks.batch_path(job.path("offsets"), 6))
+    assert offsets.count() == 3
+
+
+def test_message_numbers_do_not_collide(spark):
+    rows = [(t, p, o) for t in ("a", "b") for p in (0, 1, 1023, 1024, 5000) for o in (0, 1, 2, 10**9)]
+    df = spark.createDataFrame(rows, "kafka_topic string, kafka_partition int, kafka_offset bigint")
+    found = df.select("kafka_offset", messages.message_id(("a", "b")).alias("n")).collect()
+    assert len({r.n for r in found}) == len(rows)
+    assert [r.kafka_offset for r in sorted(found, key=lambda r: r.n)] == sorted(o for _, _, o in rows)
+    for bad in (("c", 0, 0), ("a", 1 << 16, 0), ("a", 0, 1 << 43), ("a", None, 1)):
+        with pytest.raises(Exception, match="no number for message"):
+            spark.createDataFrame([bad], df.schema).select(messages.message_id(("a", "b"))).collect()
+
+
+def test_field_violations_are_stored(spark, star):
+    job = jobs.StarJob(scratch_path(spark, "fields"), star.machines, star.statuses, star.alert_types, 60)
+    raw = to_envelope(star.readings, broken=False)
+    hot = F.regexp_replace("value", '"power_kw":[^,}]*', '"power_kw":"much"')
+    raw = raw.withColumn("value", F.when(F.col("offset") < 4, hot).otherwise(F.col("value")))
+    job.process(messages.parse(messages.envelope(raw)), 0)
+    found = job.violations(spark).collect()
+    assert len(found) == raw.where("offset < 4").count() and all(r.bad_fields == ["power_kw"] for r in found)
+    assert job.sensor(spark).where("power_kw IS NULL").count() == len(found)
+
+
+def test_one_row_a_minute_after_many_batches(spark):
+    """Ten batches that all change the same minutes."""
+    path = scratch_path(spark, "ten")
+    at = dt.datetime(2024, 1, 1, 10, 0, 0, tzinfo=dt.timezone.utc)
+    schema = "reading_id long, machine_id string, event_time timestamp, temperature_c double, power_kw double, status string, units_produced int, good_units int, vibration_mm_s double"
+    for b in range(10):
+        rows = [(10 * b + i, "M-101", at + dt.timedelta(seconds=20 * i + b), 50.0, 1.0, "RUNNING", 1, 1, 1.0) for i in range(6)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    job = jobs.FirstGenerationJob(scratch_path(spark, "ten_out"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    jobs.wait_for([job.start_minutes(stream, once=True)])
+    assert sorted((r.window_start.minute, r.reading_count) for r in job.minutes(spark).collect()) == [(0, 30), (1, 30)]
