@@ -53,7 +53,6 @@ def encoder(path: str):
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -63,6 +62,8 @@ def encoder(path: str):
     assert array("I").itemsize == 4 and sys.byteorder == "little"
 
     def slow(text: str) -> list[int]:
+        from tokenizers import Tokenizer  # few texts need it; workers without them stay small
+
         tokenizer = Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json")
         tokenizer.encode_special_tokens = True
         return tokenizer.encode(text, add_special_tokens=False).ids
