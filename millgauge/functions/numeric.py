@@ -19,11 +19,6 @@ def percent(top: Column | str, bottom: Column | str, digits: int = 2) -> Column:
     return F.round(F.try_divide(num(top) * 100, num(bottom)), digits)
 
 
-def exact_mean(col: Column | str) -> Column:
-    """Mean as exact sum over count, so that the value does not depend on task order."""
-    return ratio(F.sum(col), F.count(col))
-
-
 def steady_sum(col: str, digits: int = 9) -> Column:
     """Sum of doubles through a decimal of so many digits: the same whatever the task order."""
     return num(F.sum(F.col(col).cast(f"decimal(20,{digits})")))

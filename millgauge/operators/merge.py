@@ -1,8 +1,4 @@
-"""Keyed merges over DataFrames and over month-partitioned tables.
-
-There is no MERGE for Parquet, so a merge reads the target partitions that the
-change touches, computes their new content and overwrites just those partitions.
-"""
+"""Keyed merges over DataFrames; ``sources/store.py`` has those over stored tables."""
 
 from __future__ import annotations
 
@@ -67,23 +63,6 @@ def touched_grain(fact: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def expired_partitions(names: DataFrame, column: str, as_of: Column, months: int) -> DataFrame:
-    """Month partitions older than the cutoff. Also the dry run of ``retain``."""
+    """Month partitions older than the cutoff."""
     cutoff = F.add_months(F.trunc(as_of, "month"), -months)
     return names.where(month_of_partition(F.col(column)) < cutoff)
-
-
-def retain(fact: DataFrame, column: str, as_of: Column, months: int) -> DataFrame:
-    """Rows of partitions that stay; the filter is on the partition column alone."""
-    cutoff = F.add_months(F.trunc(as_of, "month"), -months)
-    month = month_of_partition(F.col(column))
-    return fact.where(month.isNull() | (month >= cutoff))
-
-
-def write_touched(merged: DataFrame, path: str, partition: str) -> None:
-    """Overwrite only the partitions present in ``merged``."""
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )

@@ -15,11 +15,6 @@ from .joins import hour_scaffold, small
 from .sequence import run_lengths
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose key has no dimension row."""
-    return fact.join(dim.select(key), key, "left_anti")
-
-
 def violations(df: DataFrame, source: str, rules: dict[str, Column], key: str, detail: Sequence[str]) -> DataFrame:
     """One exception row per broken rule. All rules are checked in one pass."""
     hits = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items()]))
@@ -85,10 +80,6 @@ def failure_runs(log: DataFrame, length: int = 3) -> DataFrame:
     return counted.where(F.col("_run") >= length).select(*log.columns)
 
 
-def duplicate_readings(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return fact.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
-
-
 def aggregate_matches(hourly: DataFrame, sensor: DataFrame) -> DataFrame:
     """Hourly sums against atomic sums by machine and date, with a verdict per cell."""
     a = hourly.groupBy("machine_key", "date_key").agg(

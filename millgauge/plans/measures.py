@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bands import oee_colour, trend
+from ..functions.bands import oee_colour
 from ..functions.numeric import num, ratio
 from ..operators.joins import lookup
 
@@ -266,10 +266,6 @@ def alerts_last_day(alerts: DataFrame) -> DataFrame:
     )
 
 
-def trend_indicator(current: Column, previous: Column) -> Column:
-    return trend(current - previous)
-
-
 def waterfall(table: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Measures as (measure, value) rows: loss waterfall and measure picker."""
     return table.unpivot(list(keep), [F.col(n).cast("double").alias(n) for n in names], "measure", "value")
