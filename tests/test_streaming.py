@@ -201,3 +201,14 @@ def test_one_row_a_minute_after_many_batches(spark):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     jobs.wait_for([job.start_minutes(stream, once=True)])
     assert sorted((r.window_start.minute, r.reading_count) for r in job.minutes(spark).collect()) == [(0, 30), (1, 30)]
+
+
+def test_equal_offsets_of_two_partitions_are_two_messages(spark):
+    schema = "kafka_topic string, kafka_partition int, kafka_offset bigint, machine_id string, event_time timestamp"
+    at = dt.datetime(2024, 1, 5)
+    rows = [("t", 0, 7, "M-1", at), ("t", 1, 7, "M-1", at), ("u", 0, 7, "M-1", at)] * 2
+    path, out = scratch_path(spark, "partitions"), scratch_path(spark, "partitions_out")
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    writer = jobs.without_repeats(spark.readStream.schema(schema).parquet(path)).writeStream.option("checkpointLocation", out + "_checkpoint")
+    jobs.wait_for([writer.format("parquet").option("path", out).trigger(availableNow=True).start()])
+    assert keyed(spark.read.parquet(out), "kafka_topic", "kafka_partition") == [("t", 0), ("t", 1), ("u", 0)]
