@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,8 +98,9 @@ def dead_letters(invalid: DataFrame, batch_id: str | int, quarantined_at: Column
 
 
 def field_violations(parsed: DataFrame) -> DataFrame:
-    """Rows kept as valid although a field of the wrong type was read as null."""
-    keyed = parsed.where(is_valid()).withColumn(
+    """Rows kept as valid although a field of the wrong type was read as null. Only rows with a null field are parsed again."""
+    some_null = reduce(Column.__or__, [F.col(f"d.{f.name}").isNull() for f in PAYLOAD.fields])
+    keyed = parsed.where(is_valid() & some_null).withColumn(
         "_sent", F.from_json(F.col("raw_payload"), T.MapType(T.StringType(), T.StringType()))
     )
     bad = F.array_compact(

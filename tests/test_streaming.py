@@ -212,3 +212,26 @@ def test_equal_offsets_of_two_partitions_are_two_messages(spark):
     writer = jobs.without_repeats(spark.readStream.schema(schema).parquet(path)).writeStream.option("checkpointLocation", out + "_checkpoint")
     jobs.wait_for([writer.format("parquet").option("path", out).trigger(availableNow=True).start()])
     assert keyed(spark.read.parquet(out), "kafka_topic", "kafka_partition") == [("t", 0), ("t", 1), ("u", 0)]
+
+
+def test_a_batch_of_few_files_is_parsed_on_all_cores(spark, star):
+    from conftest import SMALL
+    from millgauge.catalog import envelope
+    from millgauge.catalog.registry import Context
+
+    path, seen = scratch_path(spark, "two_files"), []
+    star.readings.repartition(envelope.FEED_FILES).write.parquet(path)
+    rows = envelope.feed_stream(Context(spark, SMALL), path)
+    writer = rows.writeStream.foreachBatch(lambda batch, _: seen.append((batch.rdd.getNumPartitions(), batch.count())))
+    jobs.wait_for([writer.option("checkpointLocation", path + "_checkpoint").trigger(availableNow=True).start()])
+    assert seen == [(spark.sparkContext.defaultParallelism, star.readings.count())] and seen[0][0] > envelope.FEED_FILES
+
+
+def test_only_rows_with_a_null_field_are_parsed_again(spark):
+    text = '{"machine_id": "M-1", "event_time": "2024-01-05T10:00:00.000000Z", "temperature_c": "hot"}'
+    raw = spark.createDataFrame([("t", 0, 1, dt.datetime(2024, 1, 5), text)],
+                                "kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp, raw_payload string")
+    found = messages.field_violations(messages.parse(raw))
+    assert found.first().bad_fields == ["temperature_c"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(d" in plan and plan.index("isnull(d") < plan.index("map<string,string>" if "map<string,string>" in plan else "MapType")
