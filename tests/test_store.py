@@ -182,3 +182,17 @@ def test_retention(spark, table):
 def test_keys_must_name_the_partition(spark, table):
     with pytest.raises(ValueError):
         table.upsert(rows(spark, ("a", 1, 1, None)), ["k"])
+
+
+def test_a_large_file_is_read_by_several_tasks(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = scratch_path(spark, "row_groups")
+    df = spark.range(2_000_000, numPartitions=1).select(
+        F.lit("a").alias("k"), F.lit(at(1)).cast("timestamp").alias("ts"), F.xxhash64("id").alias("n"), F.lit(None).cast("string").alias("note"))
+    out = store.Store(spark, path, SCHEMA, "ts")
+    out.append(df)
+    files = glob.glob(f"{path}/data/*/*/*.parquet")
+    assert sum(pq.ParquetFile(f).num_row_groups for f in files) > len(files) and out.read().count() == 2_000_000
