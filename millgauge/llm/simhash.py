@@ -48,7 +48,11 @@ def shingle_hashes(text: str | None, width: int = SHINGLE_WORDS) -> np.ndarray:
 
 def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     """Majority bits over the hashes of all word shingles of the whole text."""
-    hashes = shingle_hashes(text, width)
+    return majority(shingle_hashes(text, width))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes; zero if there are none."""
     if not len(hashes):
         return 0
     ones = np.zeros(BITS, dtype=np.int64)
