@@ -235,3 +235,36 @@ def test_only_rows_with_a_null_field_are_parsed_again(spark):
     assert found.first().bad_fields == ["temperature_c"]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "isnull(d" in plan and plan.index("isnull(d") < plan.index("map<string,string>" if "map<string,string>" in plan else "MapType")
+
+
+def test_a_feed_is_written_once_and_read_in_order(spark, star, monkeypatch):
+    from millgauge.catalog import envelope
+
+    class Source:
+        readings = star.readings.where("event_time < '2024-01-03' OR event_time >= '2024-01-05'")  # days without a row keep their files
+
+    Source.spark = spark
+    monkeypatch.setattr(envelope, "FEED_DAYS", 1)
+    path, seen = scratch_path(spark, "feed"), []
+    chunks = envelope.write_feed(Source, path)
+    rows = envelope.feed_stream(Source, path)
+    writer = rows.writeStream.foreachBatch(lambda batch, k: seen.append((k, [str(r[0]) for r in batch.select(F.to_date("event_time")).distinct().collect()])))
+    jobs.wait_for([jobs.started(writer.option("checkpointLocation", path + "_checkpoint").trigger(availableNow=True), spark)])
+    days = ["2024-01-01", "2024-01-02", None, None, "2024-01-05", "2024-01-06"]
+    assert chunks == 6 and seen == [(k, [d] if d else []) for k, d in enumerate(days)]
+    assert [envelope.files_per_batch(n) for n in (0, 4, 16, 17, 1350)] == [2, 2, 2, 4, 170]
+
+
+def test_state_has_a_partition_for_each_core(spark, star):
+    name = "spark.sql.shuffle.partitions"
+    path, before = scratch_path(spark, "few"), spark.conf.get(name)
+    star.readings.write.parquet(path)
+    spark.conf.set(name, "50")
+    try:
+        job = jobs.FirstGenerationJob(scratch_path(spark, "few_job"))
+        q = job.start_minutes(spark.readStream.schema(star.readings.schema).parquet(path), once=True)
+        jobs.wait_for([q])
+        assert spark.conf.get(name) == "50"
+        assert {s["numShufflePartitions"] for p in q.recentProgress for s in p["stateOperators"]} == {spark.sparkContext.defaultParallelism}
+    finally:
+        spark.conf.set(name, before)
