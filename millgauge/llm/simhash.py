@@ -94,7 +94,8 @@ def links(prints: DataFrame) -> DataFrame:
     """(a, b) for all pairs of distinct fingerprints ``fp`` at most four bits apart, each pair once.
 
     A pair meets under several signatures; only the first of them, a function of the differing
-    bits, lets it through, so the join makes no more rows than there are links.
+    bits, lets it through, so the join makes no more rows than there are links. A fingerprint makes a
+    row per signature, which Spark's estimate leaves out; so the join is never broadcast.
     """
     masks = variant_masks()
     segments = MAX_DIFFERENT // 2 + 1
@@ -112,7 +113,7 @@ def links(prints: DataFrame) -> DataFrame:
         for whole, lo, hi in zip(wholes, edges, edges[1:])
     )
     met = f"l.v = r.v AND l.sig = r.sig AND l.fp < r.fp AND bit_count({x}) <= {MAX_DIFFERENT} AND CASE {first} ELSE false END"
-    return signed.alias("l").join(signed.alias("r"), F.expr(met)).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
+    return signed.alias("l").join(signed.hint("merge").alias("r"), F.expr(met)).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import xxhash
+from pyspark.sql import functions as F
 
 from docs_fixture import docs_of  # noqa: F401
 from millgauge.llm import simhash
@@ -69,3 +70,11 @@ def test_null_ids_repeats_and_empty(spark, docs_of):
     got = sorted((r.doc_id or -1, r.component_id) for r in simhash.near_duplicates(docs_of(rows)).collect() if r.component_id)
     assert got == [(-1, 5), (5, 5), (5, 5), (9, 5)]
     assert simhash.near_duplicates(docs_of([])).count() == 0
+
+
+def test_signatures_are_not_broadcast(spark):
+    prints = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    found = simhash.links(prints)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
