@@ -73,3 +73,18 @@ def test_fingerprints_meet_what_no_band_meets(spark, docs_of, monkeypatch):
     rows += [(500, rows[0][1].upper()), (501, None), (502, "")]
     kept = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs_of(rows), "").collect()}
     assert len(linked) > 30 and kept == {i for i, _ in rows} - linked - {500, 502}
+
+
+def test_exploded_sides_and_texts_are_not_broadcast(spark, docs_of, monkeypatch):
+    plans, write = [], shingles.written
+
+    def kept(df, name, **options):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name, **options)
+
+    monkeypatch.setattr(shingles, "written", kept)
+    rng = random.Random(5)
+    shingles.near_copies(docs_of([(2 * k + j, t) for k in range(5) for j, t in enumerate(near(rng, 60, 1))]), "doc_id").collect()
+    checked = [plan for name, plan in plans if name in ("shingle-pairs", "simhash-links", "shingle-alike", "simhash-alike")]
+    assert len(checked) == 4 and all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in checked)
+    assert all("SortMergeJoin" in plan for name, plan in plans if name.endswith("-texts"))
